@@ -73,7 +73,7 @@ def time_seam(old: DataFrame, new: DataFrame, ts: str) -> DataFrame:
     o = old.agg(F.max(ts).alias("last_old"), F.count("*").alias("n"))
     n = new.agg(F.min(ts).alias("first_new"), F.count("*").alias("n"))
     row = o.select("last_old", F.col("n").alias("_o"), n.select("first_new").scalar().alias("first_new"), n.select("n").scalar().alias("_n"))
-    hours = (F.unix_seconds(F.col("first_new").cast("timestamp")) - F.unix_seconds(F.col("last_old").cast("timestamp"))) / 3600.0
+    hours = (F.unix_micros(F.col("first_new").cast("timestamp")) - F.unix_micros(F.col("last_old").cast("timestamp"))) / 3.6e9
     return row.select("last_old", "first_new", hours.alias("gap_hours"), (F.col("_o") + F.col("_n")).alias("combined_rows"))
 
 

@@ -83,5 +83,5 @@ def publication_lag(batches: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     """Hours from the end of a release's data (last local hour + 1 h) to the release instant (UTC)."""
     end_local = F.col("last_ts") + F.expr("INTERVAL 1 HOUR")
     end_utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), end_local).cast("timestamp")
-    lag = (F.unix_seconds(F.col("created_at").cast("timestamp")) - F.unix_seconds(end_utc)) / 3600.0
+    lag = (F.unix_micros(F.col("created_at").cast("timestamp")) - F.unix_micros(end_utc)) / 3.6e9
     return batches.select("created_at", "last_ts", lag.alias("lag_hours"))

@@ -117,8 +117,8 @@ def centered_mean(daily: DataFrame, day: str, value: str, width: int = 7, name:
 def gaps(df: DataFrame, time: str, key: Sequence[str] = (), name: str = "gap_days") -> DataFrame:
     """Days between consecutive instants, ordered per key and year with carry-over."""
     with_prev = previous_row(df, key, [time], F.year(time), [time])
-    seconds = F.unix_seconds(F.col(time).cast("timestamp")) - F.unix_seconds(F.col(f"prev.{time}").cast("timestamp"))
-    return with_prev.withColumn(name, seconds / 86400.0).drop("prev")
+    micros = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.col(f"prev.{time}").cast("timestamp"))
+    return with_prev.withColumn(name, micros / 8.64e10).drop("prev")
 
 
 def contiguous(log: DataFrame, start: str, end: str, order: str, chunk: Column) -> DataFrame:
