@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tidemark.operators.dedup import last_per_key
-from tidemark.operators.upsert import additive_upsert
+from tidemark.operators.upsert import retain_days
 from tidemark.sources.schedule import Schedule
-from tidemark.sources.tables import children, committed, remove
+from tidemark.sources.tables import committed, remove
 from tidemark.streaming import records
 
 STATE_SCHEMAS = {
@@ -59,9 +59,20 @@ class BatchStore:
     def hours(self) -> DataFrame:
         return self._added("hour", records.HOUR_KEYS, records.HOUR_SUMS, [])
 
-    def _added(self, table: str, keys: list[str], sums: list[str], maxima: list[str]) -> DataFrame:
-        delta = self.read(table)
-        return delta.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxima])
+    def _base(self, table: str) -> int | None:
+        """Number of the last batch the folded totals of a table contain."""
+        found = committed(self.spark, f"{self.path}/{table}_base", "upto")
+        return found[-1] if found else None
+
+    def _added(self, table: str, keys: list[str], sums: list[str], maxima: list[str], upto: int | None = None) -> DataFrame:
+        """Folded totals plus every later batch, added up."""
+        base = self._base(table)
+        later = [n for n in self.batches(table) if (base is None or n > base) and (upto is None or n <= upto)]
+        paths = [f"{self.path}/{table}/batch_id={n}" for n in later]
+        if base is not None:
+            paths.append(f"{self.path}/{table}_base/upto={base}")
+        rows = self.spark.read.parquet(*paths)
+        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxima])
 
     def arrivals(self) -> DataFrame:
         return last_per_key(self.read("arrivals"), ["arrival_id"], ["batch_id"]).drop("batch_id")
@@ -74,43 +85,39 @@ class BatchStore:
 
     # --- upkeep ---
 
-    def compact(self, table: str, keys: list[str], sums: list[str], maxima: list[str] = (), keep: int = 1) -> None:
-        """Fold all but the newest ``keep`` batches into the oldest kept folder's predecessor.
+    def fold(self, keep: int = 1, hour_days: int | None = 14) -> None:
+        """Fold all but the newest ``keep`` batches of the additive tables into one relation.
 
-        The folded rows take the number of the newest folded batch, so a reader
-        sees each batch once; the newest batches stay apart because only they
-        can run again.
+        Only the newest batch can run again, so older ones are final. The
+        folded relation counts once its commit marker is written; from then on
+        readers skip the folded batches, which are removed afterwards. Hours
+        past ``hour_days`` are dropped on the way.
         """
-        numbers = self.batches(table)
-        fold = numbers[: len(numbers) - keep]
-        if len(fold) < 2:
-            return
-        paths = [f"{self.path}/{table}/batch_id={n}" for n in fold]
-        old = self.spark.read.parquet(*paths)
-        merged = additive_upsert(old.limit(0), old, keys, sums, maxima)
-        staged = f"{self.path}/{table}_staged"
-        merged.write.mode("overwrite").parquet(staged)
-        # The switch: drop the folded folders, then rename the staged one to the last number.
-        for n in fold:
-            remove(self.spark, f"{self.path}/{table}/batch_id={n}")
-        jvm = self.spark._jvm.org.apache.hadoop.fs
-        src = jvm.Path(staged)
-        fs = src.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.rename(src, jvm.Path(f"{self.path}/{table}/batch_id={fold[-1]}"))
+        tables = {
+            "minute": (records.MINUTE_KEYS, records.MINUTE_SUMS, ["max_delay_s"]),
+            "hour": (records.HOUR_KEYS, records.HOUR_SUMS, []),
+        }
+        for table, (keys, sums, maxima) in tables.items():
+            numbers = self.batches(table)
+            old = numbers[: len(numbers) - keep]
+            if not old:
+                continue
+            total = self._added(table, keys, sums, maxima, upto=old[-1])
+            if table == "hour" and hour_days:
+                total = retain_days(total, "hour", hour_days)
+            before = committed(self.spark, f"{self.path}/{table}_base", "upto")
+            total.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{table}_base/upto={old[-1]}")
+            for n in old:
+                remove(self.spark, f"{self.path}/{table}/batch_id={n}")
+            for n in before:
+                if n != old[-1]:
+                    remove(self.spark, f"{self.path}/{table}_base/upto={n}")
 
     def drop_old_state(self, keep: int = 3) -> None:
         for table in STATE_SCHEMAS:
             for n in self.batches(table)[:-keep]:
                 remove(self.spark, f"{self.path}/{table}/batch_id={n}")
 
-    def retain(self, table: str, ts: str, days: int) -> None:
-        """Drop whole batches whose newest time is past the retention."""
-        newest = self.read(table).groupBy("batch_id").agg(F.max(ts).alias("t"))
-        limit = newest.agg(F.max("t")).scalar() - F.expr(f"INTERVAL {int(days)} DAY")
-        # One row per expired batch reaches the driver, which removes its folder.
-        for row in newest.where(F.col("t") < limit).select("batch_id").toLocalIterator():
-            remove(self.spark, f"{self.path}/{table}/batch_id={row.batch_id}")
-
 
 def process(messages: DataFrame, batch_id: int, store: BatchStore, schedule: Schedule) -> None:
     """One micro-batch; safe to run again with the same id."""
