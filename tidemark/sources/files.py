@@ -69,22 +69,27 @@ def read_parquet(spark: SparkSession, *paths: str, folders_as_columns: bool = Tr
 # --- writes -------------------------------------------------------------------
 
 
-def write_months(df: DataFrame, path: str, ts: str = "transit_timestamp", keys: Sequence[str] = model.ROW_KEY, slices: int = 1, rows_per_file: int = 0) -> None:
-    """Key-sorted files under ``year=/month=``; only the months present are replaced.
+def balanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows gathered by folder columns for a write.
 
-    ``slices`` spreads each month over several tasks by day, because a month may
-    hold any share of the data; ``rows_per_file`` bounds the files of one task.
+    Adaptive execution splits a folder that outgrows one task and merges small
+    ones, so neither a hot month nor many empty ones hurt.
     """
-    parts = df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
-    spread = parts.repartition("year", "month", F.pmod(F.dayofmonth(ts), F.lit(slices)), F.pmod(F.xxhash64(*keys), F.lit(slices)))
-    writer = (
-        spread.sortWithinPartitions("year", "month", *keys)
+    return df.hint("rebalance", *columns)
+
+
+def write_months(df: DataFrame, path: str, ts: str = "transit_timestamp", keys: Sequence[str] = model.ROW_KEY) -> None:
+    """Key-sorted files under ``year=/month=``; only the months present are replaced."""
+    parts = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
+    (
+        balanced(parts, "year", "month")
+        .sortWithinPartitions("year", "month", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
-        .option("maxRecordsPerFile", rows_per_file)
+        .partitionBy("year", "month")
+        .parquet(path)
     )
-    writer.partitionBy("year", "month").parquet(path)
 
 
 def with_bookkeeping(df: DataFrame, updated: Column, fetched: Column) -> DataFrame:
@@ -92,12 +97,12 @@ def with_bookkeeping(df: DataFrame, updated: Column, fetched: Column) -> DataFra
     return df.withColumns({"source_updated_at": updated, "fetched_at": fetched})
 
 
-def write_days(df: DataFrame, path: str, ts: str = "transit_timestamp", keys: Sequence[str] = model.ROW_KEY, slices: int = 1) -> None:
+def write_days(df: DataFrame, path: str, ts: str = "transit_timestamp", keys: Sequence[str] = model.ROW_KEY) -> None:
     """Raw layer: one folder per day, replaced day by day."""
     days = df.withColumn("day", F.to_date(ts))
-    spread = days.repartition("day", F.pmod(F.xxhash64(*keys), F.lit(slices)))
     (
-        spread.sortWithinPartitions("day", *keys)
+        balanced(days, "day")
+        .sortWithinPartitions("day", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
@@ -121,9 +126,5 @@ def append_log(spark: SparkSession, path: str, entry: dict, schema: str) -> None
     spark.createDataFrame([entry], schema).coalesce(1).write.mode("append").json(path)
 
 
-def month_folder(month) -> str:
-    return f"year={month.year}/month={month.month}"
-
-
 def months_of(df: DataFrame, ts: str = "transit_timestamp") -> DataFrame:
     return df.select(timefns.month_start(ts).alias("month")).distinct()

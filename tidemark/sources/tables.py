@@ -11,8 +11,10 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import upsert as merge
+from tidemark.sources.files import balanced
 
 
 def _fs(spark: SparkSession, path: str):
@@ -99,11 +101,9 @@ class MonthTable:
 
     def replace_months(self, df: DataFrame) -> None:
         """Replace every month that occurs in ``df``; other months stay untouched."""
-        from pyspark.sql import functions as F
-
         months = df.withColumn("month", F.date_format(F.col(self.day), "yyyy-MM-01"))
         (
-            months.repartition("month")
+            balanced(months, "month")
             .sortWithinPartitions("month", self.day)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

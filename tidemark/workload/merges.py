@@ -62,7 +62,7 @@ def _(spark, sf):
 def _(spark, sf):
     """The clean layer written sorted under year and month and read without the folders."""
     path = scratch(spark, "clean")
-    files.write_months(clean_fact(spark, sf), path, slices=4)
+    files.write_months(clean_fact(spark, sf), path)
     return files.read_parquet(spark, path, folders_as_columns=False).select(*model.ROW_KEY, "ridership", "transfers")
 
 
