@@ -17,26 +17,16 @@ SERVING = ["station_mean", "profile_mean", "hour", "dow", "month", "is_holiday"]
 
 
 def calendar(df: DataFrame, ts: str) -> DataFrame:
-    """Hour, ISO weekday, weekend, month, day type and holiday of each row.
-
-    Holidays are the rule applied to the years that occur, a handful of dates.
-    """
-    years = df.select(F.year(ts).alias("year")).distinct()
-    flags = timefns.holidays(years).select(F.col("day").alias("_day"), F.lit(1).alias("is_holiday"))
-    return (
-        df.withColumns(
-            {
-                "hour": F.hour(ts),
-                "dow": timefns.iso_weekday(ts),
-                "is_weekend": timefns.is_weekend(ts).cast("int"),
-                "month": F.month(ts),
-                "day_type": timefns.day_type(ts),
-                "_day": F.to_date(ts),
-            }
-        )
-        .join(flags, "_day", "left")
-        .withColumn("is_holiday", F.coalesce("is_holiday", F.lit(0)))
-        .drop("_day")
+    """Hour, ISO weekday, weekend, month, day type and holiday of each row, as expressions."""
+    return df.withColumns(
+        {
+            "hour": F.hour(ts),
+            "dow": timefns.iso_weekday(ts),
+            "is_weekend": timefns.is_weekend(ts).cast("int"),
+            "month": F.month(ts),
+            "day_type": timefns.day_type(ts),
+            "is_holiday": timefns.is_holiday(ts).cast("int"),
+        }
     )
 
 

@@ -61,7 +61,8 @@ def period_totals(source: DataFrame, target: DataFrame, ts: str, start, end, mea
         return inside.agg(F.count("*").alias(f"rows_{tag}"), *[F.sum(m).alias(f"{m}_{tag}") for m in measures])
 
     s, t = totals(source, "source"), totals(target, "target")
-    both = s.select("*", *[t.select(c).scalar().alias(c) for c in t.columns])
+    target_row = t.select(F.struct(*t.columns)).scalar()
+    both = s.select("*", *[target_row[c].alias(c) for c in t.columns])
     same = F.col("rows_source") == F.col("rows_target")
     for m in measures:
         same = same & F.col(f"{m}_source").eqNullSafe(F.col(f"{m}_target"))
@@ -72,7 +73,8 @@ def time_seam(old: DataFrame, new: DataFrame, ts: str) -> DataFrame:
     """Where two stores of one history meet."""
     o = old.agg(F.max(ts).alias("last_old"), F.count("*").alias("n"))
     n = new.agg(F.min(ts).alias("first_new"), F.count("*").alias("n"))
-    row = o.select("last_old", F.col("n").alias("_o"), n.select("first_new").scalar().alias("first_new"), n.select("n").scalar().alias("_n"))
+    new_row = n.select(F.struct("first_new", "n")).scalar()
+    row = o.select("last_old", F.col("n").alias("_o"), new_row["first_new"].alias("first_new"), new_row["n"].alias("_n"))
     hours = (F.unix_micros(F.col("first_new").cast("timestamp")) - F.unix_micros(F.col("last_old").cast("timestamp"))) / 3.6e9
     return row.select("last_old", "first_new", hours.alias("gap_hours"), (F.col("_o") + F.col("_n")).alias("combined_rows"))
 

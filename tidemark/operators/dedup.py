@@ -78,8 +78,7 @@ def not_stored(batch: DataFrame, stored: DataFrame, ts: str) -> DataFrame:
     scalar subquery, so it reaches the scan as a filter.
     """
     unique = distinct_batch(batch)
-    lo = batch.agg(F.min(ts)).scalar()
-    hi = batch.agg(F.max(ts)).scalar()
+    lo, hi = batch.agg(F.min(ts)).scalar(), batch.agg(F.max(ts)).scalar()
     window = stored.where((F.col(ts) >= lo) & (F.col(ts) <= hi)).select(*batch.columns)
     return unique.exceptAll(window)
 

@@ -19,9 +19,10 @@ def dense_grid(
     from each entity row, so there is no product join, and the entities are
     spread over the tasks before they grow.
     """
-    last = hourly.agg(F.max(ts)).scalar()
+    span = hourly.agg(F.struct(F.min(ts).alias("first"), F.max(ts).alias("last"))).scalar()
+    last = span["last"]
     if last_days is None:
-        first: Column = hourly.agg(F.min(ts)).scalar()
+        first: Column = span["first"]
     else:
         first = last - F.expr(f"INTERVAL {int(last_days)} DAY") + F.expr("INTERVAL 1 HOUR")
     entities = hourly.select(entity).distinct().withColumn("_day", F.explode(F.sequence(F.to_date(first), F.to_date(last))))

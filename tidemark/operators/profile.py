@@ -62,11 +62,15 @@ def split_by_year(df: DataFrame, category: str, ts: str, measure: str, years: Se
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
-    """One row per variable: range, moments, exact quantiles, zeros, negatives, fractions, total."""
+    """One row per variable: range, moments, exact quantiles, zeros, negatives, fractions, total.
 
-    def one(c: str) -> DataFrame:
+    Two scans for all variables: one for the moments, one for the quantiles.
+    """
+
+    def moments(c: str) -> Column:
         x = F.col(c).cast("double")
-        moments = df.agg(
+        return F.struct(
+            F.lit(c).alias("variable"),
             F.min(x).alias("min"),
             F.max(x).alias("max"),
             F.avg(x).alias("mean"),
@@ -76,12 +80,12 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], probabilities: Sequen
             F.count_if(x != F.floor(x)).alias("non_integers"),
             F.sum(x).alias("total"),
         )
-        q = stats.exact_quantiles(df.select(x.alias(c)), c, probabilities)
-        names = [f"p{round(100 * p)}" for p in probabilities]
-        quantiles = [q.select(f"q{i}").scalar().alias(n) for i, n in enumerate(names)]
-        return moments.select(F.lit(c).alias("variable"), "*", *quantiles)
 
-    return reduce(DataFrame.unionByName, [one(c) for c in columns])
+    summary = df.agg(F.array(*[moments(c) for c in columns]).alias("_rows")).select(F.inline("_rows"))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "variable", "_value")
+    quantiles = stats.exact_quantiles(long, "_value", probabilities, ["variable"])
+    names = {f"q{i}": f"p{round(100 * p)}" for i, p in enumerate(probabilities)}
+    return summary.join(quantiles.withColumnsRenamed(names), "variable", "left")
 
 
 def value_counts(df: DataFrame, value: str, where: Column) -> DataFrame:
@@ -228,10 +232,16 @@ def schema_listing(df: DataFrame) -> DataFrame:
     )
 
 
-def preview(df: DataFrame, k: int) -> DataFrame:
-    return df.limit(k)
+def preview(df: DataFrame, k: int, *order) -> DataFrame:
+    """First ``k`` rows, of an order if one is given."""
+    return df.orderBy(*order).limit(k) if order else df.limit(k)
 
 
 def fixed_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """Reproducible sample of fixed size: the rows with the smallest seeded key hash."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """Reproducible sample of fixed size: the rows with the smallest seeded key digest.
+
+    The digest is the same in every engine and on every partitioning. Each task
+    keeps ``n`` rows, so only candidates are shuffled.
+    """
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return df.orderBy(digest, *keys).limit(n)

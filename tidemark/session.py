@@ -17,6 +17,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A join that feeds an aggregation on the same key is not split by default.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods beyond 8000 bytes; fused code that long
+    # would run interpreted, several times slower than the plain operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

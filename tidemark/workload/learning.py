@@ -169,10 +169,9 @@ def described_stations(spark, sf):
     """One row per station: shares, means per day and borough."""
     f = fact(spark, sf)
     weekend = F.weekday(TS) >= 5
-    days = f.select(F.to_date(TS).alias("d")).distinct().agg(
-        F.count_if(F.weekday("d") < 5).alias("wd"), F.count_if(F.weekday("d") >= 5).alias("we"), F.count("*").alias("n")
-    )
-    n = {c: days.select(c).scalar() for c in ("wd", "we", "n")}
+    n = f.select(F.to_date(TS).alias("d")).distinct().agg(
+        F.struct(F.count_if(F.weekday("d") < 5).alias("wd"), F.count_if(F.weekday("d") >= 5).alias("we"), F.count("*").alias("n"))
+    ).scalar()
     totals = f.groupBy(E).agg(
         F.any_value("borough").alias("borough"),
         (F.sum("ridership") / n["n"]).alias("avg_daily"),
@@ -221,7 +220,8 @@ def _(spark, sf):
 def _(spark, sf):
     t, test = split(spark, sf)
     model = models.fit_poisson(t, features.SCENARIO_B, V)
-    return models.regression_metrics(models.predict(model, test, features.SCENARIO_B, False), V, "prediction")
+    scored = models.predict(model, models.log_counts(test, features.SCENARIO_B), features.SCENARIO_B, False)
+    return models.regression_metrics(scored, V, "prediction")
 
 
 @query("permutation_importance", "M10 S29")

@@ -234,16 +234,18 @@ def _(spark, sf):
     return grid.missing_days(table(spark, sf, "orders"), "o_orderdate")
 
 
-@query("fixed_sample", "S28 S29")
+@query(
+    "fixed_sample",
+    "S28 S29",
+    "SELECT * FROM orders ORDER BY md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), '42')), o_orderkey, o_custkey LIMIT 1000",
+)
 def _(spark, sf):
-    """Rows-only: the sample is defined by Spark's hash."""
-    return profile.fixed_sample(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 1000)
+    return profile.fixed_sample(table(spark, sf, "orders"), ["o_orderkey", "o_custkey"], 1000)
 
 
-@query("preview_rows", "S27")
+@query("preview_rows", "S27", "SELECT * FROM events ORDER BY event_id LIMIT 10")
 def _(spark, sf):
-    """Rows-only: any k rows satisfy a preview."""
-    return profile.preview(table(spark, sf, "events"), 10)
+    return profile.preview(table(spark, sf, "events"), 10, "event_id")
 
 
 @query("schema_listing", "S26", "SELECT CAST(row_number() OVER () AS INT) AS position, column_name AS \"column\", CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DOUBLE' THEN 'double' END AS type FROM (DESCRIBE events)")
