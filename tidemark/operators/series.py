@@ -1,9 +1,9 @@
 """Ordered operators: neighbours, running values, rolling means, top rows.
 
 A window over a hot key would put all of its rows into one task. The ordered
-helpers below therefore work per (key, chunk), where a chunk is a slice of the
-order column such as the day, and carry one row per chunk to the next. Only the
-chunk summaries are ordered per whole key.
+helpers below therefore work per (key, slice), where a slice is a piece of
+the order column such as a minute, and carry one row per slice to the next;
+slices may be nested.
 """
 
 from __future__ import annotations
@@ -24,63 +24,79 @@ def first_rows(df: DataFrame, group: Sequence[str], order: Sequence, n: int, ran
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 
+def _along(df: DataFrame, key: list[str], order: Sequence, levels: list[str], value: Column, fold: str, name: str) -> DataFrame:
+    """Value of the rows before each row of its key: the last one or the largest.
+
+    Rows are ordered inside (key, first level) only; what comes in from earlier
+    slices is the same question asked of one summary row per slice, ordered
+    inside the next coarser level, and so on.
+    """
+    inside = Window.partitionBy(*key, *levels[:1]).orderBy(*order)
+    if fold == "last":
+        local, summary, combine = F.lag(value).over(inside), F.max_by(value, F.struct(*order)), F.coalesce
+    else:
+        earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+        local, summary, combine = F.max(value).over(earlier), F.max(value), F.greatest
+    rows = df.withColumn(name, local)
+    if not levels:
+        return rows
+    # Names by depth, since the levels are joined back one into the other.
+    own, before = f"_summary{len(levels)}", f"_before{len(levels)}"
+    slices = df.groupBy(*key, *levels).agg(summary.alias(own))
+    incoming = _along(slices, key, levels[:1], levels[1:], F.col(own), fold, before).select(*key, levels[0], before)
+    # Same partitioning as the window above, so the rows are not shuffled again.
+    return rows.join(incoming, [*key, levels[0]], "left").withColumn(name, combine(F.col(name), F.col(before))).drop(before)
+
+
+def _sliced(df: DataFrame, slices: Column | Sequence[Column]) -> tuple[DataFrame, list[str]]:
+    columns = [slices] if isinstance(slices, Column) else list(slices)
+    names = [f"_slice{i}" for i in range(len(columns))]
+    return df.withColumns(dict(zip(names, columns))), names
+
+
 def previous_row(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column, values: Sequence[str], name: str = "prev"
+    df: DataFrame, key: Sequence[str], order: Sequence[str], slices: Column | Sequence[Column], values: Sequence[str], name: str = "prev"
 ) -> DataFrame:
     """Struct ``name`` with ``values`` of the preceding row of the same key.
 
-    ``order`` must be a total order within a key and ``chunk`` must not
-    decrease along it.
+    ``order`` must be a total order within a key, ``slices`` are one or more
+    columns, fine to coarse, that do not decrease along it, and keys are not
+    NULL.
     """
-    key = list(key)
-    rows = df.withColumn("_chunk", chunk)
-    inside = Window.partitionBy(*key, "_chunk").orderBy(*order)
-    local = rows.withColumn(name, F.lag(F.struct(*values)).over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
-    tails = rows.groupBy(*key, "_chunk").agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_tail"))
-    across = Window.partitionBy(*key).orderBy("_chunk")
-    carried = tails.select(*key, "_chunk", F.lag("_tail").over(across).alias("_carry"))
-    joined = _null_safe_join(local, carried, [*key, "_chunk"])
-    return joined.withColumn(name, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(name))).drop(
-        "_chunk", "_first", "_carry"
-    )
+    rows, levels = _sliced(df, slices)
+    return _along(rows, list(key), order, levels, F.struct(*values), "last", name).drop(*levels)
 
 
 def running_max_before(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column, value: str, name: str
+    df: DataFrame, key: Sequence[str], order: Sequence[str], slices: Column | Sequence[Column], value: str, name: str
 ) -> DataFrame:
     """Largest ``value`` among all earlier rows of the key; NULL on the first row."""
-    key = list(key)
-    rows = df.withColumn("_chunk", chunk)
-    inside = Window.partitionBy(*key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.withColumn("_local", F.max(value).over(inside))
-    peaks = rows.groupBy(*key, "_chunk").agg(F.max(value).alias("_peak"))
-    across = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = peaks.select(*key, "_chunk", F.max("_peak").over(across).alias("_carry"))
-    joined = _null_safe_join(local, carried, [*key, "_chunk"])
-    return joined.withColumn(name, F.greatest("_local", "_carry")).drop("_chunk", "_local", "_carry")
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
-    on = None
-    for i, k in enumerate(keys):
-        test = F.col(k).eqNullSafe(F.col(f"_r{i}"))
-        on = test if on is None else on & test
-    return left.join(r, on, "left").drop(*[f"_r{i}" for i in range(len(keys))])
-
-
-def repeated_flag(df: DataFrame, feed: str, time: str, order: Sequence[str], chunk: Column, name: str = "repeated") -> DataFrame:
+    rows, levels = _sliced(df, slices)
+    return _along(rows, list(key), order, levels, F.col(value), "max", name).drop(*levels)
+
+
+def number_slices(c: str, width: int = 4096) -> list[Column]:
+    """Two levels of equal slices of a whole-number column."""
+    return [F.floor(F.col(c) / width), F.floor(F.col(c) / (width * width))]
+
+
+def time_slices(c: str) -> list[Column]:
+    """Minutes and days of a time column."""
+    return [F.date_trunc("minute", c), F.to_date(c)]
+
+
+def repeated_flag(df: DataFrame, feed: str, time: str, order: Sequence[str], slices: Column | Sequence[Column], name: str = "repeated") -> DataFrame:
     """True where a snapshot is not newer than every earlier one of its feed."""
-    seen = running_max_before(df, [feed], order, chunk, time, "_seen")
+    seen = running_max_before(df, [feed], order, slices, time, "_seen")
     return seen.withColumn(name, F.col(time) <= F.coalesce("_seen", F.lit(0))).drop("_seen")
 
 
-def order_check(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column) -> DataFrame:
+def order_check(df: DataFrame, key: Sequence[str], order: Sequence[str], slices: Column | Sequence[Column]) -> DataFrame:
     """Rows that equal or precede the row before them in a given row order.
 
     ``key`` is the tuple that should increase strictly along ``order``.
     """
-    checked = previous_row(df, [], order, chunk, list(key))
+    checked = previous_row(df, [], order, slices, list(key))
     now, before = F.struct(*key), F.col("prev")
     return checked.agg(
         F.count("*").alias("rows"),
@@ -121,16 +137,16 @@ def gaps(df: DataFrame, time: str, key: Sequence[str] = (), name: str = "gap_day
     return with_prev.withColumn(name, micros / 8.64e10).drop("prev")
 
 
-def contiguous(log: DataFrame, start: str, end: str, order: str, chunk: Column) -> DataFrame:
+def contiguous(log: DataFrame, start: str, end: str, order: str, slices: Column | Sequence[Column]) -> DataFrame:
     """One row: does every range begin right after the one before?"""
-    steps = previous_row(log, [], [order], chunk, [end])
+    steps = previous_row(log, [], [order], slices, [end])
     broken = F.count_if(F.col("prev").isNotNull() & (F.col(start) != F.col(f"prev.{end}") + 1))
     return steps.agg(F.count("*").alias("ranges"), broken.alias("breaks"), (broken == 0).alias("contiguous"))
 
 
-def overlaps(spans: DataFrame, order: str, first: str, last: str, chunk: Column) -> DataFrame:
+def overlaps(spans: DataFrame, order: str, first: str, last: str, slices: Column | Sequence[Column]) -> DataFrame:
     """Spans that begin at or before the end of the previous one."""
-    steps = previous_row(spans, [], [order], chunk, [last])
+    steps = previous_row(spans, [], [order], slices, [last])
     return steps.withColumn("overlaps", F.coalesce(F.col(f"prev.{last}") >= F.col(first), F.lit(False))).drop("prev")
 
 

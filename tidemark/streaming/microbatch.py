@@ -166,9 +166,9 @@ def start(messages: DataFrame, store: BatchStore, schedule: Schedule, checkpoint
 
 def batch_metrics(log: DataFrame) -> DataFrame:
     """Integration metrics of the batch log: ids, contiguity, durations, latency."""
-    from tidemark.operators.series import previous_row
+    from tidemark.operators.series import number_slices, previous_row
 
-    steps = previous_row(log, [], ["batch_id"], F.floor(F.col("batch_id") / records.SLICE), ["offset_to"])
+    steps = previous_row(log, [], ["batch_id"], number_slices("batch_id"), ["offset_to"])
     gap = F.col("prev").isNotNull() & (F.col("offset_from") != F.col("prev.offset_to") + 1)
     latency = F.unix_seconds("processed_at") - F.col("feed_time_to")
     return steps.agg(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import nested, textfns, timefns
 from tidemark.operators.dedup import last_per_key
-from tidemark.operators.series import previous_row, repeated_flag
+from tidemark.operators.series import number_slices, previous_row, repeated_flag
 from tidemark.sources.schedule import Schedule, scheduled_seconds
 
 # Fixed values of the delay and arrival rules, in seconds.
@@ -20,12 +20,10 @@ MAX_DELAY_SECONDS = 3 * 3600
 ARRIVED_WITHIN = 60
 STATE_SECONDS = 2 * 3600
 
-# Messages per ordered slice of one feed or trip (see operators.series).
-SLICE = 4096
 
-
-def offset_slice(c: str = "offset") -> Column:
-    return F.floor(F.col(c) / SLICE)
+def offset_slices() -> list[Column]:
+    """Nested slices of the offset in which feeds and trips are ordered."""
+    return number_slices("offset")
 
 
 def mark_repeated(messages: DataFrame, last_seen: DataFrame | None = None) -> DataFrame:
@@ -37,7 +35,7 @@ def mark_repeated(messages: DataFrame, last_seen: DataFrame | None = None) -> Da
     slim = messages.select("feed", "offset", "feed_time")
     if last_seen is not None:
         slim = slim.unionByName(last_seen.select("feed", F.lit(-1).cast("bigint").alias("offset"), "feed_time"))
-    flagged = repeated_flag(slim, "feed", "feed_time", ["offset"], offset_slice())
+    flagged = repeated_flag(slim, "feed", "feed_time", ["offset"], offset_slices())
     return flagged.where("offset >= 0")
 
 
@@ -78,7 +76,7 @@ def observations(rows: DataFrame) -> DataFrame:
         "offset",
         "pos",
         "minute",
-        trip["trip_id"].alias("trip_id"),
+        F.coalesce(trip["trip_id"], F.lit("")).alias("trip_id"),
         trip["route_id"].alias("route_id"),
         trip["start_date"].alias("start_date"),
         direction(trip).alias("direction"),
@@ -146,7 +144,7 @@ def arrivals(obs: DataFrame, stops: DataFrame, state: DataFrame | None = None) -
             ]
         )
         rows = obs.unionByName(before)
-    stepped = previous_row(rows, ["trip_id"], ["offset", "pos"], offset_slice(), ["stop_id", "predicted", "delay_s"])
+    stepped = previous_row(rows, ["trip_id"], ["offset", "pos"], offset_slices(), ["stop_id", "predicted", "delay_s"])
     reached = stepped.where(
         (F.col("offset") >= 0) & (F.col("prev.stop_id") != F.col("stop_id")) & (F.col("prev.predicted") <= F.col("feed_time") + ARRIVED_WITHIN)
     )

@@ -16,7 +16,7 @@ from tidemark.workload.registry import query
 )
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return series.order_check(orders, ["o_orderdate"], ["o_orderkey"], F.floor(F.col("o_orderkey") / 4096))
+    return series.order_check(orders, ["o_orderdate"], ["o_orderkey"], series.number_slices("o_orderkey"))
 
 
 @query(
@@ -26,7 +26,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
-    stepped = series.previous_row(e, ["user_id"], ["ts"], F.to_date("ts"), ["event_id", "event_type"])
+    stepped = series.previous_row(e, ["user_id"], ["ts"], series.time_slices("ts"), ["event_id", "event_type"])
     return stepped.select("event_id", "user_id", F.col("prev.event_id").alias("previous_id"), F.col("prev.event_type").alias("previous_type"))
 
 
@@ -37,7 +37,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     e = table(spark, sf, "events").select("event_id", "event_type", "value")
-    return series.running_max_before(e, ["event_type"], ["event_id"], F.floor(F.col("event_id") / 4096), "value", "max_before").select("event_id", "max_before")
+    return series.running_max_before(e, ["event_type"], ["event_id"], series.number_slices("event_id"), "value", "max_before").select("event_id", "max_before")
 
 
 @query(
