@@ -19,7 +19,7 @@ from tidemark.operators import incremental, marts, quality
 from tidemark.operators.upsert import month_list
 from tidemark.session import configure, scratch
 from tidemark.sources import files
-from tidemark.sources.tables import MonthTable, Table, children, exists, remove
+from tidemark.sources.tables import MonthTable, Table, children, exists, remove, written_once
 
 FINGERPRINT = "day date, rows bigint, ridership double, transfers double, source_updated_at timestamp_ntz"
 RUNS = (
@@ -78,14 +78,6 @@ def fingerprint(source: DataFrame) -> DataFrame:
     )
 
 
-def written_once(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage of a small relation by writing it to the shared folder."""
-    spark = df.sparkSession
-    path = scratch(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 class Run:
     """Start and finish rows of one run in the run log."""
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import upsert as merge
+from tidemark.session import scratch
 from tidemark.sources.files import balanced
 
 
@@ -48,6 +49,14 @@ def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(found)
 
 
+def written_once(df: DataFrame, label: str) -> DataFrame:
+    """Cut the lineage of a relation several steps read by writing it to the shared folder."""
+    spark = df.sparkSession
+    path = scratch(spark, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class Table:
     """A small or medium table that is replaced as a whole."""
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.compare import tolerant_compare
 from tidemark.sources.feeds import offset_range
 from tidemark.sources.schedule import Schedule
+from tidemark.sources.tables import written_once
 from tidemark.streaming import records
 
 
@@ -22,10 +23,14 @@ def replay(messages: DataFrame, schedule: Schedule, prime: tuple[int, int], wind
 
 
 def run(messages: DataFrame, schedule: Schedule, last_seen: DataFrame | None = None, trips: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All results of a set of messages as relations."""
+    """All results of a set of messages as relations.
+
+    The observations feed every result, so they are computed once and written
+    to the shared folder.
+    """
     marks = records.mark_repeated(messages, last_seen)
     rows = records.entities(records.fresh(messages, marks))
-    obs = records.with_delay(records.observations(rows), schedule)
+    obs = written_once(records.with_delay(records.observations(rows), schedule), "observations")
     return {
         "marks": marks,
         "rows": rows,
