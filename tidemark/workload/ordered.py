@@ -54,12 +54,12 @@ def _(spark, sf):
     "centered_mean_7",
     "W03",
     """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, sum(floor(o_totalprice)) AS total FROM orders GROUP BY 1)
-    SELECT day, CAST(total AS DOUBLE) AS total, (SELECT CASE WHEN count(*) = 7 THEN round(avg(n.total), 4) END FROM d n WHERE n.day BETWEEN d.day - 3 AND d.day + 3) AS rolling_mean FROM d""",
+    SELECT day, CAST(total AS DOUBLE) AS total, (SELECT CASE WHEN count(*) = 7 THEN round(avg(n.total), 7) END FROM d n WHERE n.day BETWEEN d.day - 3 AND d.day + 3) AS rolling_mean FROM d""",
 )
 def _(spark, sf):
     o = table(spark, sf, "orders")
     days = shape.system_days(o.withColumn("v", F.floor("o_totalprice").cast("double")), "o_orderdate", "v")
-    return series.centered_mean(days, "day", "total").withColumn("rolling_mean", F.round("rolling_mean", 4))
+    return series.centered_mean(days, "day", "total").withColumn("rolling_mean", F.round("rolling_mean", 7))
 
 
 _RANGES = "r AS (SELECT CAST(ts AS DATE) AS day, min(event_id) AS a, max(event_id) AS b FROM events GROUP BY 1)"

@@ -64,7 +64,7 @@ def _(spark, sf):
 
 def _summary_sql(t, c):
     return (
-        f"SELECT '{c}' AS variable, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
+        f"SELECT '{c}' AS variable, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
         f"count(*) FILTER ({c} = 0) AS zeros, count(*) FILTER ({c} < 0) AS negatives, count(*) FILTER ({c} <> floor({c})) AS non_integers, round(CAST(sum({c}) AS DOUBLE), 2) AS total, "
         f"round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.95), 4) AS p95, round(quantile_cont({c}, 0.99), 4) AS p99 FROM {t}"
     )
@@ -73,7 +73,7 @@ def _summary_sql(t, c):
 @query("numeric_summary", "A15 U02", " UNION ALL ".join(_summary_sql("lineitem", c) for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def _(spark, sf):
     s = profile.numeric_summary(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
-    return s.select(*[F.round(c, 2 if c == "total" else 4).alias(c) if c in ("mean", "std", "total", "p50", "p95", "p99") else c for c in s.columns])
+    return s.select(*[F.round(c, 2 if c == "total" else 6 if c in ("mean", "std") else 4).alias(c) if c in ("mean", "std", "total", "p50", "p95", "p99") else c for c in s.columns])
 
 
 @query(

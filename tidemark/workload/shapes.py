@@ -25,72 +25,72 @@ def rounded(df, **digits):
     return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else c for c in df.columns])
 
 
-@query("hour_of_day_profile", "A35 D02", f"WITH {_H} SELECT CAST(hour(hour) AS INT) AS hour_of_day, round(avg(total), 4) AS mean_total, count(*) AS hours FROM h GROUP BY 1")
+@query("hour_of_day_profile", "A35 D02", f"WITH {_H} SELECT CAST(hour(hour) AS INT) AS hour_of_day, round(avg(total), 7) AS mean_total, count(*) AS hours FROM h GROUP BY 1")
 def _(spark, sf):
-    return rounded(shape.hour_profile(hours(spark, sf)), mean_total=4)
+    return rounded(shape.hour_profile(hours(spark, sf)), mean_total=7)
 
 
-@query("weekday_profile", "A36 D03", f"WITH {_D} SELECT CAST(isodow(day) AS INT) AS iso_weekday, dayname(day) AS weekday, round(avg(total), 2) AS mean_total, count(*) AS days FROM d GROUP BY 1, 2")
+@query("weekday_profile", "A36 D03", f"WITH {_D} SELECT CAST(isodow(day) AS INT) AS iso_weekday, dayname(day) AS weekday, round(avg(total), 7) AS mean_total, count(*) AS days FROM d GROUP BY 1, 2")
 def _(spark, sf):
-    return rounded(shape.weekday_profile(days(spark, sf)), mean_total=2)
+    return rounded(shape.weekday_profile(days(spark, sf)), mean_total=7)
 
 
 @query(
     "weekday_hour_matrix",
     "A37 P12",
-    f"WITH {_H} SELECT CAST(isodow(hour) AS INT) AS iso_weekday, " + ", ".join(f"round(coalesce(avg(total) FILTER (hour(hour) = {i}), 0), 4) AS h{i:02d}" for i in range(24)) + " FROM h GROUP BY 1",
+    f"WITH {_H} SELECT CAST(isodow(hour) AS INT) AS iso_weekday, " + ", ".join(f"round(coalesce(avg(total) FILTER (hour(hour) = {i}), 0), 7) AS h{i:02d}" for i in range(24)) + " FROM h GROUP BY 1",
 )
 def _(spark, sf):
-    return rounded(shape.weekday_hour_matrix(hours(spark, sf)), **{f"h{i:02d}": 4 for i in range(24)})
+    return rounded(shape.weekday_hour_matrix(hours(spark, sf)), **{f"h{i:02d}": 7 for i in range(24)})
 
 
 @query(
     "busiest_hours",
     "A38",
     f"""WITH {_H}, p AS (SELECT CAST(hour(hour) AS INT) AS hour_of_day, avg(total) AS m FROM h WHERE isodow(hour) < 6 GROUP BY 1)
-    SELECT hour_of_day, round(m, 4) AS mean_total, round(100.0 * m / (SELECT sum(m) FROM p), 4) AS share_pct FROM p ORDER BY m DESC, 1 LIMIT 4""",
+    SELECT hour_of_day, round(m, 7) AS mean_total, round(100.0 * m / (SELECT sum(m) FROM p), 7) AS share_pct FROM p ORDER BY m DESC, 1 LIMIT 4""",
 )
 def _(spark, sf):
-    return rounded(shape.busiest_hours(hours(spark, sf)), mean_total=4, share_pct=4)
+    return rounded(shape.busiest_hours(hours(spark, sf)), mean_total=7, share_pct=7)
 
 
 @query(
     "headline_numbers",
     "A39 N03",
     f"""WITH {CLEAN}, d AS (SELECT CAST(transit_timestamp AS DATE) AS day, sum(ridership) AS r, sum(transfers) AS t, sum(ridership) FILTER (payment_method = 'omny') AS o FROM clean GROUP BY 1)
-    SELECT count(*) AS days, CAST(sum(r) AS BIGINT) AS total, round(avg(r), 4) AS mean_day, round(avg(r) FILTER (isodow(day) < 6), 4) AS mean_weekday, round(avg(r) FILTER (isodow(day) >= 6), 4) AS mean_weekend_day,
-    round(100.0 * sum(t) / sum(r), 4) AS transfers_pct, round(100.0 * sum(o) / sum(r), 4) AS omny_pct FROM d""",
+    SELECT count(*) AS days, CAST(sum(r) AS BIGINT) AS total, round(avg(r), 7) AS mean_day, round(avg(r) FILTER (isodow(day) < 6), 7) AS mean_weekday, round(avg(r) FILTER (isodow(day) >= 6), 7) AS mean_weekend_day,
+    round(100.0 * sum(t) / sum(r), 7) AS transfers_pct, round(100.0 * sum(o) / sum(r), 7) AS omny_pct FROM d""",
 )
 def _(spark, sf):
     h = shape.headline(clean_fact(spark, sf), "transit_timestamp", "ridership", "transfers", F.col("payment_method") == "omny")
-    return rounded(h, mean_day=4, mean_weekday=4, mean_weekend_day=4, transfers_pct=4, omny_pct=4)
+    return rounded(h, mean_day=7, mean_weekday=7, mean_weekend_day=7, transfers_pct=7, omny_pct=7)
 
 
 _M = "m AS (SELECT CAST(date_trunc('month', day) AS DATE) AS month, count(*) AS days, avg(total) AS mean_day FROM d GROUP BY 1)"
 
 
-@query("monthly_mean", "A40 D06", f"WITH {_D}, {_M} SELECT month, days, round(mean_day, 2) AS mean_day, days >= day(last_day(month)) AS complete FROM m")
+@query("monthly_mean", "A40 D06", f"WITH {_D}, {_M} SELECT month, days, round(mean_day, 7) AS mean_day, days >= day(last_day(month)) AS complete FROM m")
 def _(spark, sf):
-    return rounded(shape.monthly_mean(days(spark, sf)), mean_day=2)
+    return rounded(shape.monthly_mean(days(spark, sf)), mean_day=7)
 
 
 @query(
     "year_over_year",
     "A41",
     f"""WITH {_D}, {_M}, y AS (SELECT CAST(month(month) AS INT) AS calendar_month, max(mean_day) FILTER (year(month) = 1999) AS a, max(mean_day) FILTER (year(month) = 2000) AS b FROM m GROUP BY 1)
-    SELECT calendar_month, round(a, 2) AS mean_1999, round(b, 2) AS mean_2000, round(100 * (b / a - 1), 4) AS change_pct FROM y""",
+    SELECT calendar_month, round(a, 7) AS mean_1999, round(b, 7) AS mean_2000, round(100 * (b / a - 1), 7) AS change_pct FROM y""",
 )
 def _(spark, sf):
-    return rounded(shape.year_over_year(shape.monthly_mean(days(spark, sf)), [1999, 2000]), mean_1999=2, mean_2000=2, change_pct=4)
+    return rounded(shape.year_over_year(shape.monthly_mean(days(spark, sf)), [1999, 2000]), mean_1999=7, mean_2000=7, change_pct=7)
 
 
 @query(
     "monthly_share",
     "A42",
-    "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, round(100.0 * sum(o_totalprice) FILTER (o_orderstatus = 'F') / sum(o_totalprice), 4) AS share_pct FROM orders GROUP BY 1",
+    "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, round(100.0 * sum(o_totalprice) FILTER (o_orderstatus = 'F') / sum(o_totalprice), 7) AS share_pct FROM orders GROUP BY 1",
 )
 def _(spark, sf):
-    return rounded(shape.monthly_share(table(spark, sf, "orders"), "o_orderdate", "o_totalprice", F.col("o_orderstatus") == "F"), share_pct=4)
+    return rounded(shape.monthly_share(table(spark, sf, "orders"), "o_orderdate", "o_totalprice", F.col("o_orderstatus") == "F"), share_pct=7)
 
 
 @query(
