@@ -180,7 +180,7 @@ def test_stream_equals_batch_and_replays_change_nothing(spark, schedule, tmp_pat
     want = replay.run(m, schedule)
     store = microbatch.BatchStore(spark, str(tmp_path / "store"))
     stream = feeds.file_stream(spark, str(tmp_path / "in"), max_files=1)
-    microbatch.start(stream, store, schedule, str(tmp_path / "cp"), every=None).awaitTermination()
+    microbatch.start(stream, store, lambda: schedule, str(tmp_path / "cp"), every=None).awaitTermination()
     assert store.batches("log") == [0, 1, 2, 3]
 
     def same(a, b):
@@ -265,4 +265,4 @@ def test_average_and_route_delays(spark, schedule):
 
 
 def test_schedule_type():
-    assert {f for f in Schedule.__dataclass_fields__} == {"trips", "stop_times", "calendar", "calendar_dates", "stops"}
+    assert set(Schedule.__dataclass_fields__) == {"trips", "stop_times", "calendar", "calendar_dates", "stops", "first", "services"}

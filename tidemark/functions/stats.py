@@ -21,18 +21,18 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = (), slices: int = 64
+    df: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = (), fan: int = 16
 ) -> DataFrame:
     """Interpolated quantiles per group, one column ``q0, q1, …`` per probability.
 
     ``percentile`` keeps all distinct values of a group in one task. Here values
     are first counted (which spreads a hot group over all tasks), cut into
-    slices of about equal size at approximate quantiles, and only the slices
-    that hold a wanted rank are ordered, each as a group of its own.
+    ``fan``² slices of about equal size at approximate quantiles, and only the
+    slices that hold a wanted rank are ordered, each as a group of its own.
     """
     by = list(by)
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    cuts = [i / slices for i in range(1, slices)]
+    cuts = [i / (fan * fan) for i in range(1, fan * fan)]
     edges = counts.groupBy(*by).agg(
         F.percentile_approx("_v", cuts, 1000).alias("_edges"), F.sum("_n").alias("_total")
     )
@@ -40,9 +40,16 @@ def exact_quantiles(
         joined = counts.join(edges.select(*by, "_edges"), by)
     else:
         joined = counts.withColumn("_edges", edges.select("_edges").scalar())
-    sliced = joined.withColumn("_slice", F.size(F.filter("_edges", lambda e: e < F.col("_v")))).drop("_edges")
 
-    # At most `slices` rows per group from here to `wanted`.
+    def above(edge) -> Column:
+        return F.coalesce((F.get("_edges", edge) < F.col("_v")).cast("int"), F.lit(0))
+
+    # Edges below the value, found in two steps of `fan` plain comparisons.
+    coarse = sum((above(F.lit(fan * i - 1)) for i in range(1, fan)), F.lit(0))
+    fine = sum((above(F.col("_coarse") * fan + i) for i in range(fan - 1)), F.lit(0))
+    sliced = joined.withColumn("_coarse", coarse).withColumn("_slice", F.col("_coarse") * fan + fine).drop("_edges", "_coarse")
+
+    # At most `fan`² rows per group from here to `wanted`.
     per_slice = sliced.groupBy(*by, "_slice").agg(F.sum("_n").alias("_rows"))
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -59,9 +59,9 @@ def previous_row(
 ) -> DataFrame:
     """Struct ``name`` with ``values`` of the preceding row of the same key.
 
-    ``order`` must be a total order within a key, ``slices`` are one or more
-    columns, fine to coarse, that do not decrease along it, and keys are not
-    NULL.
+    ``order`` must be a total order within a key, ``slices`` are columns, fine
+    to coarse, that do not decrease along it, and keys are not NULL. Without
+    slices a key is ordered in one task; that is for rows of a checked number.
     """
     rows, levels = _sliced(df, slices)
     return _along(rows, list(key), order, levels, F.struct(*values), "last", name).drop(*levels)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import textfns, timefns
+from tidemark.model import LOCAL_ZONE
+from tidemark.sources.tables import written_once
 
 WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 # Fixed values of exception_type.
@@ -23,6 +28,31 @@ class Schedule:
     calendar: DataFrame  # service_id, monday … sunday, start_date, end_date, _order
     calendar_dates: DataFrame  # service_id, date, exception_type, _order
     stops: DataFrame  # stop_id, stop_name
+    first: DataFrame | None = None  # first_arrivals, once prepared
+    services: DataFrame | None = None  # services_by_day, once prepared
+
+
+def prepare(schedule: Schedule) -> Schedule:
+    """Work out the lookups once and keep them in the shared folder, for use by many batches."""
+    return replace(
+        schedule,
+        first=written_once(first_arrivals(schedule), "first_arrivals"),
+        services=written_once(services_by_day(schedule), "services"),
+        stops=written_once(schedule.stops, "stops"),
+    )
+
+
+class DailySchedule:
+    """A schedule that is loaded and prepared again when the local date changes."""
+
+    def __init__(self, load: Callable[[], Schedule], zone: str = LOCAL_ZONE):
+        self.load, self.zone, self.loaded_on = load, ZoneInfo(zone), None
+
+    def current(self) -> Schedule:
+        today = dt.datetime.now(self.zone).date()
+        if self.loaded_on != today:
+            self.schedule, self.loaded_on = prepare(self.load()), today
+        return self.schedule
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -91,10 +121,11 @@ def scheduled_seconds(keys: DataFrame, schedule: Schedule) -> DataFrame:
     Only the distinct keys meet the schedule; observations join the result.
     """
     wanted = keys.where("trip_key IS NOT NULL").select("service_day", "trip_key", "stop_id").distinct()
-    services = services_by_day(schedule).withColumnRenamed("day", "service_day")
+    services = (schedule.services or services_by_day(schedule)).withColumnRenamed("day", "service_day")
+    first = schedule.first or first_arrivals(schedule)
     return (
         wanted.join(services, "service_day")
-        .join(first_arrivals(schedule), ["service_id", "trip_key", "stop_id"])
+        .join(first, ["service_id", "trip_key", "stop_id"])
         .groupBy("service_day", "trip_key", "stop_id")
         .agg(F.min_by("seconds", F.struct("_late", "_order")).alias("seconds"))
     )

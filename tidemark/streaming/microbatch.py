@@ -10,6 +10,8 @@ restart. Nothing is collected to the driver.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tidemark.operators.dedup import last_per_key
 from tidemark.operators.upsert import retain_days
-from tidemark.sources.schedule import Schedule
+from tidemark.sources.schedule import DailySchedule, Schedule
 from tidemark.sources.tables import committed, remove
 from tidemark.streaming import records
 
@@ -27,6 +29,10 @@ STATE_SCHEMAS = {
 }
 
 
+# Messages up to which one task may order a feed or a trip.
+SMALL_BATCH = 100_000
+
+
 class BatchStore:
     """Folders ``<table>/batch_id=N`` below one path."""
 
@@ -125,21 +131,35 @@ def process(messages: DataFrame, batch_id: int, store: BatchStore, schedule: Sch
     seen_before = store.state("feeds", batch_id)
     trips_before = store.state("trips", batch_id)
 
-    kept = messages.persist(StorageLevel.MEMORY_AND_DISK)
-    marks = records.mark_repeated(kept, seen_before)
-    rows = records.entities(records.fresh(kept, marks))
-    obs = records.with_delay(records.observations(rows), schedule).persist(StorageLevel.MEMORY_AND_DISK)
-
-    # Documents first: writing them again changes nothing.
-    store.write("arrivals", batch_id, records.arrivals(obs, schedule.stops, trips_before))
-    store.write("alerts", batch_id, records.alerts(rows))
-    store.write("minute", batch_id, records.delay_minute(obs, records.stopped(rows)))
-    store.write("hour", batch_id, records.delay_hourly(obs))
-    store.write("trips", batch_id, records.next_trip_state(obs, trips_before))
-    store.write("feeds", batch_id, records.next_last_seen(kept, seen_before))
-    store.write("log", batch_id, batch_row(marks, started))
-    obs.unpersist()
-    kept.unpersist()
+    held = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    try:
+        kept = hold(messages)
+        # A trip or feed has at most one row per message, so a small batch needs no slices.
+        sliced = kept.count() > SMALL_BATCH
+        marks = hold(records.mark_repeated(kept, seen_before, sliced))
+        rows = hold(records.entities(records.fresh(kept, marks)))
+        obs = hold(records.with_delay(records.observations(rows), schedule))
+        outputs = {
+            "arrivals": records.arrivals(obs, schedule.stops, trips_before, sliced),
+            "alerts": records.alerts(rows),
+            "minute": records.delay_minute(obs, records.stopped(rows)),
+            "hour": records.delay_hourly(obs),
+            "trips": records.next_trip_state(obs, trips_before),
+            "feeds": records.next_last_seen(kept, seen_before),
+        }
+        # The folders do not depend on each other, so their jobs may overlap.
+        with ThreadPoolExecutor(len(outputs)) as pool:
+            for done in [pool.submit(store.write, table, batch_id, df) for table, df in outputs.items()]:
+                done.result()
+        store.write("log", batch_id, batch_row(marks, started))
+    finally:
+        for df in held:
+            df.unpersist()
 
 
 def batch_row(marks: DataFrame, started: float) -> DataFrame:
@@ -155,10 +175,14 @@ def batch_row(marks: DataFrame, started: float) -> DataFrame:
     ).withColumns({"processed_at": F.current_timestamp(), "seconds": F.lit(time.time() - started)})
 
 
-def start(messages: DataFrame, store: BatchStore, schedule: Schedule, checkpoint: str, every: str | None = "30 seconds"):
-    """Start the query; ``every=None`` processes what is there and stops."""
+def start(messages: DataFrame, store: BatchStore, load_schedule: Callable[[], Schedule], checkpoint: str, every: str | None = "30 seconds"):
+    """Start the query; ``every=None`` processes what is there and stops.
+
+    The schedule is loaded at the first batch of each local day.
+    """
+    daily = DailySchedule(load_schedule)
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch_id: process(df, batch_id, store, schedule)
+        lambda df, batch_id: process(df, batch_id, store, daily.current())
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

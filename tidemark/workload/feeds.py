@@ -348,7 +348,7 @@ def run_stream(spark, sf) -> microbatch.BatchStore:
     # A pattern, because the file source takes a plain path for a folder.
     events = feeds.file_stream(spark, f"{sf}/event[s].parquet", table(spark, sf, "events").schema)
     store = microbatch.BatchStore(spark, f"{root}/store")
-    microbatch.start(messages_of(events), store, schedule(spark, sf), f"{root}/checkpoint", every=None).awaitTermination()
+    microbatch.start(messages_of(events), store, lambda: schedule(spark, sf), f"{root}/checkpoint", every=None).awaitTermination()
     return store
 
 
