@@ -37,11 +37,10 @@ def duplicate_examples(df: DataFrame, keys: Sequence[str], value: str, limit: in
     Long form (key, n, value, times): a key that repeats without bound is
     counted per value instead of being gathered into one list.
     """
-    top = (
-        key_counts(df, keys).where("n > 1").orderBy(F.desc("n"), *keys).limit(limit)
-    )
-    per_value = df.groupBy(*keys, value).agg(F.count("*").alias("times"))
-    return per_value.join(top, list(keys)).select(*keys, "n", value, "times")
+    top = key_counts(df, keys).where("n > 1").orderBy(F.desc("n"), *keys).limit(limit)
+    # `limit` rows at most, so they travel to the table and not the table to them.
+    rows = df.select(*keys, value).join(F.broadcast(top), list(keys))
+    return rows.groupBy(*keys, "n", value).agg(F.count("*").alias("times"))
 
 
 def duplicates_by_month(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

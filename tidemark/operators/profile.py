@@ -155,7 +155,7 @@ def shared_values(df: DataFrame, value: Sequence[str], key: str, limit: int = 20
     top = (
         pairs.groupBy(*value).agg(F.count("*").alias("ids")).where("ids > 1").orderBy(F.desc("ids"), *value).limit(limit)
     )
-    return pairs.join(top, list(value))
+    return pairs.join(F.broadcast(top), list(value))  # at most `limit` rows
 
 
 def partial_range(df: DataFrame, key: str, ts: str, days: int = 1) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark import model
 from tidemark.functions import textfns, timefns
+from tidemark.sources.tables import written_once
 
 
 class QualityError(RuntimeError):
@@ -98,13 +99,25 @@ def dominant_value(df: DataFrame, key: str, category: str, name: str) -> DataFra
     return counted.groupBy(key).agg(F.max_by(category, F.struct("_n", category)).alias(name))
 
 
-def with_station_mode(df: DataFrame, station_mode: DataFrame) -> DataFrame:
+def station_mode(df: DataFrame) -> DataFrame:
+    """Dominant mode of every station, written once.
+
+    As a stored table the lookup has a known size when the join is planned, so
+    it is broadcast below the threshold and the fact is not shuffled for it.
+    Computed in the same plan, the fact would already be moving when the size
+    is found out.
+    """
+    known = df.where("station_complex_id IS NOT NULL")
+    return written_once(dominant_value(known, "station_complex_id", "transit_mode", "station_mode"), "station-mode")
+
+
+def with_station_mode(df: DataFrame, modes: DataFrame) -> DataFrame:
     """Left join, so rows with a NULL station id still reach the rules.
 
-    No broadcast hint: adaptive execution broadcasts the lookup when its
-    measured size is below the threshold and splits skewed stations otherwise.
+    No broadcast hint: the planner goes by the size of the stored lookup, and
+    beyond the threshold adaptive execution splits skewed stations.
     """
-    return df.join(station_mode, "station_complex_id", "left")
+    return df.join(modes, "station_complex_id", "left")
 
 
 # --- tagging and counting ---------------------------------------------------

@@ -170,9 +170,7 @@ def build_months(lake: Lake, raw: DataFrame, months: list[dt.date], run: Run | N
     stage = lambda s: setattr(run, "stage", s) if run else None
     stage("gate")
     rules = quality.fact_rules()
-    mode = written_once(
-        quality.dominant_value(raw.where("station_complex_id IS NOT NULL"), "station_complex_id", "transit_mode", "station_mode"), "modes"
-    )
+    mode = quality.station_mode(raw)
     # The folder column prunes the scan to the months.
     rows = raw.where(timefns.month_start("day").isin(months))
     with_mode = quality.with_station_mode(rows, mode)
@@ -295,8 +293,7 @@ def run_etl(lake: Lake, source: DataFrame) -> Run:
 
         run.stage = "gate"
         rules = quality.fact_rules()
-        mode = quality.dominant_value(raw.where("station_complex_id IS NOT NULL"), "station_complex_id", "transit_mode", "station_mode")
-        with_mode = quality.with_station_mode(raw, written_once(mode, "modes"))
+        with_mode = quality.with_station_mode(raw, quality.station_mode(raw))
         quality.gate(with_mode, rules)
 
         run.stage = "transform"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model import SOURCE_COLUMNS
-from tidemark.operators.quality import clean, dominant_value, with_station_mode
+from tidemark.operators.quality import clean, station_mode, with_station_mode
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,8 +103,7 @@ def dirty_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def moded(df: DataFrame) -> DataFrame:
     """Rows with the dominant mode of their station."""
-    mode = dominant_value(df.where("station_complex_id IS NOT NULL"), "station_complex_id", "transit_mode", "station_mode")
-    return with_station_mode(df, mode)
+    return with_station_mode(df, station_mode(df))
 
 
 def clean_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

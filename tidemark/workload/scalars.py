@@ -134,7 +134,8 @@ def _(spark, sf):
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
     flags = holiday_days(spark, sf).withColumn("_h", F.lit(True))
-    return orders.join(flags, "day", "left").select("o_orderkey", F.col("_h").isNotNull().alias("is_holiday"))
+    # At most 17 dates a year.
+    return orders.join(F.broadcast(flags), "day", "left").select("o_orderkey", F.col("_h").isNotNull().alias("is_holiday"))
 
 
 @query(
