@@ -70,7 +70,43 @@ def station_hour_profile(clean: DataFrame) -> DataFrame:
     ).agg(F.sum("ridership").alias("_sum"))
     days = clean.select(F.to_date(TS).alias("_day")).distinct()
     counts = days.groupBy(timefns.day_type("_day").alias("day_type")).agg(F.count("*").alias("_days"))
-    return typed.join(counts, "day_type").select(
+    return typed.join(F.broadcast(counts), "day_type").select(  # two day types
+        "station_complex_id", "day_type", "hour_of_day", (F.col("_sum") / F.col("_days")).alias("mean_ridership")
+    )
+
+
+# --- the same marts from monthly parts ------------------------------------------
+
+STATION_ATTRIBUTES = ["station_complex", "borough", "transit_mode", "latitude", "longitude"]
+
+
+def station_parts(clean: DataFrame) -> DataFrame:
+    """Per month and station: each attribute with the time it was last seen."""
+    latest = [F.max(F.struct(F.col(TS).alias("ts"), F.col(a).alias("v"))).alias(a) for a in STATION_ATTRIBUTES]
+    return clean.groupBy(timefns.month_start(TS).alias("first_day"), "station_complex_id").agg(*latest)
+
+
+def station_dim_from_parts(parts: DataFrame) -> DataFrame:
+    """Equal to :func:`station_dim` of all rows behind the parts."""
+    merged = parts.groupBy("station_complex_id").agg(*[F.max(a).alias(a) for a in STATION_ATTRIBUTES])
+    return merged.select("station_complex_id", *[F.col(f"{a}.v").alias(a) for a in STATION_ATTRIBUTES])
+
+
+def profile_parts(clean: DataFrame) -> DataFrame:
+    """Per month: totals by station, day type and hour."""
+    return clean.groupBy(
+        timefns.month_start(TS).alias("first_day"),
+        "station_complex_id",
+        timefns.day_type(TS).alias("day_type"),
+        F.hour(TS).alias("hour_of_day"),
+    ).agg(F.sum("ridership").alias("ridership"))
+
+
+def profile_from_parts(parts: DataFrame, days: DataFrame) -> DataFrame:
+    """Equal to :func:`station_hour_profile`; ``days`` lists every observed day once."""
+    counts = days.groupBy(timefns.day_type("day").alias("day_type")).agg(F.count("*").alias("_days"))
+    totals = parts.groupBy("station_complex_id", "day_type", "hour_of_day").agg(F.sum("ridership").alias("_sum"))
+    return totals.join(F.broadcast(counts), "day_type").select(  # two day types
         "station_complex_id", "day_type", "hour_of_day", (F.col("_sum") / F.col("_days")).alias("mean_ridership")
     )
 

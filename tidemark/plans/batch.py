@@ -66,10 +66,14 @@ class Lake:
     hourly = property(lambda self: self.fact("ridership_hourly", "hour"))
     daily_station = property(lambda self: self.fact("ridership_daily_station", "day"))
     daily_class = property(lambda self: self.fact("ridership_daily_class", "day"))
+    station_parts = property(lambda self: self.fact("station_parts", "first_day"))
+    profile_parts = property(lambda self: self.fact("profile_parts", "first_day"))
 
     @property
     def facts(self) -> dict[str, MonthTable]:
-        return {"hourly": self.hourly, "daily_station": self.daily_station, "daily_class": self.daily_class}
+        """Every table kept by month."""
+        names = ("hourly", "daily_station", "daily_class", "station_parts", "profile_parts")
+        return {n: getattr(self, n) for n in names}
 
 
 def fingerprint(source: DataFrame) -> DataFrame:
@@ -187,6 +191,8 @@ def build_months(lake: Lake, raw: DataFrame, months: list[dt.date], run: Run | N
     lake.hourly.replace_months(marts.hourly_by_method(clean))
     lake.daily_station.replace_months(marts.daily_by_station(clean))
     lake.daily_class.replace_months(marts.daily_by_class(clean))
+    lake.station_parts.replace_months(marts.station_parts(clean))
+    lake.profile_parts.replace_months(marts.profile_parts(clean))
     version = rows.groupBy(timefns.month_start("day").alias("month")).agg(
         F.count("*").alias("rows"), F.max("source_updated_at").alias("source_updated_at"), F.current_timestamp().alias("built_at")
     )
@@ -199,13 +205,18 @@ def _partition_filter(months: list[dt.date]):
 
 
 def build_full_marts(lake: Lake) -> None:
-    """Dimensions and the station profile from all clean months."""
-    if not any(n.startswith("year=") for n in children(lake.spark, lake.clean)):
+    """Dimensions and the station profile over all months.
+
+    They are merged from the monthly parts, so a run reads the clean rows of
+    its own months only.
+    """
+    days = lake.daily_class.read()
+    if days is None:
         return
-    clean = lake.spark.read.parquet(lake.clean).drop("year", "month")
-    lake.stations.replace(marts.station_dim(clean))
-    lake.dates.replace(marts.date_dim(clean))
-    lake.profile.replace(marts.station_hour_profile(clean))
+    days = days.select("day").distinct()
+    lake.stations.replace(marts.station_dim_from_parts(lake.station_parts.read()))
+    lake.dates.replace(marts.date_dim(days, "day"))
+    lake.profile.replace(marts.profile_from_parts(lake.profile_parts.read(), days))
 
 
 def drop_month(lake: Lake, month: dt.date) -> None:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import model
 from tidemark.functions import timefns
 from tidemark.operators import dedup, incremental
 from tidemark.session import scratch
@@ -66,12 +68,12 @@ def cycle(source: DataFrame, store: Store, ts: str, init: dt.datetime, today: dt
     return info
 
 
-def merge_months(source: DataFrame, path: str, ts: str, expected: DataFrame) -> DataFrame:
+def merge_months(source: DataFrame, path: str, ts: str, expected: DataFrame, keys: Sequence[str] = model.ROW_KEY) -> DataFrame:
     """Write the months of a snapshot and return their manifest with a completeness flag.
 
     ``expected`` holds (month, expected_rows) as the source announced them.
     """
-    files.write_months(source, path, ts)
+    files.write_months(source, path, ts, keys)
     back = source.sparkSession.read.parquet(path).drop("year", "month")
     manifest = incremental.month_manifest(back, expected, ts)
     return manifest.withColumn("complete", F.col("rows").eqNullSafe(F.col("expected_rows")))

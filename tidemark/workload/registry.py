@@ -14,7 +14,7 @@ ORACLES: dict[str, str] = {}
 COVERS: dict[str, str] = {}
 MODULE_OF: dict[str, str] = {}
 
-MODULES = ["rules", "marts", "planning", "profiling", "shapes", "feeds", "merges", "ordered", "scalars", "learning"]
+MODULES = ["rules", "marts", "planning", "profiling", "shapes", "feeds", "merges", "ordered", "scalars", "jobs", "learning"]
 
 
 def query(name: str, covers: str, sql: str | None = None):
