@@ -210,10 +210,11 @@ def build_full_marts(lake: Lake) -> None:
     They are merged from the monthly parts, so a run reads the clean rows of
     its own months only.
     """
-    days = lake.daily_class.read()
-    if days is None:
+    if lake.daily_class.read() is None:  # the last month is gone
+        for table in (lake.stations, lake.dates, lake.profile):
+            table.replace(table.read().limit(0))
         return
-    days = days.select("day").distinct()
+    days = lake.daily_class.read().select("day").distinct()
     lake.stations.replace(marts.station_dim_from_parts(lake.station_parts.read()))
     lake.dates.replace(marts.date_dim(days, "day"))
     lake.profile.replace(marts.profile_from_parts(lake.profile_parts.read(), days))
