@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import timefns
 from tidemark.operators import incremental, marts, quality
 from tidemark.operators.upsert import month_list
-from tidemark.session import configure, scratch
+from tidemark.session import configure, scratch, scratch_scope
 from tidemark.sources import files
 from tidemark.sources.tables import MonthTable, Table, children, exists, remove, written_once
 
@@ -111,55 +111,60 @@ def run_batch(lake: Lake, source: DataFrame, limit_days: int | None = None, rebu
     configure(lake.spark)
     run = Run(lake, "batch")
     try:
-        run.stage = "plan"
-        server = written_once(fingerprint(source), "server")
-        stored = lake.fingerprints.read()
-        changes = written_once(incremental.changed_days(server, stored), "changes")
-        removed = [r.day for r in changes.where("change = 'removed'").toLocalIterator()]
-        fetch = changes.where("change <> 'removed'")
-        if limit_days is not None:
-            fetch = written_once(incremental.newest_days(fetch, limit_days), "fetch")
-        counts = fetch.join(server, "day").agg(F.count("*").alias("days"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
-        touched = set(_months(fetch.select(timefns.month_start("day").alias("month")))) | {d.replace(day=1) for d in removed}
-
-        run.stage = "extract"
-        if counts.days:
-            rows = source.withColumn("_d", F.to_date(marts.TS)).join(fetch.select(F.col("day").alias("_d")), "_d", "left_semi").drop("_d")
-            landed = files.with_bookkeeping(rows, F.col("source_updated_at"), F.current_timestamp())
-            files.write_days(landed, lake.raw)
-        for day in removed:
-            remove(lake.spark, f"{lake.raw}/day={day}")
-        # Only now: a day counts as stored when its file is written.
-        if counts.days or removed:
-            fresh = server.join(fetch.select("day"), "day", "left_semi")
-            kept = stored.join(changes.where("change = 'removed'").select("day"), "day", "left_anti")
-            kept = kept.join(fetch.select("day"), "day", "left_anti")
-            lake.fingerprints.replace(kept.unionByName(fresh))
-
-        if not any(n.startswith("day=") for n in children(lake.spark, lake.raw)):
-            for month in touched:
-                drop_month(lake, month)
-            run.finish("success", counts.days, counts.rows, touched)
-            return run
-        raw = files.read_parquet(lake.spark, lake.raw)
-        present = set(_months(lake.fingerprints.read().select(timefns.month_start("day").alias("month"))))
-        # Months an earlier run fetched but could not build are due as well.
-        months = sorted(present if rebuild else (touched | set(_months(stale_months(lake)))) & present)
-        build_months(lake, raw, months, run)
-        vanished = sorted(touched - present)
-        for month in vanished:
-            drop_month(lake, month)
-        if months or vanished:
-            run.stage = "full marts"
-            build_full_marts(lake)
-        run.stage = "done"
-        run.finish("success", counts.days, counts.rows, months)
+        with scratch_scope(lake.spark):
+            _run_batch(lake, source, limit_days, rebuild, run)
     except Exception as error:
         run.finish("failed", message=f"{type(error).__name__}: {error}")
         raise
     return run
 
 
+def _run_batch(lake: Lake, source: DataFrame, limit_days: int | None, rebuild: bool, run: Run) -> None:
+    run.stage = "plan"
+    server = written_once(fingerprint(source), "server")
+    stored = lake.fingerprints.read()
+    changes = written_once(incremental.changed_days(server, stored), "changes")
+    removed = [r.day for r in changes.where("change = 'removed'").toLocalIterator()]
+    fetch = changes.where("change <> 'removed'")
+    if limit_days is not None:
+        fetch = written_once(incremental.newest_days(fetch, limit_days), "fetch")
+    counts = fetch.join(server, "day").agg(F.count("*").alias("days"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    touched = set(_months(fetch.select(timefns.month_start("day").alias("month")))) | {d.replace(day=1) for d in removed}
+
+    run.stage = "extract"
+    if counts.days:
+        rows = source.withColumn("_d", F.to_date(marts.TS)).join(fetch.select(F.col("day").alias("_d")), "_d", "left_semi").drop("_d")
+        landed = files.with_bookkeeping(rows, F.col("source_updated_at"), F.current_timestamp())
+        files.write_days(landed, lake.raw)
+    for day in removed:
+        remove(lake.spark, f"{lake.raw}/day={day}")
+    # Only now: a day counts as stored when its file is written.
+    if counts.days or removed:
+        fresh = server.join(fetch.select("day"), "day", "left_semi")
+        kept = stored.join(changes.where("change = 'removed'").select("day"), "day", "left_anti")
+        kept = kept.join(fetch.select("day"), "day", "left_anti")
+        lake.fingerprints.replace(kept.unionByName(fresh))
+
+    if not any(n.startswith("day=") for n in children(lake.spark, lake.raw)):
+        for month in touched:
+            drop_month(lake, month)
+        run.finish("success", counts.days, counts.rows, touched)
+        return
+    raw = files.read_parquet(lake.spark, lake.raw)
+    present = set(_months(lake.fingerprints.read().select(timefns.month_start("day").alias("month"))))
+    # Months an earlier run fetched but could not build are due as well.
+    months = sorted(present if rebuild else (touched | set(_months(stale_months(lake)))) & present)
+    build_months(lake, raw, months, run)
+    vanished = sorted(touched - present)
+    for month in vanished:
+        drop_month(lake, month)
+    if months or vanished:
+        run.stage = "full marts"
+        build_full_marts(lake)
+    run.stage = "done"
+    run.finish("success", counts.days, counts.rows, months)
+
+
 def stale_months(lake: Lake) -> DataFrame:
     """Months whose fetched days are not what their clean version was built from."""
     fetched = lake.fingerprints.read().groupBy(timefns.month_start("day").alias("month")).agg(F.sum("rows").alias("_rows"))
@@ -284,68 +289,69 @@ def run_etl(lake: Lake, source: DataFrame) -> Run:
     """Reload whole months: no raw layer, ten checks before the load, observed days only."""
     configure(lake.spark)
     run = Run(lake, "etl")
-    staging = None
     try:
-        run.stage = "plan"
-        server = written_once(fingerprint(source), "server")
-        stored = lake.fingerprints.read()
-        changes = written_once(incremental.changed_days(server, stored), "changes")
-        months = _months(incremental.changed_months(changes))
-        if not months:
-            run.stage = "done"
-            run.finish("success", message="no change")
-            return run
-        present = set(_months(server.select(timefns.month_start("day").alias("month"))))
-        build = [m for m in months if m in present]
-
-        run.stage = "extract"
-        staging = scratch(lake.spark, "staging")
-        source.where(_in_months(marts.TS, months)).write.parquet(f"{staging}/raw")
-        raw = lake.spark.read.schema(source.schema).parquet(f"{staging}/raw")
-
-        run.stage = "gate"
-        rules = quality.fact_rules()
-        with_mode = quality.with_station_mode(raw, quality.station_mode(raw))
-        quality.gate(with_mode, rules)
-
-        run.stage = "transform"
-        quality.clean_features(with_mode).write.parquet(f"{staging}/clean")
-        clean = lake.spark.read.parquet(f"{staging}/clean")
-        hourly = marts.hourly_by_method(clean, dst_flag=True)
-        daily = marts.daily_by_station(clean)
-
-        run.stage = "check"
-        failed = [r.check for r in quality.post_checks(raw, clean, hourly, daily).where("NOT passed").collect()]
-        if failed:
-            raise quality.QualityError(f"checks failed: {', '.join(sorted(failed))}")
-
-        run.stage = "load"
-        lake.hourly.replace_months(hourly)
-        lake.daily_station.replace_months(daily)
-        lake.daily_class.replace_months(marts.daily_by_class(clean))
-        for month in months:
-            if month not in present:
-                for table in lake.facts.values():
-                    table.delete_month(month)
-        lake.quality.upsert(quality.counts_by_month(with_mode, rules), ["month", "tag"])
-        lake.stations.upsert(marts.station_dim(clean), ["station_complex_id"])
-        lake.dates.upsert(marts.date_dim(clean, observed_only=True), ["date"])
-        fresh = server.where(timefns.month_start("day").isin(months))
-        others = stored.where(~timefns.month_start("day").isin(months))
-        lake.fingerprints.replace(others.unionByName(fresh))
-
-        total = fresh.agg(F.count("*").alias("days"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
-        run.stage = "done"
-        run.finish("success", total.days, total.rows, build)
+        with scratch_scope(lake.spark):  # the staging folder goes as well
+            _run_etl(lake, source, run)
     except Exception as error:
         run.finish("failed", message=f"{type(error).__name__}: {error}")
         raise
-    finally:
-        if staging:
-            remove(lake.spark, staging)
     return run
 
 
+def _run_etl(lake: Lake, source: DataFrame, run: Run) -> None:
+    run.stage = "plan"
+    server = written_once(fingerprint(source), "server")
+    stored = lake.fingerprints.read()
+    changes = written_once(incremental.changed_days(server, stored), "changes")
+    months = _months(incremental.changed_months(changes))
+    if not months:
+        run.stage = "done"
+        run.finish("success", message="no change")
+        return
+    present = set(_months(server.select(timefns.month_start("day").alias("month"))))
+    build = [m for m in months if m in present]
+
+    run.stage = "extract"
+    staging = scratch(lake.spark, "staging")
+    source.where(_in_months(marts.TS, months)).write.parquet(f"{staging}/raw")
+    raw = lake.spark.read.schema(source.schema).parquet(f"{staging}/raw")
+
+    run.stage = "gate"
+    rules = quality.fact_rules()
+    with_mode = quality.with_station_mode(raw, quality.station_mode(raw))
+    quality.gate(with_mode, rules)
+
+    run.stage = "transform"
+    quality.clean_features(with_mode).write.parquet(f"{staging}/clean")
+    clean = lake.spark.read.parquet(f"{staging}/clean")
+    hourly = marts.hourly_by_method(clean, dst_flag=True)
+    daily = marts.daily_by_station(clean)
+
+    run.stage = "check"
+    failed = [r.check for r in quality.post_checks(raw, clean, hourly, daily).where("NOT passed").collect()]
+    if failed:
+        raise quality.QualityError(f"checks failed: {', '.join(sorted(failed))}")
+
+    run.stage = "load"
+    lake.hourly.replace_months(hourly)
+    lake.daily_station.replace_months(daily)
+    lake.daily_class.replace_months(marts.daily_by_class(clean))
+    for month in months:
+        if month not in present:
+            for table in lake.facts.values():
+                table.delete_month(month)
+    lake.quality.upsert(quality.counts_by_month(with_mode, rules), ["month", "tag"])
+    lake.stations.upsert(marts.station_dim(clean), ["station_complex_id"])
+    lake.dates.upsert(marts.date_dim(clean, observed_only=True), ["date"])
+    fresh = server.where(timefns.month_start("day").isin(months))
+    others = stored.where(~timefns.month_start("day").isin(months))
+    lake.fingerprints.replace(others.unionByName(fresh))
+
+    total = fresh.agg(F.count("*").alias("days"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    run.stage = "done"
+    run.finish("success", total.days, total.rows, build)
+
+
 def row_flow(stages: dict[str, DataFrame]) -> DataFrame:
     """(stage, rows) from extract to load."""
     out = None

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark import model
 from tidemark.functions import timefns
 from tidemark.operators import dedup, incremental
-from tidemark.session import scratch
+from tidemark.session import scratch, scratch_scope
 from tidemark.sources import files
 from tidemark.sources.tables import Table, children
 
@@ -43,6 +43,11 @@ def cycle(source: DataFrame, store: Store, ts: str, init: dt.datetime, today: dt
     duplicate: all of them are stored by then. Rows that arrive late, below the
     watermark, are not seen; the fingerprint plan finds those.
     """
+    with scratch_scope(source.sparkSession):
+        return _cycle(source, store, ts, init, today)
+
+
+def _cycle(source: DataFrame, store: Store, ts: str, init: dt.datetime, today: dt.date | None) -> dict:
     spark = source.sparkSession
     kept = store.state.read().first()
     before = kept.watermark if kept else init
