@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import month_key
+from tidemark.sources.tables import written_once
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -24,10 +25,28 @@ def key_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def hash_repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, n) of the keys that occur more than once, for wide keys.
+
+    The first pass groups eight-byte hashes instead of whole keys. Hashes that
+    repeat are stored, so their size is known, and only rows that carry one are
+    compared by their whole key: hash collisions change nothing.
+    """
+    hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
+    repeated = written_once(hashed.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h"), "hashes")
+    return key_counts(hashed.join(repeated, "_h", "left_semi"), keys).where("n > 1")
+
+
+def hashed_excess_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows in excess of one per key, by way of the hashes."""
+    return hash_repeated(df, keys).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess_rows"))
+
+
 def full_row_summary(df: DataFrame) -> DataFrame:
     """Rows, distinct rows and rows that repeat another one in every column."""
-    return df.groupBy(*df.columns).agg(F.count("*").alias("_n")).agg(
-        F.sum("_n").alias("rows"), F.count("*").alias("distinct_rows"), F.sum(F.col("_n") - 1).alias("repeated_rows")
+    rows = df.agg(F.count("*")).scalar()
+    return hashed_excess_rows(df, df.columns).select(
+        rows.alias("rows"), (rows - F.col("excess_rows")).alias("distinct_rows"), F.col("excess_rows").alias("repeated_rows")
     )
 
 
@@ -45,24 +64,8 @@ def duplicate_examples(df: DataFrame, keys: Sequence[str], value: str, limit: in
 
 def duplicates_by_month(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Duplicated keys per month of their time column."""
-    return (
-        key_counts(df, keys)
-        .where("n > 1")
-        .groupBy(month_key(ts).alias("month"))
-        .agg(F.count("*").alias("duplicated_keys"))
-    )
-
-
-def hashed_excess_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Excess rows per key, comparing whole keys only where 64-bit hashes collide.
-
-    The first pass groups eight-byte hashes; the second sees only the rows whose
-    hash occurs more than once.
-    """
-    hashed = df.select(*keys, F.xxhash64(*keys).alias("_h"))
-    repeated = hashed.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h")
-    suspects = hashed.join(repeated, "_h", "left_semi")
-    return key_counts(suspects, keys).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess_rows"))
+    months = key_counts(df, keys).where("n > 1").groupBy(F.trunc(ts, "MM").alias("_m")).agg(F.count("*").alias("duplicated_keys"))
+    return months.select(month_key("_m").alias("month"), "duplicated_keys")
 
 
 def distinct_batch(batch: DataFrame) -> DataFrame:

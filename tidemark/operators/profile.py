@@ -120,19 +120,18 @@ def log_histogram(df: DataFrame, value: str, linear_to: int = 20, per_doubling:
 def attribute_consistency(df: DataFrame, key: str, attributes: Sequence[Sequence[str]]) -> DataFrame:
     """Ids with more than one value of an attribute (or attribute tuple).
 
-    Distinct (id, attribute) pairs are counted attribute by attribute; each
-    pass shuffles only distinct pairs.
+    One scan reduces the rows to distinct combinations, few per id; the
+    attributes are counted on those.
     """
-    parts = []
-    for columns in attributes:
-        pairs = df.select(key, F.struct(*columns).alias("_a")).distinct()
-        per = pairs.groupBy(key).agg(F.count("*").alias("_n"))
-        parts.append(
-            per.agg(F.count("*").alias("ids"), F.count_if(F.col("_n") > 1).alias("inconsistent")).select(
-                F.lit("+".join(columns)).alias("attribute"), "ids", "inconsistent"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    columns = list(dict.fromkeys(c for group in attributes for c in group))
+    combinations = df.select(key, *columns).distinct()
+    values = [F.col(c[0]) if len(c) == 1 else F.struct(*c) for c in attributes]
+    per = combinations.groupBy(key).agg(*[F.count_distinct(v).alias(f"_{i}") for i, v in enumerate(values)])
+    rows = [
+        F.struct(F.lit("+".join(c)).alias("attribute"), F.count("*").alias("ids"), F.count_if(F.col(f"_{i}") > 1).alias("inconsistent"))
+        for i, c in enumerate(attributes)
+    ]
+    return per.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
 
 
 def multi_valued(df: DataFrame, key: str, category: str, ts: str) -> DataFrame:
@@ -177,18 +176,19 @@ def time_coverage(df: DataFrame, ts: str) -> DataFrame:
 
 def month_profile(df: DataFrame, ts: str, key: str, method: str, methods: Sequence[str], measure: str) -> DataFrame:
     """Per month: rows, present and calendar hours, ids, rows per method, total."""
-    month = timefns.month_key(ts).alias("month")
-    base = df.groupBy(month, timefns.month_start(ts).alias("_start")).agg(
+    month = F.trunc(ts, "MM").alias("_start")
+    base = df.groupBy(month).agg(
         F.count("*").alias("rows"),
         *[F.count_if(F.col(method) == m).alias(f"rows_{m}") for m in methods],
         F.sum(measure).alias("total"),
     )
-    hours = df.select(month, timefns.hour_start(ts)).distinct().groupBy("month").agg(F.count("*").alias("hours"))
-    ids = df.select(month, key).distinct().groupBy("month").agg(F.count(key).alias("ids"))
+    present = df.select(timefns.hour_start(ts).alias("_h")).distinct()
+    hours = present.groupBy(F.trunc("_h", "MM").alias("_start")).agg(F.count("*").alias("hours"))
+    ids = df.select(month, key).distinct().groupBy("_start").agg(F.count(key).alias("ids"))
     return (
-        base.join(hours, "month", "left")
-        .join(ids, "month", "left")
-        .withColumn("calendar_hours", timefns.hours_in_month("_start"))
+        base.join(hours, "_start", "left")
+        .join(ids, "_start", "left")
+        .withColumns({"month": timefns.month_key("_start"), "calendar_hours": timefns.hours_in_month("_start")})
         .drop("_start")
     )
 

@@ -205,7 +205,7 @@ def dimension_scores(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str])
 
     Uniqueness counts excess rows per key; the last row covers all row rules.
     """
-    from tidemark.operators.dedup import key_counts
+    from tidemark.operators.dedup import key_summary
 
     errors = [r for r in rules if r.severity == "error"]
     groups: dict[str, list[Rule]] = {}
@@ -218,10 +218,10 @@ def dimension_scores(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str])
     ]
     one = df.agg(F.count("*").alias("_total"), *failing)
     row_level = one.unpivot(["_total"], list(groups), "dimension", "failing_rows")
-    unique = key_counts(df, keys).agg(
-        F.sum("n").alias("_total"),
+    unique = key_summary(df, keys).select(
+        (F.col("distinct_keys") + F.col("excess_rows")).alias("_total"),
         F.lit("Uniqueness").alias("dimension"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failing_rows"),
+        F.col("excess_rows").alias("failing_rows"),
     )
     return row_level.unionByName(unique).select(
         "dimension", "failing_rows", (100 * (1 - F.col("failing_rows") / F.col("_total"))).alias("score_pct")
