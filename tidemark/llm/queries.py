@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash, tokens, url_filter
-from tidemark.llm.common import prepare, table
+from tidemark.llm import mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
+from tidemark.llm.common import prepare, table, written
 from tidemark.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,51 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query(
+    "op1_mixing",
+    r"""
+    WITH sizes AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, coalesce(md5(doc_id::VARCHAR), '') AS place FROM documents),
+    sources AS (SELECT source, sum(size)::BIGINT AS n, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind FROM sizes GROUP BY source),
+    weighed AS (SELECT *, CASE kind WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w, 3 * n AS cap FROM sources),
+    levels AS (SELECT *, (sum(n) OVER () - coalesce(sum(cap) OVER filled, 0))::DOUBLE / (sum(w) OVER () - coalesce(sum(w) OVER filled, 0)) AS level
+        FROM weighed WINDOW filled AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    targets AS (SELECT *, least(cap::DOUBLE, w * max(level) OVER ()) AS target FROM levels),
+    placed AS (SELECT s.doc_id, s.size, t.n, t.kind, t.target,
+        coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place, s.doc_id NULLS FIRST, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+        FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+    taken AS (SELECT *, (SELECT sum(greatest(least(floor(target)::BIGINT - start - n * i, size), 0)) FROM range(3) r(i))::BIGINT AS taken, start::DOUBLE / target AS share FROM placed),
+    parts AS (SELECT *, CASE kind WHEN 0 THEN 5.0::DOUBLE * share WHEN 1 THEN 2.0::DOUBLE * share ELSE share END AS rest FROM taken)
+    SELECT doc_id, size, n AS source_size, target, taken, CASE WHEN taken > 0 THEN round(
+        CASE WHEN rest <= 0 THEN 0 WHEN kind = 0 THEN 2 * rest / (7.5 + sqrt(56.25 - 10 * rest)) WHEN kind = 1 THEN rest / 2
+        WHEN rest <= 0.375 THEN 2 * rest / (0.5 + sqrt(0.25 + 2 * rest)) ELSE 0.5 + 2 * (rest - 0.375) / (1 + sqrt(1 + 2 * (rest - 0.375))) END, 9) END AS position
+    FROM parts
+    """,
+)
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sizes = written(docs.select("doc_id", "source", mixing.size_of(F.col("text")).alias("size")), "mix-sizes")
+    assigned = mixing.assign(sizes).withColumn("position", F.round(F.get("copies", F.lit(0))["position"], 9))
+    return mixing.scheduled(assigned.select("doc_id", "size", "source_size", "target", "taken", "position"))
+
+
+@query("op2_personal_data")
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_fm.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", quality_fm.held_out().alias("held_out"), F.col("_fm_score").alias("score"), F.when(F.col("_fm_score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.score(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
 _FITS = " UNION ALL ".join(
