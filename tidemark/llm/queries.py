@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lm_scoring, mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
+from tidemark.llm import decontamination, lm_scoring, mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
 from tidemark.llm.common import prepare, table, written
 from tidemark.session import scratch
 
@@ -107,6 +107,12 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digests(tokens.spans(spark, path))
 
 
+@query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("key").withColumnRenamed("id", "doc_id")
+
+
 @query("op9_lm_scoring")
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
