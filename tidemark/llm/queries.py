@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, lm_scoring, mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
+from tidemark.llm import decontamination, html_wrapper, lm_scoring, mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
 from tidemark.llm.common import prepare, table, written
 from tidemark.session import scratch
 
@@ -70,6 +70,11 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality_fm.held_out().alias("held_out"), F.col("_fm_score").alias("score"), F.when(F.col("_fm_score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+@query("op4_html_extraction")
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"))
