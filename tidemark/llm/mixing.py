@@ -83,7 +83,7 @@ def targets(sources: DataFrame, schedules: list[Knots] = SCHEDULES, repeats: int
 
 
 def assign(docs: DataFrame, *, schedules: list[Knots] = SCHEDULES, repeats: int = REPEATS, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size") -> DataFrame:
-    """The rows of ``docs`` with ``source_size``, ``target``, ``taken`` and ``copies``.
+    """The rows of ``docs`` with a struct ``_mix`` of ``source_size, target, taken, copies``.
 
     ``size_col`` holds the words of a row. ``copies`` is an array of ``(copy, words, position)``, empty if
     nothing is taken. ``docs`` should be cheap to read twice.
@@ -115,9 +115,10 @@ def assign(docs: DataFrame, *, schedules: list[Knots] = SCHEDULES, repeats: int
         for kind, knots in enumerate(schedules):
             when = F.when(F.col("_mix_kind") == kind, due(knots, share)).otherwise(when)
         copies.append(F.when(words > 0, F.struct(F.lit(n).alias("copy"), words.alias("words"), when.alias("position"))))
-    out = placed.withColumn("copies", F.filter(F.array(*copies), lambda c: c.isNotNull()))
-    taken = F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"])
-    return out.select(*docs.columns, F.col("_mix_source_size").alias("source_size"), F.col("_mix_target").alias("target"), taken.alias("taken"), "copies")
+    out = placed.withColumn("_mix_copies", F.filter(F.array(*copies), lambda c: c.isNotNull()))
+    taken = F.aggregate("_mix_copies", F.lit(0).cast("long"), lambda a, c: a + c["words"])
+    mix = F.struct(F.col("_mix_source_size").alias("source_size"), F.col("_mix_target").alias("target"), taken.alias("taken"), F.col("_mix_copies").alias("copies"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], mix.alias("_mix"))
 
 
 def scheduled(assigned: DataFrame, position: str = "position") -> DataFrame:

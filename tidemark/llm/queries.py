@@ -53,8 +53,8 @@ def query(name: str, sql: str | None = None):
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sizes = written(docs.select("doc_id", "source", mixing.size_of(F.col("text")).alias("size")), "mix-sizes")
-    assigned = mixing.assign(sizes).withColumn("position", F.round(F.get("copies", F.lit(0))["position"], 9))
-    return mixing.scheduled(assigned.select("doc_id", "size", "source_size", "target", "taken", "position"))
+    assigned = mixing.assign(sizes).select("doc_id", "size", "_mix.source_size", "_mix.target", "_mix.taken", F.round(F.get("_mix.copies", F.lit(0))["position"], 9).alias("position"))
+    return mixing.scheduled(assigned)
 
 
 @query("op2_personal_data")

@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import map_rows, texts, written
 
@@ -65,15 +66,14 @@ def masks(radius: int, level: int = 0) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, *, text_col: str = "text", shingle: int = SHINGLE, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` and ``fp``, the fingerprint as a signed integer."""
-    rows = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    kinds = dict(rows.dtypes)
+    """Columns ``keep`` and ``_sh_fp``, the fingerprint as a signed integer."""
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("_sh_text"))
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        fps = np.array([fingerprint(t, shingle) for t in texts(b["_text"])], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([*(b[c] for c in keep), pa.array(fps)], names=[*keep, "fp"])
+        fps = np.array([fingerprint(t, shingle) for t in texts(b["_sh_text"])], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([*(b[c] for c in keep), pa.array(fps)], names=[*keep, "_sh_fp"])
 
-    return map_rows(rows, run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "fp long"]))
+    return map_rows(rows, run, T.StructType([*(rows.schema[c] for c in keep), T.StructField("_sh_fp", T.LongType())]))
 
 
 def joined(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -181,12 +181,30 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("fp"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("fp"), F.col("b").alias("root")).distinct())
 
 
+def classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``_sh_fp, _sh_root`` for every distinct fingerprint of ``marked``; equal roots are one group."""
+    distinct = written(marked.select(F.col("_sh_fp").alias("fp")).distinct(), "simhash-distinct")
+    roots = components(links(distinct, radius))
+    return distinct.join(roots, "fp", "left").select(F.col("fp").alias("_sh_fp"), F.coalesce("root", "fp").alias("_sh_root"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``id, fingerprint (16 hex digits), component_id`` for every document."""
-    marked = written(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), shingle=shingle, keep=["id"]), "simhash")
-    distinct = written(marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    roots = components(links(distinct.select("fp"), radius))
-    named = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = named.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marked = written(fingerprints(narrow, shingle=shingle, keep=["id"]), "simhash")
+    first = marked.groupBy("_sh_fp").agg(F.min("id").alias("first")).join(classes(marked, radius), "_sh_fp")
+    named = written(first, "simhash-groups")
+    smallest = named.groupBy("_sh_root").agg(F.min("first").alias("component_id"))
+    by_fp = named.select("_sh_fp", "_sh_root").join(smallest, "_sh_root").select("_sh_fp", "component_id")
+    return marked.join(by_fp, "_sh_fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("_sh_fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` that have the smallest id of their group, one a group, nulls last."""
+    numbered = docs.withColumn("_sh_row", F.monotonically_increasing_id())
+    # Written once: the numbers and fingerprints stay with their rows whatever is run again.
+    marked = written(fingerprints(numbered, text_col=text_col, shingle=shingle, keep=numbered.columns), "simhash-rows")
+    narrow = marked.select(F.col(id_col).alias("_sh_id"), "_sh_row", "_sh_fp").join(classes(marked, radius), "_sh_fp")
+    least = F.min(F.struct(F.col("_sh_id").isNull(), F.col("_sh_id"), F.col("_sh_row").alias("row")))
+    kept = narrow.groupBy("_sh_root").agg(least.alias("least")).select(F.col("least.row").alias("_sh_row"))
+    return marked.join(kept, "_sh_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
