@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.session import configure, scratch
 
@@ -35,13 +35,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
-    """``fn`` for each Arrow batch of ``df``."""
+    """``fn`` for each Arrow batch of ``df``. Columns may have any name, dots included."""
+    names = df.columns
+    kinds = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    outer = StructType([StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield fn(b)
+            yield fn(b.rename_columns(names)).rename_columns(outer.names)
 
-    return df.mapInArrow(run, schema)
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, outer).toDF(*kinds.names)
 
 
 def texts(column: pa.Array) -> list[str]:

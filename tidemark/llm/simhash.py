@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text", shingle: int = SHIN
 
 def joined(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links that join the fingerprints of a bucket as all links within the radius would."""
-    left, links = fps.copy(), []
+    left, links = fps.astype(np.int64).view(np.uint64), []
     while len(left):
         front, left = left[:1], left[1:]
         while len(front) and len(left):
@@ -86,7 +86,7 @@ def joined(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
             for f in front:
                 near = np.bitwise_count(left ^ f) <= radius
                 if near.any():
-                    links.extend((int(f), int(x)) for x in left[near])
+                    links.extend((int(np.int64(f.view(np.int64))), int(x)) for x in left[near].view(np.int64))
                     grown.append(left[near])
                     left = left[~near]
                 if not len(left):
