@@ -226,13 +226,14 @@ def test_edited_copies_are_found_and_others_left_alone(spark):
                 del copy[len(copy) // 2]
             at = rng.randint(0, 400)
             text[at:at] = [w.capitalize() + "," for w in copy]
-            wanted.add((d, d % 40))
+            if plain_alignment(items[d % 40], copy) >= len(items[d % 40]):
+                wanted.add((d, d % 40))
         rows.append((d, " ".join(text)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)] + [(90, None), (91, "too short"), (92, "")], "item_id long, text string")
     for size in (decontamination.BLOCK_GRAMS, 300):
         found = {(r["id"], r["item_id"]) for r in decontamination.matches(docs, bench, block_grams=size).collect()}
-        assert found == wanted
+        assert found == wanted and len(found) > 70
 
 
 def test_an_item_copied_into_most_documents_keeps_its_seeds(spark):

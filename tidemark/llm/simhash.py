@@ -117,7 +117,9 @@ def links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFra
                 return pa.RecordBatch.from_arrays([pa.array([path] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["path", "a", "b"])
 
             def close() -> Iterator[pa.RecordBatch]:
-                if len(held) > 1 and not over:
+                if over and held:
+                    yield out(at, held, [None] * len(held))
+                elif len(held) > 1:
                     pairs = joined(np.array(held, np.int64), radius)
                     if pairs:
                         yield out(at, [x for x, _ in pairs], [y for _, y in pairs])
