@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_rows, texts, written
 
 COMMON, MIN_CHARS, MIN_WORDS, MIN_REFERENCE = 100, 200, 50, 20
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.10, 0.35
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.08, 0.24
 #: Distinct words that a task counts before it hands them on.
 HELD_WORDS = 200_000
 
