@@ -221,6 +221,49 @@ def test_stream_equals_batch_and_replays_change_nothing(spark, schedule, tmp_pat
     assert found.expected == found.found
 
 
+def test_a_batch_that_died_between_two_outputs_is_not_seen(spark, schedule, tmp_path, monkeypatch):
+    m = messages(spark, *traffic())
+    store = microbatch.BatchStore(spark, str(tmp_path / "store"))
+    microbatch.process(m.where("offset < 20"), 0, store, schedule)
+    before = {name: getattr(store, name)().count() for name in ("minutes", "hours", "arrivals", "alerts")}
+    write = store.write
+
+    def broken(table, batch_id, df):
+        if table == "log":
+            raise OSError("lost")
+        write(table, batch_id, df)
+
+    monkeypatch.setattr(store, "write", broken)
+    with pytest.raises(OSError):
+        microbatch.process(m.where("offset >= 20"), 1, store, schedule)
+    assert {name: getattr(store, name)().count() for name in before} == before and store.batches("minute") == [0]
+    monkeypatch.setattr(store, "write", write)
+    microbatch.process(m.where("offset >= 20"), 1, store, schedule)
+    want = replay.run(m, schedule)
+    assert store.minutes().exceptAll(want["minute"].select(*store.minutes().columns)).count() == 0 and store.minutes().count() == want["minute"].count()
+
+
+def test_upkeep_prunes_old_minutes_and_log_rows_but_no_hours(spark, tmp_path):
+    store = microbatch.BatchStore(spark, str(tmp_path / "store"))
+    start = dt.datetime(2025, 1, 1, 12, tzinfo=dt.UTC)
+    for n in range(24):
+        at = start + dt.timedelta(days=n)
+        minute = [(at, "A", "N", 1, 1, 0, 5.0, 0, 5.0)]
+        store.write("minute", n, spark.createDataFrame(minute, "minute timestamp, route_id string, direction string, observations long, delay_observations long, late_observations long, sum_delay_s double, stopped_at long, max_delay_s double"))
+        store.write("hour", n, spark.createDataFrame([(at, "S1", "A", 1, 1, 5.0)], "hour timestamp, stop string, route_id string, observations long, delay_observations long, sum_delay_s double"))
+        store.write("arrivals", n, spark.createDataFrame([(f"a{n % 5}", n)], "arrival_id string, v int"))
+        store.write("alerts", n, spark.createDataFrame([(f"b{n % 5}", n)], "alert_id string, v int"))
+        for table, kinds in microbatch.STATE_SCHEMAS.items():
+            store.write(table, n, spark.createDataFrame([], kinds))
+        store.write("log", n, spark.createDataFrame([(1, at)], "messages long, processed_at timestamp"))
+        store.upkeep(n, every=8)
+    assert store.batches("minute") == [23] and store.batches("log") == [23] and store.batches("trips") == [21, 22, 23]
+    assert store.hours().count() == 24 and store.minutes().count() == 16 and store.batch_log().count() == 16
+    assert sorted(r.v for r in store.arrivals().collect()) == [19, 20, 21, 22, 23] == sorted(r.v for r in store.alerts().collect())
+    store.write("minute", 23, spark.createDataFrame(minute, store.minutes().schema).select(*store.minutes().columns))
+    assert store.minutes().agg({"observations": "sum"}).first()[0] == 16
+
+
 def test_window_after_priming_equals_the_whole_run(spark, schedule):
     m = messages(spark, *traffic())
     whole = replay.run(m, schedule)

@@ -4,7 +4,8 @@ Every output of a batch goes to its own folder ``batch_id=N``, and the state a
 batch starts from is the one written by the batch before it. Running a batch
 again therefore rewrites the same folders with the same rows: additive results
 count each batch exactly once without a transaction, and the state survives a
-restart. Nothing is collected to the driver.
+restart. Readers take only batches whose log row, the last output, is there, so
+they see all of a batch or nothing. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +30,18 @@ STATE_SCHEMAS = {
     "trips": "trip_id string, stop_id string, predicted bigint, delay_s double, seen bigint",
 }
 
+#: Batches between two upkeep runs; it bounds the folders that a batch or a reader lists.
+UPKEEP_EVERY = 20
+#: Days that minute totals and the batch log are kept. Hour totals stay.
+KEPT_DAYS = 14
 
-# Messages up to which one task may order a feed or a trip.
-SMALL_BATCH = 100_000
+# By table: keys, sums and maxima of additive totals; keys of documents; the time that retention goes by.
+TOTALS = {
+    "minute": (records.MINUTE_KEYS, records.MINUTE_SUMS, ["max_delay_s"]),
+    "hour": (records.HOUR_KEYS, records.HOUR_SUMS, []),
+}
+DOCUMENTS = {"arrivals": ["arrival_id"], "alerts": ["alert_id"]}
+RETAINED = {"minute": "minute", "log": "processed_at"}
 
 
 class BatchStore:
@@ -42,13 +53,18 @@ class BatchStore:
     def write(self, table: str, batch_id: int, df: DataFrame) -> None:
         df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{table}/batch_id={batch_id}")
 
-    def batches(self, table: str) -> list[int]:
+    def _folders(self, table: str) -> list[int]:
         return committed(self.spark, f"{self.path}/{table}", "batch_id")
 
-    def read(self, table: str) -> DataFrame:
-        """All complete batches of a table."""
-        paths = [f"{self.path}/{table}/batch_id={n}" for n in self.batches(table)]
-        return self.spark.read.option("basePath", f"{self.path}/{table}").parquet(*paths)
+    def _base(self, table: str) -> int | None:
+        """Number of the last batch the folded rows of a table contain."""
+        found = committed(self.spark, f"{self.path}/{table}_base", "upto")
+        return found[-1] if found else None
+
+    def batches(self, table: str) -> list[int]:
+        """Batches of a table whose log row is committed; it is written last, so all their outputs are there."""
+        logged, folded = set(self._folders("log")), self._base("log")
+        return [n for n in self._folders(table) if n in logged or (folded is not None and n <= folded)]
 
     def state(self, table: str, batch_id: int) -> DataFrame:
         """State as the newest batch before ``batch_id`` left it."""
@@ -57,73 +73,83 @@ class BatchStore:
             return self.spark.createDataFrame([], STATE_SCHEMAS[table])
         return self.spark.read.schema(STATE_SCHEMAS[table]).parquet(f"{self.path}/{table}/batch_id={earlier[-1]}")
 
+    def read(self, table: str, upto: int | None = None) -> DataFrame:
+        """Folded rows and those of every later committed batch, with ``batch_id``."""
+        base = self._base(table)
+        later = [n for n in self.batches(table) if (base is None or n > base) and (upto is None or n <= upto)]
+        parts = []
+        if base is not None:
+            parts.append(self.spark.read.parquet(f"{self.path}/{table}_base/upto={base}"))
+        if later:
+            paths = [f"{self.path}/{table}/batch_id={n}" for n in later]
+            parts.append(self.spark.read.option("basePath", f"{self.path}/{table}").parquet(*paths))
+        if not parts:
+            raise ValueError(f"no batch of {table} is committed yet")
+        return reduce(DataFrame.unionByName, parts)
+
     # --- results over all batches ---
 
+    def _added(self, table: str, upto: int | None = None) -> DataFrame:
+        keys, sums, maxima = TOTALS[table]
+        return self.read(table, upto).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxima])
+
     def minutes(self) -> DataFrame:
-        return self._added("minute", records.MINUTE_KEYS, records.MINUTE_SUMS, ["max_delay_s"])
+        return self._added("minute")
 
     def hours(self) -> DataFrame:
-        return self._added("hour", records.HOUR_KEYS, records.HOUR_SUMS, [])
-
-    def _base(self, table: str) -> int | None:
-        """Number of the last batch the folded totals of a table contain."""
-        found = committed(self.spark, f"{self.path}/{table}_base", "upto")
-        return found[-1] if found else None
-
-    def _added(self, table: str, keys: list[str], sums: list[str], maxima: list[str], upto: int | None = None) -> DataFrame:
-        """Folded totals plus every later batch, added up."""
-        base = self._base(table)
-        later = [n for n in self.batches(table) if (base is None or n > base) and (upto is None or n <= upto)]
-        paths = [f"{self.path}/{table}/batch_id={n}" for n in later]
-        if base is not None:
-            paths.append(f"{self.path}/{table}_base/upto={base}")
-        rows = self.spark.read.parquet(*paths)
-        return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxima])
+        return self._added("hour")
 
     def arrivals(self) -> DataFrame:
-        return last_per_key(self.read("arrivals"), ["arrival_id"], ["batch_id"]).drop("batch_id")
+        return last_per_key(self.read("arrivals"), DOCUMENTS["arrivals"], ["batch_id"]).drop("batch_id")
 
     def alerts(self) -> DataFrame:
-        return last_per_key(self.read("alerts"), ["alert_id"], ["batch_id"]).drop("batch_id")
+        return last_per_key(self.read("alerts"), DOCUMENTS["alerts"], ["batch_id"]).drop("batch_id")
 
     def batch_log(self) -> DataFrame:
         return self.read("log")
 
     # --- upkeep ---
 
-    def fold(self, keep: int = 1, hour_days: int | None = 14) -> None:
-        """Fold all but the newest ``keep`` batches of the additive tables into one relation.
+    def fold(self, keep: int = 1, days: int = KEPT_DAYS) -> None:
+        """Fold all but the newest ``keep`` batches of every output into one relation.
 
         Only the newest batch can run again, so older ones are final. The
         folded relation counts once its commit marker is written; from then on
-        readers skip the folded batches, which are removed afterwards. Hours
-        past ``hour_days`` are dropped on the way.
+        readers skip the folded batches, which are removed afterwards. Minute
+        totals and log rows past ``days`` are dropped on the way. The log is
+        folded last, since it says which batches count.
         """
-        tables = {
-            "minute": (records.MINUTE_KEYS, records.MINUTE_SUMS, ["max_delay_s"]),
-            "hour": (records.HOUR_KEYS, records.HOUR_SUMS, []),
-        }
-        for table, (keys, sums, maxima) in tables.items():
-            numbers = self.batches(table)
-            old = numbers[: len(numbers) - keep]
-            if not old:
-                continue
-            total = self._added(table, keys, sums, maxima, upto=old[-1])
-            if table == "hour" and hour_days:
-                total = retain_days(total, "hour", hour_days)
-            before = committed(self.spark, f"{self.path}/{table}_base", "upto")
-            total.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{table}_base/upto={old[-1]}")
+        for table in [*TOTALS, *DOCUMENTS, "log"]:
+            base = self._base(table)
+            old = self.batches(table)[:-keep] if keep else self.batches(table)
+            fresh = [n for n in old if base is None or n > base]
+            if fresh:
+                if table in TOTALS:
+                    rows = self._added(table, fresh[-1]).withColumn("batch_id", F.lit(fresh[-1]))
+                elif table in DOCUMENTS:
+                    rows = last_per_key(self.read(table, fresh[-1]), DOCUMENTS[table], ["batch_id"])
+                else:
+                    rows = self.read(table, fresh[-1])
+                if table in RETAINED:
+                    rows = retain_days(rows, RETAINED[table], days)
+                rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{table}_base/upto={fresh[-1]}")
+                if base is not None:
+                    remove(self.spark, f"{self.path}/{table}_base/upto={base}")
             for n in old:
                 remove(self.spark, f"{self.path}/{table}/batch_id={n}")
-            for n in before:
-                if n != old[-1]:
-                    remove(self.spark, f"{self.path}/{table}_base/upto={n}")
 
     def drop_old_state(self, keep: int = 3) -> None:
+        """Remove all but the newest states; a batch that runs again needs the one before it."""
         for table in STATE_SCHEMAS:
             for n in self.batches(table)[:-keep]:
                 remove(self.spark, f"{self.path}/{table}/batch_id={n}")
 
+    def upkeep(self, batch_id: int, every: int = UPKEEP_EVERY) -> None:
+        """After every so many batches: state first, since folding the log hides nothing from it."""
+        if (batch_id + 1) % every == 0:
+            self.drop_old_state()
+            self.fold()
+
 
 def process(messages: DataFrame, batch_id: int, store: BatchStore, schedule: Schedule) -> None:
     """One micro-batch; safe to run again with the same id."""
@@ -139,13 +165,11 @@ def process(messages: DataFrame, batch_id: int, store: BatchStore, schedule: Sch
 
     try:
         kept = hold(messages)
-        # A trip or feed has at most one row per message, so a small batch needs no slices.
-        sliced = kept.count() > SMALL_BATCH
-        marks = hold(records.mark_repeated(kept, seen_before, sliced))
+        marks = hold(records.mark_repeated(kept, seen_before))
         rows = hold(records.entities(records.fresh(kept, marks)))
         obs = hold(records.with_delay(records.observations(rows), schedule))
         outputs = {
-            "arrivals": records.arrivals(obs, schedule.stops, trips_before, sliced),
+            "arrivals": records.arrivals(obs, schedule.stops, trips_before),
             "alerts": records.alerts(rows),
             "minute": records.delay_minute(obs, records.stopped(rows)),
             "hour": records.delay_hourly(obs),
@@ -157,6 +181,7 @@ def process(messages: DataFrame, batch_id: int, store: BatchStore, schedule: Sch
             for done in [pool.submit(store.write, table, batch_id, df) for table, df in outputs.items()]:
                 done.result()
         store.write("log", batch_id, batch_row(marks, started))
+        store.upkeep(batch_id)
     finally:
         for df in held:
             df.unpersist()

@@ -21,15 +21,7 @@ ARRIVED_WITHIN = 60
 STATE_SECONDS = 2 * 3600
 
 
-def offset_slices(sliced: bool) -> list[Column]:
-    """Nested slices of the offset in which feeds and trips are ordered.
-
-    Not needed for a batch known to be small.
-    """
-    return number_slices("offset") if sliced else []
-
-
-def mark_repeated(messages: DataFrame, last_seen: DataFrame | None = None, sliced: bool = True) -> DataFrame:
+def mark_repeated(messages: DataFrame, last_seen: DataFrame | None = None) -> DataFrame:
     """(feed, offset, feed_time, repeated): not newer than any earlier snapshot of the feed.
 
     Works on three narrow columns. ``last_seen`` (feed, feed_time) is the state
@@ -38,7 +30,7 @@ def mark_repeated(messages: DataFrame, last_seen: DataFrame | None = None, slice
     slim = messages.select("feed", "offset", "feed_time")
     if last_seen is not None:
         slim = slim.unionByName(last_seen.select("feed", F.lit(-1).cast("bigint").alias("offset"), "feed_time"))
-    flagged = repeated_flag(slim, "feed", "feed_time", ["offset"], offset_slices(sliced))
+    flagged = repeated_flag(slim, "feed", "feed_time", ["offset"], number_slices("offset"))
     return flagged.where("offset >= 0")
 
 
@@ -129,7 +121,7 @@ def alerts(rows: DataFrame) -> DataFrame:
 TRIP_STATE = ["trip_id", "stop_id", "predicted", "delay_s", "seen"]
 
 
-def arrivals(obs: DataFrame, stops: DataFrame, state: DataFrame | None = None, sliced: bool = True) -> DataFrame:
+def arrivals(obs: DataFrame, stops: DataFrame, state: DataFrame | None = None) -> DataFrame:
     """A trip reached its previous next stop: the stop changed and its time has come.
 
     ``obs`` carries ``delay_s``. ``state`` holds the last next stop of each trip
@@ -147,7 +139,7 @@ def arrivals(obs: DataFrame, stops: DataFrame, state: DataFrame | None = None, s
             ]
         )
         rows = obs.unionByName(before)
-    stepped = previous_row(rows, ["trip_id"], ["offset", "pos"], offset_slices(sliced), ["stop_id", "predicted", "delay_s"])
+    stepped = previous_row(rows, ["trip_id"], ["offset", "pos"], number_slices("offset"), ["stop_id", "predicted", "delay_s"])
     reached = stepped.where(
         (F.col("offset") >= 0) & (F.col("prev.stop_id") != F.col("stop_id")) & (F.col("prev.predicted") <= F.col("feed_time") + ARRIVED_WITHIN)
     )

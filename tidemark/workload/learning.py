@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.learn import features, models
 from tidemark.learn.registry import Registry
-from tidemark.operators import grid, profile, series
+from tidemark.operators import grid, series
 from tidemark.plans import train
 from tidemark.session import scratch
 from tidemark.workload.fixtures import FACT, clean_fact, dst_sql, fact
@@ -224,12 +224,11 @@ def _(spark, sf):
     return models.regression_metrics(scored, V, "prediction")
 
 
-@query("permutation_importance", "M10 S29")
+@query("permutation_importance", "M10")
 def _(spark, sf):
     t, test = split(spark, sf)
     model = models.fit_log_trees(t, features.SCENARIO_A, V, **_FAST)
-    sample = profile.fixed_sample(test, [E, TS], 100_000)
-    return models.permutation_importance(model, sample, features.SCENARIO_A, V, True, [E, TS], repeats=3)
+    return models.permutation_importance(model, test, features.SCENARIO_A, V, True, [E, TS], repeats=3)
 
 
 @query("peak_classifier", "M12 M14")

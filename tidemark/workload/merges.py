@@ -125,11 +125,12 @@ def _(spark, sf):
 # --- merges: totals per customer, finished orders stored, open ones incoming -------
 
 _TOT = "SELECT o_custkey, count(*) AS orders, CAST(sum(floor(o_totalprice)) AS DOUBLE) AS total, max(o_orderdate) AS last_order FROM orders WHERE o_orderstatus {} GROUP BY 1"
-_PAIR = f"s AS ({_TOT.format(chr(61) + ' ' + chr(39) + 'F' + chr(39))}), i AS ({_TOT.format(chr(61) + ' ' + chr(39) + 'P' + chr(39))})"
+_STORED, _INCOMING = "<> 'P'", "= 'P'"
+_PAIR = f"s AS ({_TOT.format(_STORED)}), i AS ({_TOT.format(_INCOMING)})"
 
 
 def _totals(spark, sf, status):
-    o = table(spark, sf, "orders").where(F.col("o_orderstatus") == status)
+    o = table(spark, sf, "orders").where(f"o_orderstatus {status}")
     return o.groupBy("o_custkey").agg(F.count("*").alias("orders"), F.sum(F.floor("o_totalprice")).cast("double").alias("total"), F.max("o_orderdate").alias("last_order"))
 
 
@@ -140,8 +141,8 @@ _TABLE = "o_custkey bigint, orders bigint, total double, last_order timestamp_nt
 def _(spark, sf):
     """Through the versioned table: write, upsert, read the newest version."""
     t = Table(spark, scratch(spark, "totals"), _TABLE)
-    t.replace(_totals(spark, sf, "F"))
-    t.upsert(_totals(spark, sf, "P"), ["o_custkey"])
+    t.replace(_totals(spark, sf, _STORED))
+    t.upsert(_totals(spark, sf, _INCOMING), ["o_custkey"])
     return t.read()
 
 
@@ -152,23 +153,23 @@ def _(spark, sf):
 )
 def _(spark, sf):
     t = Table(spark, scratch(spark, "totals"), _TABLE)
-    t.replace(_totals(spark, sf, "F"))
-    t.add(_totals(spark, sf, "P"), ["o_custkey"], ["orders", "total"], ["last_order"])
+    t.replace(_totals(spark, sf, _STORED))
+    t.add(_totals(spark, sf, _INCOMING), ["o_custkey"], ["orders", "total"], ["last_order"])
     return t.read()
 
 
 @query("full_replace", "S15", f"WITH {_PAIR} SELECT * FROM i")
 def _(spark, sf):
     t = Table(spark, scratch(spark, "totals"), _TABLE)
-    t.replace(_totals(spark, sf, "F"))
-    t.replace(_totals(spark, sf, "P"))
+    t.replace(_totals(spark, sf, _STORED))
+    t.replace(_totals(spark, sf, _INCOMING))
     return t.read()
 
 
 @query(
     "document_upsert",
     "S17",
-    """WITH s AS (SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders WHERE o_orderstatus = 'F') WHERE r = 1),
+    """WITH s AS (SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders WHERE o_orderstatus <> 'O') WHERE r = 1),
     i AS (SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders WHERE o_orderstatus = 'O') WHERE r = 1)
     SELECT * FROM i UNION ALL SELECT * FROM s WHERE o_custkey NOT IN (SELECT o_custkey FROM i)""",
 )
@@ -176,7 +177,7 @@ def _(spark, sf):
     from tidemark.operators.dedup import last_per_key
 
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
-    stored = last_per_key(o.where("o_orderstatus = 'F'").drop("o_orderstatus"), ["o_custkey"], ["o_orderkey"])
+    stored = last_per_key(o.where("o_orderstatus <> 'O'").drop("o_orderstatus"), ["o_custkey"], ["o_orderkey"])
     return upsert.document_upsert(stored, o.where("o_orderstatus = 'O'").drop("o_orderstatus"), ["o_custkey"], ["o_orderkey"])
 
 

@@ -151,16 +151,17 @@ def _(spark, sf):
     return compare.tolerant_compare(server(spark, sf), stored(spark, sf), ["day"], {"ridership": 250000.0, "rows": 0})
 
 
-_EARLY, _LATE = "1996-01-01", "2001-06-01"
+# The releases meet here.
+_SEAM = "1998-06-01"
 
 
 def _parts(spark, sf):
     l = table(spark, sf, "lineitem").select("l_partkey", "l_shipdate")
     at = lambda s: F.lit(s).cast("timestamp_ntz")
-    return l.where(F.col("l_shipdate") < at(_EARLY)), l.where(F.col("l_shipdate") >= at(_LATE))
+    return l.where(F.col("l_shipdate") < at(_SEAM)), l.where(F.col("l_shipdate") >= at(_SEAM))
 
 
-_SIDES = f"""o AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '{_EARLY}'), n AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '{_LATE}')"""
+_SIDES = f"""o AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '{_SEAM}'), n AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '{_SEAM}')"""
 
 
 @query(
@@ -186,7 +187,7 @@ def _(spark, sf):
 @query(
     "time_seam",
     "I12",
-    f"""WITH o AS (SELECT max(l_shipdate) AS last_old, count(*) AS a FROM lineitem WHERE l_shipdate < TIMESTAMP '{_EARLY}'), n AS (SELECT min(l_shipdate) AS first_new, count(*) AS b FROM lineitem WHERE l_shipdate >= TIMESTAMP '{_LATE}')
+    f"""WITH o AS (SELECT max(l_shipdate) AS last_old, count(*) AS a FROM lineitem WHERE l_shipdate < TIMESTAMP '{_SEAM}'), n AS (SELECT min(l_shipdate) AS first_new, count(*) AS b FROM lineitem WHERE l_shipdate >= TIMESTAMP '{_SEAM}')
     SELECT last_old, first_new, (epoch(first_new) - epoch(last_old)) / 3600.0 AS gap_hours, a + b AS combined_rows FROM o, n""",
 )
 def _(spark, sf):

@@ -53,13 +53,19 @@ def _(spark, sf):
 @query(
     "category_by_year",
     "A14",
-    "SELECT o_orderpriority, "
-    + ", ".join(f"count(*) FILTER (year(o_orderdate) = {y}) AS rows_{y}, round(sum(o_totalprice) FILTER (year(o_orderdate) = {y}), 2) AS total_{y}" for y in (1999, 2000))
-    + ", max(o_orderdate) AS last_seen FROM orders GROUP BY 1",
+    "WITH n AS (SELECT max(year(o_orderdate)) AS y FROM orders) SELECT o_orderpriority, "
+    + ", ".join(
+        f"count(*) FILTER (year(o_orderdate) = n.y - {k}) AS rows_{name}, round(sum(o_totalprice) FILTER (year(o_orderdate) = n.y - {k}), 2) AS total_{name}" for k, name in ((1, "previous"), (0, "latest"))
+    )
+    + ", max(o_orderdate) AS last_seen FROM orders, n GROUP BY 1",
 )
 def _(spark, sf):
-    d = profile.split_by_year(table(spark, sf, "orders"), "o_orderpriority", "o_orderdate", "o_totalprice", [1999, 2000])
-    return d.select(*[F.round(c, 2).alias(c) if c.startswith("total") else c for c in d.columns])
+    """The two newest years of the data."""
+    orders = table(spark, sf, "orders")
+    newest = orders.agg(F.year(F.max("o_orderdate"))).first()[0]
+    d = profile.split_by_year(orders, "o_orderpriority", "o_orderdate", "o_totalprice", [newest - 1, newest])
+    names = {f"{c}_{y}": f"{c}_{name}" for c in ("rows", "total") for y, name in ((newest - 1, "previous"), (newest, "latest"))}
+    return d.select(*[(F.round(c, 2) if c.startswith("total") else F.col(c)).alias(names.get(c, c)) for c in d.columns])
 
 
 def _summary_sql(t, c):

@@ -141,12 +141,12 @@ def _(spark, sf):
 @query(
     "category_lists",
     "L01 L03",
-    """WITH g AS (SELECT user_id, list_sort(list_distinct(list(event_type))) AS kinds FROM events WHERE value > 200 GROUP BY 1)
+    """WITH g AS (SELECT user_id, list_sort(list_distinct(list(event_type))) AS kinds FROM events GROUP BY 1)
     SELECT user_id, array_to_string(kinds, ',') AS kinds, CAST(len(kinds) AS INT) AS n, list_contains(kinds, 'error') AS has_error, list_has_any(kinds, ['click', 'view']) AS browsed FROM g""",
 )
 def _(spark, sf):
     # Five event types bound the set.
-    g = table(spark, sf, "events").where("value > 200").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("k"))
+    g = table(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("k"))
     return g.select(
         "user_id",
         F.array_join("k", ",").alias("kinds"),

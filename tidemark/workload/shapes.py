@@ -77,11 +77,16 @@ def _(spark, sf):
 @query(
     "year_over_year",
     "A41",
-    f"""WITH {_D}, {_M}, y AS (SELECT CAST(month(month) AS INT) AS calendar_month, max(mean_day) FILTER (year(month) = 1999) AS a, max(mean_day) FILTER (year(month) = 2000) AS b FROM m GROUP BY 1)
-    SELECT calendar_month, round(a, 7) AS mean_1999, round(b, 7) AS mean_2000, round(100 * (b / a - 1), 7) AS change_pct FROM y""",
+    f"""WITH {_D}, {_M}, n AS (SELECT max(year(month)) AS newest FROM m),
+    y AS (SELECT CAST(month(month) AS INT) AS calendar_month, max(mean_day) FILTER (year(month) = newest - 1) AS a, max(mean_day) FILTER (year(month) = newest) AS b FROM m, n GROUP BY 1)
+    SELECT calendar_month, round(a, 7) AS mean_previous, round(b, 7) AS mean_latest, round(100 * (b / a - 1), 7) AS change_pct FROM y""",
 )
 def _(spark, sf):
-    return rounded(shape.year_over_year(shape.monthly_mean(days(spark, sf)), [1999, 2000]), mean_1999=7, mean_2000=7, change_pct=7)
+    """The two newest years of the data."""
+    months = shape.monthly_mean(days(spark, sf))
+    newest = months.agg(F.year(F.max("month"))).first()[0]
+    both = shape.year_over_year(months, [newest - 1, newest]).withColumnsRenamed({f"mean_{newest - 1}": "mean_previous", f"mean_{newest}": "mean_latest"})
+    return rounded(both, mean_previous=7, mean_latest=7, change_pct=7)
 
 
 @query(
