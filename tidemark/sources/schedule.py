@@ -80,7 +80,9 @@ def load_schedule(spark: SparkSession, folder: str) -> Schedule:
 
 def first_arrivals(schedule: Schedule) -> DataFrame:
     """Earliest-listed arrival per (service, trip key, stop) in seconds after midnight."""
-    trips = schedule.trips.select("trip_id", "service_id", textfns.static_trip_key("trip_id").alias("trip_key")).where("trip_key IS NOT NULL")
+    # Stored, so that the key is made once and not again in every filter on it.
+    keyed = schedule.trips.select("trip_id", "service_id", textfns.static_trip_key("trip_id").alias("trip_key"))
+    trips = written_once(keyed, "trip-keys").where("trip_key IS NOT NULL")
     times = schedule.stop_times.where(F.col("arrival_time").isNotNull() & (F.col("arrival_time") != ""))
     return (
         times.join(trips, "trip_id")

@@ -47,7 +47,9 @@ def entities(messages: DataFrame) -> DataFrame:
         .when(F.col("entity.alert").isNotNull(), "alert")
     )
     return (
-        messages.select("feed", "feed_time", "offset", F.posexplode("entities").alias("pos", "entity"))
+        # Outer, because for the plain form the optimiser puts a test of the array's size, with all that builds it, into the scan.
+        messages.select("feed", "feed_time", "offset", F.posexplode_outer("entities").alias("pos", "entity"))
+        .where("entity IS NOT NULL")
         .withColumn("kind", kind)
         .withColumn("minute", timefns.minute_floor("feed_time"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.sql import DataFrame
@@ -15,31 +15,57 @@ from tidemark.sources.tables import written_once
 from tidemark.streaming import records
 
 
-def replay(messages: DataFrame, schedule: Schedule, prime: tuple[int, int], window: tuple[int, int]) -> dict[str, DataFrame]:
+def replay(messages: DataFrame, schedule: Schedule, prime: tuple[int, int], window: tuple[int, int]) -> Results:
     """Process a window of offsets after priming the state with earlier ones."""
     earlier = offset_range(messages, *prime)
     obs0 = records.with_delay(records.observations(records.entities(records.fresh(earlier, records.mark_repeated(earlier)))), schedule)
     return run(offset_range(messages, *window), schedule, records.next_last_seen(earlier, None), records.next_trip_state(obs0, None))
 
 
-def run(messages: DataFrame, schedule: Schedule, last_seen: DataFrame | None = None, trips: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All results of a set of messages as relations.
+class Results:
+    """All results of a set of messages as relations, each made when it is asked for.
 
-    The observations feed every result, so they are computed once and written
-    to the shared folder.
+    Messages are taken apart once, and observations meet the schedule once: both
+    are written to the shared folder, and every result starts from there.
     """
-    marks = records.mark_repeated(messages, last_seen)
-    rows = records.entities(records.fresh(messages, marks))
-    obs = written_once(records.with_delay(records.observations(rows), schedule), "observations")
-    return {
-        "marks": marks,
-        "rows": rows,
-        "observations": obs,
-        "minute": records.delay_minute(obs, records.stopped(rows)),
-        "hour": records.delay_hourly(obs),
-        "arrivals": records.arrivals(obs, schedule.stops, trips),
-        "alerts": records.alerts(rows),
-    }
+
+    def __init__(self, messages: DataFrame, schedule: Schedule, last_seen: DataFrame | None, trips: DataFrame | None):
+        self._messages, self._schedule, self._last_seen, self._trips = messages, schedule, last_seen, trips
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+    @cached_property
+    def marks(self) -> DataFrame:
+        return records.mark_repeated(self._messages, self._last_seen)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return written_once(records.entities(records.fresh(self._messages, self.marks)), "entities")
+
+    @cached_property
+    def observations(self) -> DataFrame:
+        return written_once(records.with_delay(records.observations(self.rows), self._schedule), "observations")
+
+    @cached_property
+    def minute(self) -> DataFrame:
+        return records.delay_minute(self.observations, records.stopped(self.rows))
+
+    @cached_property
+    def hour(self) -> DataFrame:
+        return records.delay_hourly(self.observations)
+
+    @cached_property
+    def arrivals(self) -> DataFrame:
+        return records.arrivals(self.observations, self._schedule.stops, self._trips)
+
+    @cached_property
+    def alerts(self) -> DataFrame:
+        return records.alerts(self.rows)
+
+
+def run(messages: DataFrame, schedule: Schedule, last_seen: DataFrame | None = None, trips: DataFrame | None = None) -> Results:
+    return Results(messages, schedule, last_seen, trips)
 
 
 def full_minutes(minutes: DataFrame, edge: int = 2) -> DataFrame:
@@ -74,7 +100,7 @@ def arrivals_found(replayed: DataFrame, stored: DataFrame, minutes: DataFrame) -
     return hit.agg(F.count("*").alias("expected"), F.count("_hit").alias("found"))
 
 
-def stream_checks(results: dict[str, DataFrame], profile: DataFrame) -> DataFrame:
+def stream_checks(results: Results, profile: DataFrame) -> DataFrame:
     """(check, passed) before aggregated results may be compared with the store."""
     obs, minute, arrivals, marks = results["observations"], results["minute"], results["arrivals"], results["marks"]
     used = profile.join(marks.where("NOT repeated").select("feed", "offset"), ["feed", "offset"], "left_semi")
