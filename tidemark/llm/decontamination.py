@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, texts, written
 
-N, SEED_SHARE, MIN_SCORE = 3, 0.75, 0.5
+N, SEED_SHARE, MIN_SCORE = 3, 0.75, 0.4
 BLOCK_GRAMS = 200_000
 #: Scores of equal words, different words and gaps.
 MATCH, MISMATCH, GAP = 2, -1, -1
