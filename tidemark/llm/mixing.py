@@ -121,7 +121,10 @@ def assign(docs: DataFrame, *, schedules: list[Knots] = SCHEDULES, repeats: int
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], mix.alias("_mix"))
 
 
-def scheduled(assigned: DataFrame, position: str = "position") -> DataFrame:
-    """Rows range-sorted by position; rows that are never due come last."""
-    by = F.col(position).asc_nulls_last()
-    return assigned.repartitionByRange(by).sortWithinPartitions(by)
+def scheduled(assigned: DataFrame, position: str = "position", id_col: str = "doc_id") -> DataFrame:
+    """Rows range-sorted by position, ties by a hash of the id; rows that are never due come last.
+
+    The hash also spreads the rows that are never due, which have no position, over many tasks.
+    """
+    by = [F.col(position).asc_nulls_last(), F.xxhash64(id_col)]
+    return assigned.repartitionByRange(*by).sortWithinPartitions(*by)
