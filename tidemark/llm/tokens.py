@@ -15,6 +15,7 @@ across it, so the ids are those of the whole text; words met before come from a
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,12 +29,14 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import map_rows, written
 
 END_ID = 1
-#: Words that one Python worker remembers; beyond it the memory is started anew.
-CACHED_WORDS = 400_000
+#: Words, and pieces of words, that one Python worker remembers; beyond it only short ones stay.
+CACHED_WORDS, CACHED_PIECES = 300_000, 700_000
 #: Documents of one row index entry, bytes of one stripe.
 INDEX_STRIDE, STRIPE_BYTES = 1000, 16 << 20
 #: Special token of the vocabulary put between words that are encoded together.
 SEPARATOR = "<|startoftext|>"
+#: ASCII marks but the apostrophe, which the tokenizer joins with letters.
+_MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
 
 
 class WordEncoder:
@@ -43,31 +46,75 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        # Only a tokenizer with word ends that drops white space can be fed word by word.
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.by_word = bool(suffix) and self.separator is not None
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {b"": b""}
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    def _encode(self, some: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes]) -> None:
-        # A word that holds special tokens is encoded alone, since the separator is one.
+    def _apart(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; the separator is encoded between them."""
+        # A word that holds special tokens is encoded alone.
         plain = [w for w in words if b"<|" not in w]
-        for w in words:
-            if b"<|" in w or self.separator is None:
-                self.known[w] = self._encode(w.decode()).tobytes()
-        if self.separator is None:
-            return
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            ids = self._encode(f" {SEPARATOR} ".join(w.decode() for w in some))
+        alone = [w for w in words if b"<|" in w]
+        out = {w: ids.tobytes() for w, ids in zip(alone, self._encode([w.decode() for w in alone]), strict=True)}
+        if plain:
+            ids = self._encode([f" {SEPARATOR} ".join(w.decode() for w in plain)])[0]
             cuts = np.flatnonzero(ids == self.separator)
             starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-            for w, a, b in zip(some, starts, ends, strict=True):
-                self.known[w] = ids[a:b].tobytes()
+            out |= {w: ids[a:b].tobytes() for w, a, b in zip(plain, starts, ends, strict=True)}
+        return [out[w] for w in words]
+
+    def _letters(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters; each should be one run up to a token with the word end."""
+        ids = self._encode([" ".join(w.decode() for w in words)])[0]
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):
+            return self._apart(words)
+        raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """The tokenizer splits a word between letters and marks, so both are remembered for themselves."""
+        split, odd, cores, tails = [], [], set(), set()
+        for w in words:
+            core = w.rstrip(_MARKS)
+            if core.isalpha():
+                core, tail = core.lower(), w[len(core) :]
+            elif core.decode().isalpha():
+                tail = w[len(core) :]
+            else:
+                odd.append(w)
+                continue
+            split.append((w, core, tail))
+            cores.add(core)
+            tails.add(tail)
+        for learn, some in ((self._letters, cores), (self._apart, tails)):
+            new = list(some.difference(self.pieces))
+            for at in range(0, len(new), 2000):
+                self.pieces.update(zip(new[at : at + 2000], learn(new[at : at + 2000]), strict=True))
+        for w, core, tail in split:
+            self.known[w] = self.pieces[core] + self.pieces[tail]
+        for at in range(0, len(odd), 2000):
+            self.known.update(zip(odd[at : at + 2000], self._apart(odd[at : at + 2000]), strict=True))
 
     def __call__(self, batch: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return [ids.tobytes() for ids in self._encode(batch)]
         split = [t.encode().split() for t in batch]
+        # Short words come again most; the others are put together from their pieces.
         if len(self.known) > CACHED_WORDS:
-            self.known = {}
+            self.known = {w: ids for w, ids in self.known.items() if len(w) < 8}
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces = {w: ids for w, ids in self.pieces.items() if len(w) < 8}
+        if len(self.known) > CACHED_WORDS or len(self.pieces) > CACHED_PIECES:
+            self.known, self.pieces = {}, {b"": b""}
         new = set().union(*split).difference(self.known)
         if new:
             self._learn(list(new))
