@@ -273,7 +273,11 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
 def digests(found: DataFrame) -> DataFrame:
     """Counts and the hash of the base spans beside all spans."""
-    counts = [F.size(F.filter(F.split("base", ","), lambda s, k=k: s.startswith(f"{k}:"))).cast("long").alias(f"n_{k}") for k in KINDS]
+    def count(kind: str):
+        # The filter's function gets one argument; a second one would be the index.
+        return F.size(F.filter(F.split("base", ","), lambda s: s.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in KINDS]
     ids = [c for c in found.columns if c not in ("base", "spans")]
     return found.select(*ids, *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
