@@ -18,10 +18,10 @@ from tidemark.workload.scalars import _HOLIDAYS
 E, TS, V = train.ENTITY, train.TS, train.VALUE
 FIRST_TEST = "2024-03-24"
 
-_SH = f"sh AS (SELECT {E}, {TS}, CAST(sum(ridership) AS DOUBLE) AS riders FROM fact GROUP BY 1, 2)"
+_SH = f"sh AS MATERIALIZED (SELECT {E}, {TS}, CAST(sum(ridership) AS DOUBLE) AS riders FROM fact GROUP BY 1, 2)"
 _HOL = _HOLIDAYS.replace("SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year FROM orders", f"SELECT DISTINCT CAST(year({TS}) AS INT) AS year FROM fact")
 _GRID = f"""{_SH}, {_HOL}, hh AS (SELECT DISTINCT {TS} FROM sh WHERE NOT {dst_sql(TS)}), ss AS (SELECT DISTINCT {E} FROM sh),
-g AS (SELECT ss.{E}, hh.{TS}, coalesce(riders, 0) AS riders FROM hh CROSS JOIN ss LEFT JOIN sh ON sh.{E} = ss.{E} AND sh.{TS} = hh.{TS}),
+g AS MATERIALIZED (SELECT ss.{E}, hh.{TS}, coalesce(riders, 0) AS riders FROM hh CROSS JOIN ss LEFT JOIN sh ON sh.{E} = ss.{E} AND sh.{TS} = hh.{TS}),
 c AS (SELECT *, CAST(hour({TS}) AS INT) AS hour, CAST(isodow({TS}) AS INT) AS dow, CAST(isodow({TS}) >= 6 AS INT) AS is_weekend, CAST(month({TS}) AS INT) AS month,
   CASE WHEN isodow({TS}) >= 6 THEN 'weekend' ELSE 'weekday' END AS day_type, CAST(CAST({TS} AS DATE) IN (SELECT day FROM hol) AS INT) AS is_holiday FROM g),
 tr AS (SELECT * FROM c WHERE {TS} < TIMESTAMP '{FIRST_TEST}'), te AS (SELECT * FROM c WHERE {TS} >= TIMESTAMP '{FIRST_TEST}'),
@@ -85,11 +85,16 @@ def _(spark, sf):
 _LAGGED = f"""lag7 AS (SELECT te.*, g7.riders AS lag_7d, profile_mean FROM te JOIN pr USING ({E}, dow, hour) LEFT JOIN g g7 ON g7.{E} = te.{E} AND g7.{TS} = te.{TS} - INTERVAL 7 DAY)"""
 
 
+_LAG_HOURS = {"lag_1h": 1, "lag_24h": 24, "lag_7d": 168, "lag_14d": 336, "lag_21d": 504}
+
+
 @query(
     "feature_table",
     "M05 J08 J16",
-    f"""{BASE}, f AS (SELECT c.{E}, c.{TS}, c.riders, l1.riders AS lag_1h, l2.riders AS lag_24h, l7.riders AS lag_7d, l14.riders AS lag_14d, l21.riders AS lag_21d, profile_mean FROM c JOIN pr USING ({E}, dow, hour)
-    """ + " ".join(f"LEFT JOIN g l{n} ON l{n}.{E} = c.{E} AND l{n}.{TS} = c.{TS} - INTERVAL {h} HOUR" for n, h in ((1, 1), (2, 24), (7, 168), (14, 336), (21, 504)))
+    # One row an hour and entity, so a frame of one instant holds that hour's row or none.
+    f"{BASE}, l AS (SELECT {E}, {TS}, "
+    + ", ".join(f"max(riders) OVER (PARTITION BY {E} ORDER BY {TS} RANGE BETWEEN INTERVAL {h} HOUR PRECEDING AND INTERVAL {h} HOUR PRECEDING) AS {n}" for n, h in _LAG_HOURS.items())
+    + f" FROM g), f AS (SELECT c.*, l.* EXCLUDE ({E}, {TS}), profile_mean FROM c JOIN pr USING ({E}, dow, hour) JOIN l USING ({E}, {TS})"
     + f") SELECT {E}, {TS}, riders, lag_1h, lag_24h, lag_7d, lag_14d, lag_21d, round(profile_mean, 9) AS profile_mean FROM f",
 )
 def _(spark, sf):

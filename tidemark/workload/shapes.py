@@ -235,9 +235,10 @@ _LAGS = {"lag_1h": 1, "lag_24h": 24, "lag_7d": 168, "lag_14d": 336, "lag_21d": 5
 @query(
     "lag_features",
     "J08 M05",
-    f"WITH {_GRID} SELECT g.user_id, g.hour, g.n, " + ", ".join(f"{n}.n AS {n}" for n in _LAGS)
-    + ", round(list_avg([lag_14d.n, lag_21d.n, lag_28d.n]), 9) AS lag_mean FROM g "
-    + " ".join(f"LEFT JOIN g {n} ON {n}.user_id = g.user_id AND {n}.hour = g.hour - INTERVAL {h} HOUR" for n, h in _LAGS.items()),
+    # One row an hour and user, so a frame of one instant holds that hour's row or none.
+    f"WITH {_GRID}, l AS (SELECT user_id, hour, n, "
+    + ", ".join(f"max(n) OVER (PARTITION BY user_id ORDER BY hour RANGE BETWEEN INTERVAL {h} HOUR PRECEDING AND INTERVAL {h} HOUR PRECEDING) AS {n}" for n, h in _LAGS.items())
+    + " FROM g) SELECT *, round(list_avg([lag_14d, lag_21d, lag_28d]), 9) AS lag_mean FROM l",
 )
 def _(spark, sf):
     lagged = grid.lag_features(event_grid(spark, sf), "user_id", "hour", "n", _LAGS)
