@@ -1,8 +1,9 @@
 """Passages of benchmark items in training documents, edited copies included.
 
-The word n-grams of the items are looked up in all documents. For every item the rarest ``SEED_SHARE`` of its
-n-grams, by the documents that hold them, are its seeds: rarity is relative to the item, so one that is
-copied into very many documents keeps its seeds. Around the seeds a document shares with an item, a
+The word n-grams of the items are looked up in all documents. An item's seeds are those of its n-grams that
+are rare by the documents that hold them: rarity is relative to the median of the item's n-grams that occur at
+all, so an item that is copied into very many documents keeps its seeds, and so do the n-grams that
+survive in edited copies; only phrases of everyday language go. Around the seeds a document shares with an item, a
 Smith-Waterman alignment of words scores the best local match, and pairs whose score is at least
 ``MIN_SCORE`` of the score of a whole copy are returned.
 
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, texts, written
 
-N, SEED_SHARE, MIN_SCORE = 3, 0.75, 0.4
+N, MIN_SCORE = 3, 0.4
+#: An item's n-gram is no seed if more documents hold it than both of these allow: so many, and so many times the item's median.
+SEED_FLOOR, SEED_FACTOR = 10, 8
 BLOCK_GRAMS = 200_000
 #: Scores of equal words, different words and gaps.
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -80,12 +83,13 @@ class Items:
                 self.reach[n] = max(self.reach[n], 2 * len(words))
         self.known = frozenset(self.grams)
 
-    def seeds(self, frequency: dict[int, int], share: float) -> list[set[int]]:
-        """The rarest n-grams of each item."""
+    def seeds(self, frequency: dict[int, int]) -> list[set[int]]:
+        """The rare n-grams of each item; at least half of those that occur."""
         out = []
         for _, words in self.items:
-            own = sorted({self.grams[g] for g in grams_of(words)}, key=lambda n: (frequency.get(n, 0), n))
-            out.append(set(own[: max(N, round(share * len(own)))]))
+            own = {n: frequency[n] for g in grams_of(words) if (n := self.grams[g]) in frequency}
+            most = max(SEED_FLOOR, SEED_FACTOR * float(np.median(list(own.values())))) if own else 0
+            out.append({n for n, d in own.items() if d <= most})
         return out
 
 
@@ -200,7 +204,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
         hits = written(_hits(rows, block), "benchmark-hits")
         # One row an n-gram of the block.
         frequency = {r["n"]: r["d"] for r in hits.select(F.explode(F.array_distinct("grams")).alias("n")).groupBy("n").agg(F.count("*").alias("d")).collect()}
-        pairs = _aligned(hits, block, block.seeds(frequency, SEED_SHARE), min_score, item_kind)
+        pairs = _aligned(hits, block, block.seeds(frequency), min_score, item_kind)
         found = pairs if found is None else found.unionByName(pairs)
     if found is None:
         found = rows.where("false").select("id", "key", F.lit(None).cast(item_kind).alias("item_id"), F.lit(0.0).alias("score"), *[F.lit(0).cast("long").alias(c) for c in ("n_seeds", "first_word", "end_word")])
