@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import texts, written
 from tidemark.llm.gru import Gru
 
-BLOCK_TOKENS, WORDS, FIT_TOKENS = 400_000, 1023, 500_000
+BLOCK_TOKENS, WORDS, FIT_TOKENS = 800_000, 1023, 500_000
 #: No word holds a space.
 END = " "
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -109,12 +109,12 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every document."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("held_out", held_out("id"))
-    made = written(blocks(rows), "lm-blocks")
+    made = written(blocks(rows), "lm-blocks", "zstd")
     listed = made.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).select("block", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     same = Window.partitionBy("word")
     # Every block lists a word once, so one row of each word is in its smallest block.
     counted = listed.select("block", "place", "word", F.sum("n").over(same).alias("c"), (F.min("block").over(same) == F.col("block")).alias("first"))
-    known = written(counted.select("block", "place", "c", F.when(F.col("first"), F.col("word")).alias("word")), "lm-counts")
+    known = written(counted.select("block", "place", "c", F.when(F.col("first"), F.col("word")).alias("word")), "lm-counts", "zstd")
     once = known.where("word IS NOT NULL AND c > 0")
     sums = once.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = int(sums["n"]), int(sums["v"])
