@@ -243,6 +243,30 @@ def test_an_item_copied_into_most_documents_keeps_its_seeds(spark):
     assert {r["id"] for r in decontamination.matches(docs, bench).collect()} == {i for i in range(200) if i % 10}
 
 
+def test_an_edited_hot_group_beside_one_exact_copy_is_found(spark):
+    item = [f"w{k}" for k in range(30)]
+    edited = [f"x{k}" if k % 5 == 4 else w for k, w in enumerate(item)]
+    texts = [f"start{i} {' '.join(edited)} end{i}" for i in range(12)] + [f"start {' '.join(item)} end"]
+    # One seed far from the copy, which shares frequent n-grams only.
+    texts += [f"{' '.join(edited)} {' '.join(f'p{k}' for k in range(200))} {' '.join(item[3:6])} q"]
+    texts += [f"plain text {i} with {' '.join(item[:3])} and no more of the item, which is longer by far than that" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {r["id"] for r in decontamination.matches(docs, bench).collect()} == set(range(14))
+
+
+def test_a_copy_without_seeds_and_with_many_insertions_is_found(spark):
+    item = [f"w{k}" for k in range(30)]
+    # Two words go in after every second one; only the item's end is left in one piece.
+    edited = [x for k, w in enumerate(item) for x in ([w, f"x{k}", f"y{k}"] if k % 2 and k < 26 else [w])]
+    texts = [f"start{i} {' '.join(edited)} end{i}" for i in range(60)] + [f"start {' '.join(item)} end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    score = plain_alignment(item, edited) / (2 * len(item))
+    got = {r["id"]: r["score"] for r in decontamination.matches(docs, bench).collect()}
+    assert score >= decontamination.MIN_SCORE and got == {**{i: pytest.approx(score) for i in range(60)}, 60: 1.0}
+
+
 # --- language model
 
 

@@ -7,6 +7,10 @@ survive in edited copies; only phrases of everyday language go. Around the seeds
 Smith-Waterman alignment of words scores the best local match, and pairs whose score is at least
 ``MIN_SCORE`` of the score of a whole copy are returned.
 
+Pairs that share n-grams but not enough by seeds (an edited copy in so many documents that what it kept is frequent)
+are aligned around all their shared n-grams, unless too few of the item's words stand there to reach
+``MIN_SCORE``. The windows hold every alignment of that score through a shared n-gram, so rarity loses no pair.
+
 Words are runs of letters, digits and underscores in lower case. Items with fewer than ``N`` words, null
 items among them, are too short to show a copy and match nothing; null and empty texts match nothing.
 Items enter in blocks of at most ``BLOCK_GRAMS`` n-grams, each held against all documents, so what is
@@ -80,7 +84,8 @@ class Items:
                     self.at.append([])
                     self.reach.append(0)
                 self.at[n].append((k, i))
-                self.reach[n] = max(self.reach[n], 2 * len(words))
+                # The item itself and as many inserted words as the matches can pay for.
+                self.reach[n] = max(self.reach[n], 3 * len(words))
         self.known = frozenset(self.grams)
 
     def seeds(self, frequency: dict[int, int]) -> list[set[int]]:
@@ -132,11 +137,12 @@ def _aligned(hits: DataFrame, block: Items, seeds: list[set[int]], min_score: fl
     sent = hits.sparkSession.sparkContext.broadcast((block, seeds))
     kind = dict(hits.dtypes)["id"]
 
-    def best(row: dict, item: list[str], places: list[tuple[int, int]], begins: np.ndarray) -> tuple[float, int, int]:
+    def best(passages: list[list[str]], item: list[str], places: list[tuple[int, int]], begins: np.ndarray, margin: int) -> tuple[float, int, int]:
         """Score of the best region, and its first and last word."""
         ids: dict[str, int] = {}
         wanted = np.array([ids.setdefault(w, len(ids)) for w in item], np.int32)
-        # Seeds whose distance along the document fits one copy are aligned together.
+        whole = np.bincount(wanted)
+        # N-grams whose distance along the document fits one copy are aligned together.
         starts = sorted(i - at for i, at in places)
         regions: list[list[int]] = []
         for s in starts:
@@ -146,12 +152,17 @@ def _aligned(hits: DataFrame, block: Items, seeds: list[set[int]], min_score: fl
                 regions.append([s, s])
         out = (0.0, 0, 0)
         for a, e in regions:
-            a, e = a - len(item) // 2, e + len(item) + len(item) // 2
+            a, e = a - margin, e + len(item) + margin
             # The passage that holds the region.
             k = max(int(np.searchsorted(begins, max(a, 0), side="right")) - 1, 0)
-            words = row["passages"][k].split(" ")
+            words = passages[k]
             a, e = max(a - begins[k], 0), min(e - begins[k], len(words))
-            score, end = align(wanted, np.array([ids.get(w, -1) for w in words[a:e]], np.int32))
+            passage = np.array([ids.get(w, -1) for w in words[a:e]], np.int32)
+            # No alignment matches a word more often than both sides hold it.
+            most = int(np.minimum(whole, np.bincount(passage[passage >= 0], minlength=len(whole))).sum())
+            if most < min_score * len(item):
+                continue
+            score, end = align(wanted, passage)
             if score / (MATCH * len(item)) > out[0]:
                 out = score / (MATCH * len(item)), int(begins[k] + a), int(begins[k] + a + end)
         return out
@@ -160,17 +171,22 @@ def _aligned(hits: DataFrame, block: Items, seeds: list[set[int]], min_score: fl
         items, own = sent.value
         rows = []
         for row in b.to_pylist():
-            by_item: dict[int, list[tuple[int, int]]] = defaultdict(list)
+            by_item: dict[int, list[tuple[int, int, bool]]] = defaultdict(list)
             for i, n in zip(row["places"], row["grams"], strict=True):
                 for k, at in items.at[n]:
-                    if n in own[k]:
-                        by_item[k].append((i, at))
+                    by_item[k].append((i, at, n in own[k]))
             begins = np.array(row["begins"])
-            for k, places in by_item.items():
+            passages = [p.split(" ") for p in row["passages"]]
+            for k, shared in by_item.items():
                 item_id, words = items.items[k]
-                score, a, e = best(row, words, places, begins)
-                if score >= min_score:
-                    rows.append((row["id"], row["key"], item_id, score, len({at for _, at in places}), a, e))
+                rare = [(i, at) for i, at, seed in shared if seed]
+                every = [(i, at) for i, at, _ in shared]
+                # By all n-grams, far enough for the words that can be inserted at that score.
+                for places, margin in ((rare, len(words) // 2), (every, int(2 * (1 - min_score) * len(words)) + 1)):
+                    score, a, e = best(passages, words, places, begins, margin) if places else (0.0, 0, 0)
+                    if score >= min_score:
+                        rows.append((row["id"], row["key"], item_id, score, len({at for _, at in places}), a, e))
+                        break
         columns = list(zip(*rows, strict=True)) if rows else [()] * 7
         kinds = [b.schema.field("id").type, pa.int64(), pa.int64() if item_kind == "bigint" else pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["id", "key", "item_id", "score", "n_seeds", "first_word", "end_word"])
