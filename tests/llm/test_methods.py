@@ -410,6 +410,19 @@ def test_constant_slots_become_template(spark):
     assert got[100] == "Welcome to our site"
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    page = "<html><body><p>Front words</p><article><h1>A headline</h1><p>Short story of one page</p></article></body></html>"
+    plain = "<html><body><h1>Plain page</h1><p>Words without an article</p></body></html>"
+    rows = [(k, f"http{'s' * (k % 2)}://copies.com/x?utm={k}", page) for k in range(10)] + [(10 + k, f"https://plain.com/?{k}", plain) for k in range(10)]
+    # Four pages besides ninety copies of a fifth: the foot is on all, the fifth page's text on one.
+    rows += [(100 + k, f"https://mixed.com/{k}", f"<div><p>Story {max(k - 89, 0)} is told</p></div><div>All rights kept</div>") for k in range(94)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_wrapper.extract(pages).collect()}
+    assert all(got[k] == "A headline Short story of one page" for k in range(10))
+    assert all(got[k] == "Plain page Words without an article" for k in range(10, 20))
+    assert all(got[100 + k] == f"Story {max(k - 89, 0)} is told" for k in range(94))
+
+
 def test_hostile_pages_end():
     for page in ("<div>" * 20_000 + "x", '<a title="' * 20_000, "<div>a<p>b" * 5_000, "<" * 50_000, "<b><i>" * 10_000 + "x"):
         html_wrapper.Tree.of(html_wrapper.skeleton(html_wrapper.blocks(page)))

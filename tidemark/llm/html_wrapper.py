@@ -7,7 +7,8 @@ mapping of equal labels). A text that stands at a matched node of the reference
 ``CONSTANT`` of the host's pages is template and is taken out of every page of the host; what varies is
 content, but for regions that say by their element or class that they are something else: menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments, and for blocks
-outside the article where a page marks one. A host with fewer than ``MIN_PAGES`` pages has no template.
+outside the article where a page marks one. Pages with equal skeletons are copies and count as one page, here and among
+the references. A host with fewer than ``MIN_PAGES`` pages has no template.
 
 Only skeletons (labels and text hashes) are joined and counted; the page text is read once more at the
 end. Whole pages are parsed, broken ones as browsers would: missing end tags are closed, a tag cut off by
@@ -346,7 +347,9 @@ def templates(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([b["host"], b["rank"], pa.array(packed, pa.binary())], names=["host", "rank", "bones"])
 
     ranked = rows.where("host != ''").select("host", F.xxhash64("id", "html").alias("rank"), "html")
-    seen = written(map_rows(ranked, bones, "host string, rank long, bones binary"), "page-skeletons")
+    # Copies of a page, refetched or under several URLs, are no evidence of what its host repeats.
+    distinct = map_rows(ranked, bones, "host string, rank long, bones binary").groupBy("host", "bones").agg(F.min("rank").alias("rank"))
+    seen = written(distinct, "page-skeletons")
     by_host = seen.groupBy("host", F.pmod("rank", F.lit(REFERENCES)).alias("k")).agg(F.count("*").alias("n"), F.min_by("bones", "rank").alias("reference"))
     hosts = by_host.groupBy("host").agg(F.sum("n").alias("pages"), F.collect_list("reference").alias("references")).where(F.col("pages") >= MIN_PAGES)
     chosen = written(hosts, "page-references")
