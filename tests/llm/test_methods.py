@@ -410,6 +410,15 @@ def test_constant_slots_become_template(spark):
     assert got[100] == "Welcome to our site"
 
 
+def test_end_tags_pair_up_in_deep_pages():
+    for n in (99, 120, 5000):
+        assert text_of(f"<div><article>{'<div>' * n}in{'</div>' * n}<p>after</p></article></div>out") == "in after"
+        assert text_of(f"<article>{'<div>' * n}<nav><div>menu</div></nav>in<ul><li>one<li>two</ul>{'</div>' * n}<p>after</p></article>out") == "in one two after"
+        assert text_of(f"<article>{'<b>' * n}<span hidden>gone</span>in{'</b>' * n}<p>after</p></article>out") == "in after"
+    deep = html_wrapper.blocks("<div>x" * 3000)
+    assert len(deep) == 3000 and max(b.element.depth for b in deep) == html_wrapper.MAX_DEPTH + 1
+
+
 def test_copies_of_a_page_are_no_template(spark):
     page = "<html><body><p>Front words</p><article><h1>A headline</h1><p>Short story of one page</p></article></body></html>"
     plain = "<html><body><h1>Plain page</h1><p>Words without an article</p></body></html>"

@@ -25,6 +25,7 @@ import html as entities
 import re
 import struct
 import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_rows, texts, written
 
 REFERENCES, CONSTANT, MIN_PAGES = 3, 0.9, 5
-#: Deeper elements count as children of the last level; children lists longer than WIDE lose their order.
+#: Deeper elements count as children of the last level, but are opened and closed like all others. More inline elements
+#: than that within one block are only counted. Children lists longer than WIDE lose their order.
 MAX_DEPTH, WIDE = 100, 64
 #: Long text inside the article is never template.
 ARTICLE_WORDS = 40
@@ -62,11 +64,15 @@ _STOP = re.compile(r"""[>"']""")
 
 
 class Element:
-    __slots__ = ("tag", "label", "path", "parent", "region", "article", "depth")
+    __slots__ = ("tag", "label", "path", "parent", "region", "article", "depth", "inline", "surplus")
 
-    def __init__(self, tag: str, label: str, parent: Element | None, region: bool, article: bool):
+    def __init__(self, tag: str, label: str, parent: Element | None, region: bool, article: bool, inline: int = 0):
+        if parent and parent.depth > MAX_DEPTH:
+            parent = parent.parent
         self.tag, self.label, self.parent, self.region, self.article = tag, label, parent, region, article
         self.depth = parent.depth + 1 if parent else 0
+        #: Inline elements since the last block, this one included, and those that were too many to open.
+        self.inline, self.surplus = inline, None
         self.path = zlib.crc32(label.encode(), parent.path if parent else 0)
 
 
@@ -116,7 +122,7 @@ def _made(tag: str, attributes: str, parent: Element) -> Element:
     if tag == "header" or "header" in names and tag not in ("html", "body"):
         region = region or not article
     article = not region and (article or tag in ("article", "main"))
-    return Element(tag, label, parent, region, article)
+    return Element(tag, label, parent, region, article, 0 if tag in BLOCK else parent.inline + 1)
 
 
 def blocks(page: str) -> list[Block]:
@@ -125,6 +131,18 @@ def blocks(page: str) -> list[Block]:
     stack, out = [root], []
     block = Block(root)
     at, size, unclosed = 0, len(page), set()
+    #: Places of the open blocks in the stack by their tag. Only inline elements are taken out from between others, and none below a block.
+    opened: dict[str, list[int]] = defaultdict(list)
+
+    def shut(k: int) -> None:
+        """Closes the element at ``k`` and all in it."""
+        for e in stack[k:]:
+            if e.tag in BLOCK:
+                opened[e.tag].pop()
+        del stack[k:]
+
+    def last(tag: str) -> int:
+        return opened[tag][-1] if opened[tag] else 0
 
     def cut() -> None:
         nonlocal block
@@ -172,12 +190,12 @@ def blocks(page: str) -> list[Block]:
         at = end + 1
         if closing:
             if tag in BLOCK:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        cut()
-                        del stack[k:]
-                        block = Block(stack[-1])
-                        break
+                if last(tag):
+                    cut()
+                    shut(last(tag))
+                    block = Block(stack[-1])
+            elif stack[-1].surplus and stack[-1].surplus[tag]:
+                stack[-1].surplus[tag] -= 1
             else:
                 # Inline end tags never close a block.
                 for k in range(len(stack) - 1, 0, -1):
@@ -203,26 +221,25 @@ def blocks(page: str) -> list[Block]:
             if tag in CLOSES_P:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag == "p":
-                        del stack[k:]
+                        shut(k)
                         break
                     if stack[k].tag in BLOCK:
                         break
-            if tag in CLOSES_SELF:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        del stack[k:]
-                        break
-                    if stack[k].tag in CLOSES_SELF[tag]:
-                        break
+            if tag in CLOSES_SELF and last(tag) > max(map(last, CLOSES_SELF[tag])):
+                shut(last(tag))
         elif tag == "br":
             text(" ")
         if tag not in VOID and not page.startswith("/", end - 1) or tag in BLOCK and tag != "hr":
             parent = stack[-1]
             element = _made(tag, page[m.end() : end], parent)
-            if len(stack) <= MAX_DEPTH:
+            if tag in BLOCK:
+                opened[tag].append(len(stack))
+                stack.append(element)
+            elif parent.inline < MAX_DEPTH or element.region and not parent.region:
                 stack.append(element)
-            elif tag in BLOCK:
-                stack[-1] = element
+            else:
+                parent.surplus = parent.surplus or Counter()
+                parent.surplus[tag] += 1
         if tag in BLOCK:
             block = Block(stack[-1])
     cut()
