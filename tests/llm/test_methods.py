@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from test_queries import strict_spans
-from tidemark.llm import decontamination, html_wrapper, mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
+from tidemark.llm import decontamination, html_wrapper, lm_scoring, mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
 from tidemark.llm.gru import Gru
 
 
@@ -325,6 +325,20 @@ def test_network_learns_order():
     assert net.sequences(stream[:400], np.array([400]), 3).mean() > before / 4
 
 
+def test_network_learns_from_all_training_documents(spark, monkeypatch):
+    rng = random.Random(6)
+    ring = [f"w{k}" for k in range(40)]
+    # A word tells the next one; counts alone don't.
+    rows = [(i, " ".join(ring[(at + k) % 40] for k in range(200))) for i, at in enumerate(rng.choices(range(40), k=1500))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    first = lm_scoring.fit
+    monkeypatch.setattr(lm_scoring, "fit", lambda *a: first(*a, fit_tokens=0))
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 20_000)
+    monkeypatch.setattr(lm_scoring, "STREAMS", 16)
+    held = [r for r in lm_scoring.score(docs).collect() if r["held_out"]]
+    assert len(held) > 100 and sum(r["score"] for r in held) > 0.8 * sum(r["base_score"] for r in held)
+
+
 # --- SimHash
 
 

@@ -7,9 +7,11 @@ moves once a block and not once a document.
 
 The network knows the ``WORDS`` most frequent tokens; every other one is a step to the group of rare
 tokens and then a draw from their counts, so probabilities sum to one over all words. Its output biases
-start from the counts of all training documents. It is fitted on about ``FIT_TOKENS`` tokens of randomly
-chosen whole training documents; counts, word list and scores are of all documents. A document's state
-is carried from its first token to its end.
+start from the counts of all training documents. A first fit on about ``FIT_TOKENS`` tokens of randomly
+chosen whole training documents gives the weights from which it then learns from every training token: the
+blocks are dealt into ``ROUNDS``; in each, the tasks go on from the same weights through the blocks of their
+partition, and the mean of their weights, by tokens, begins the next. A document's state is carried from
+its first token to its end.
 
 Null and empty texts are one end. Null ids are never held out. Repeated rows get equal scores; an empty
 table gives an empty result; without training documents every token is unseen. Only id and text are read.
@@ -17,6 +19,7 @@ table gives an empty result; without training documents every token is unseen. O
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,8 @@ from tidemark.llm.common import texts, written
 from tidemark.llm.gru import Gru
 
 BLOCK_TOKENS, WORDS, FIT_TOKENS = 800_000, 1023, 500_000
+#: The pass over all training tokens: rounds, streams side by side and step size. Weights are added up in pieces.
+ROUNDS, STREAMS, RATE, PIECE = 3, 256, 0.004, 4096
 #: No word holds a space.
 END = " "
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -92,7 +97,7 @@ def blocks(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, vocabulary: dict[str, int], counts: np.ndarray, total: int, fit_tokens: int = FIT_TOKENS) -> Gru:
-    """The network, fitted on the driver on about ``fit_tokens`` tokens."""
+    """The network's first weights, fitted on the driver on about ``fit_tokens`` tokens."""
     model = Gru(counts)
     if total:
         share = min(1.0, fit_tokens / total)
@@ -105,6 +110,59 @@ def fit(docs: DataFrame, vocabulary: dict[str, int], counts: np.ndarray, total:
     return model
 
 
+def learnt(made: DataFrame, model: Gru, vocabulary: dict[str, int], rounds: int = ROUNDS) -> Gru:
+    """The network after it has learnt from the training tokens of all blocks, each once."""
+    rare, end = model.size - 1, vocabulary.get(END, model.size - 1)
+    for r in range(rounds):
+        sent = made.sparkSession.sparkContext.broadcast((model, vocabulary))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            begun, ids_of = sent.value
+            net = copy.copy(begun)
+            net.p = {k: v.copy() for k, v in begun.p.items()}
+            rest, n = np.array([end], np.int64), 0
+            for b in batches:
+                for k in range(len(b)):
+                    ranks = np.array([ids_of.get(w, rare) for w in b["words"][k].as_py()], np.int64)
+                    places, sizes = np.frombuffer(b["places"][k].as_py(), "<i4"), np.frombuffer(b["sizes"][k].as_py(), "<i8")
+                    own = ranks[places[np.repeat(~np.array(b["held"][k].as_py(), bool), sizes)]]
+                    flow = np.concatenate([rest, own])
+                    n += len(own)
+                    net.fit(flow, streams=STREAMS, epochs=1, rate=RATE)
+                    # What doesn't fill all streams goes on to the next block.
+                    rest = flow[(len(flow) - 1) // STREAMS * STREAMS :]
+            if n:
+                net.fit(rest, streams=1, epochs=1, rate=RATE)
+                flat = np.concatenate([v.reshape(-1) for v in net.p.values()]).astype("<f4")
+                pieces = [flat[at : at + PIECE].tobytes() for at in range(0, len(flat), PIECE)]
+                columns = [pa.array(range(len(pieces)), pa.int32()), pa.array([n] * len(pieces), pa.int64()), pa.array(pieces, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["piece", "n", "weights"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, tuple[int, np.ndarray]] = {}
+            for b in batches:
+                for k, n, w in zip(*(b[c].to_pylist() for c in ("piece", "n", "weights")), strict=True):
+                    before = sums.get(k, (0, 0.0))
+                    sums[k] = before[0] + n, before[1] + n * np.frombuffer(w, "<f4").astype(float)
+            rows = [(k, n, (w / n).astype("<f4").tobytes()) for k, (n, w) in sums.items()]
+            if rows:
+                k, n, w = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(n, pa.int64()), pa.array(w, pa.binary())], names=["piece", "n", "weights"])
+
+        kinds = "piece int, n long, weights binary"
+        taken = made.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == r).select("held", "sizes", "places", "words").mapInArrow(run, kinds)
+        # As many rows as the weights have pieces, however many tasks there were.
+        got = {x["piece"]: x["weights"] for x in taken.repartition("piece").mapInArrow(add, kinds).collect()}
+        if got:
+            flat, at, model = np.frombuffer(b"".join(got[k] for k in sorted(got)), "<f4"), 0, copy.copy(model)
+            means = {}
+            for key, v in model.p.items():
+                means[key] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
+                at += v.size
+            model.p = means
+    return model
+
+
 def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every document."""
     spark = docs.sparkSession
@@ -123,6 +181,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     vocabulary = {w: i for i, (w, _) in enumerate(top)}
     rare_total, rare_distinct = total - sum(c for _, c in top), distinct - len(top)
     model = fit(rows, vocabulary, np.array([*(c for _, c in top), rare_total], float), total)
+    model = learnt(made, model, vocabulary)
     sent = spark.sparkContext.broadcast((model, vocabulary, total, distinct, rare_total, rare_distinct))
     counts = known.select("block", "place", "c")
     kind = dict(rows.dtypes)["id"]
