@@ -147,6 +147,23 @@ def test_rules_keep_prose_and_reject_other_distributions(spark):
     assert got[203]["nearest_lang"] == "de"
 
 
+@pytest.mark.parametrize("n", [19, 20])
+def test_a_small_language_is_not_judged_by_others(spark, n):
+    rng = random.Random(2)
+
+    def prose(common, letters):
+        return " ".join(rng.choice(common) if rng.random() < 0.6 else "".join(rng.choices(letters, k=6)) for _ in range(200))
+
+    en = "the of and to in a is that it was for on are as with".split()
+    el = "και το να η του που την της με για στο από δεν είναι θα".split()
+    rows = [(i, prose(en, "abcdefghiklmnoprstu"), "en") for i in range(60)] + [(100 + i, prose(el, "αβγδεζηθικλμνοπρ"), "el") for i in range(n)]
+    # No language claimed, or one with a reference: judged as before.
+    rows += [(200, prose("### $$$ %%%".split(), "#$%&"), None), (201, prose("### $$$ %%%".split(), "#$%&"), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.score(docs).collect()}
+    assert all(got[i] for i in [*range(60), *range(100, 100 + n)]) and not got[200] and not got[201]
+
+
 # --- URLs
 
 

@@ -7,7 +7,8 @@ is over its limit. Histograms of fewer than ``MIN_CHARS`` characters or ``MIN_WO
 to judge and never reject. Documents that fail the base rules are not kept in any case.
 
 Null and empty texts have no words and fail the base rules. Null languages give no reference, and languages
-with under ``MIN_REFERENCE`` documents neither; without any reference only the base rules judge. Rows are
+with under ``MIN_REFERENCE`` documents neither; documents that claim a language without a reference are left to the
+base rules, their distances being from other languages; without any reference only the base rules judge. Rows are
 judged one by one, so repeated rows give repeated rows; an empty table gives an empty result. Only the id,
 the text and the language are read.
 """
@@ -170,14 +171,15 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for text in texts(b["text"]):
+        for text, claimed in zip(texts(b["text"]), b["lang"].to_pylist(), strict=True):
             raw = text.encode()
             words, chars = raw.split(), classes(text)
             white = int(chars[0] + chars[1])
             repeated = repeated_words(words)
             failed = len(words) < 50 or 100 * repeated > 50 * len(words)
             lang, by_chars, by_words = judge.value(chars, text.lower().encode().split())
-            far = (by_chars or 0) > MAX_CHAR_DISTANCE or (by_words or 0) > MAX_WORD_DISTANCE
+            judged = claimed is None or claimed in judge.value.langs
+            far = judged and ((by_chars or 0) > MAX_CHAR_DISTANCE or (by_words or 0) > MAX_WORD_DISTANCE)
             out.append((len(words), len(text) - white, int(chars[2]), duplicate_lines(raw), repeated, failed, not failed and not far, lang, by_chars, by_words))
         columns = list(zip(*out, strict=True)) if out else [()] * 10
         kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string()] + [pa.float64()] * 2
@@ -186,4 +188,4 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
 
     schema = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, nearest_lang string, char_distance double, word_distance double"
     kind = dict(rows.dtypes)["id"]
-    return map_rows(rows.select("id", "text"), run, f"id {kind}, {schema}").withColumnRenamed("id", id_col)
+    return map_rows(rows, run, f"id {kind}, {schema}").withColumnRenamed("id", id_col)
