@@ -24,9 +24,11 @@ def _columns(docs: DataFrame) -> list:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts; all of them if it had no label to learn from."""
     prepare(spark)
     model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
+    if not model.learnt:
+        return docs
     return quality_fm.score(docs, model).where(F.col("_fm_score") >= MIN_QUALITY).select(*_columns(docs))
 
 

@@ -134,3 +134,10 @@ def test_stages_on_edge_rows(spark, docs, folder, name, stage):
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_on_an_empty_table(spark, folder, name, stage):
     assert stage(spark, spark.read.parquet(f"{folder}/documents.parquet").limit(0), folder).count() == 0
+
+
+def test_quality_without_usable_labels_keeps_all(spark, docs, tmp_path):
+    # None at all, ids of no document, and no label in the row.
+    for k, rows in enumerate(([], [(999, 1, 0)], [(1, None, None), (None, 1, 0)])):
+        spark.createDataFrame(rows, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{k}/labels.parquet")
+        assert corpus_pipeline.quality(spark, docs, f"{tmp_path}/{k}").count() == len(ROWS)

@@ -66,11 +66,12 @@ class FactorisationMachine:
 
     def __init__(self, size: int = SIZE, rank: int = RANK, seed: int = 1):
         self.rng = np.random.default_rng(seed)
+        self.learnt = False
         self.params = {"b": np.zeros(1, np.float32), "w": np.zeros(size, np.float32), "v": self.rng.normal(0, 0.05, (size, rank)).astype(np.float32)}
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 128, rate: float = 0.02, decay: float = 2e-4) -> FactorisationMachine:
         moments = {k: (np.zeros_like(p), np.zeros_like(p)) for k, p in self.params.items()}
-        step = 0
+        step, self.learnt = 0, True
         for _ in range(epochs):
             order = self.rng.permutation(len(y))
             for at in range(0, len(y), batch):
