@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, html_wrapper, lm_scoring, mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
+from tidemark.llm import decontamination, filter_audit, fim, html_wrapper, langid, lm_scoring, mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
 from tidemark.llm.common import prepare, table, written
 from tidemark.session import scratch
 
@@ -126,3 +126,55 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_fill_in_middle",
+    r"""
+    WITH drawn AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines FROM documents),
+    ranks AS (SELECT *, len(lines)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(lines) + 1) AS r1, ('0x' || h[9:16])::BIGINT % (len(lines) + 1) AS r2,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+        WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+    cut AS (SELECT *, array_to_string(lines[1:least(r1, r2)], '') AS p, array_to_string(lines[least(r1, r2) + 1:greatest(r1, r2)], '') AS m, array_to_string(lines[greatest(r1, r2) + 1:], '') AS s FROM ranks)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+        sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256, sha256(text) AS restored_sha256
+    FROM cut
+    """,
+)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    digest = [F.sha2(c.cast("binary"), 256).alias(name) for c, name in ((F.col("output"), "output_sha256"), (fim.restore(F.col("output"), F.col("form")), "restored_sha256"))]
+    return made.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", *digest)
+
+
+@query(
+    "op12_filter_audit",
+    r"""
+    WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    firsts AS (SELECT text, min(doc_id) AS least FROM texts GROUP BY text),
+    flags AS (SELECT t.part, coalesce(m.good, 0) AS good, coalesce(m.toxic, 0) AS toxic, [
+        len(t.words) < 200, 100 * len(list_distinct(t.words)) < 50 * len(t.words), 100 * len(regexp_extract_all(t.text, '[A-Z]')) > 3 * length(t.text),
+        regexp_matches(t.text, '[#$%&*|]'), coalesce(t.doc_id > f.least, false)] AS fails
+        FROM texts t JOIN firsts f ON t.text = f.text LEFT JOIN marks m ON t.doc_id = m.doc_id),
+    counted AS (SELECT part, fails, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic FROM flags GROUP BY 1, 2),
+    letters AS (SELECT i, chr(64 + i::INT) AS l FROM range(1, 6) r(i)),
+    orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS places FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+    stages AS (SELECT filter_order, s::INT AS step, places[s] AS this, places[1:s - 1] AS earlier FROM orders, range(1, 6) r(s)),
+    met AS (SELECT part, filter_order, step, docs, good, toxic, fails[this] AS fails_here, len(list_filter(earlier, lambda k: fails[k])) > 0 AS gone, len(list_filter(fails, lambda x: x)) AS n_fails FROM counted, stages)
+    SELECT part, filter_order, step, coalesce(sum(docs) FILTER (NOT gone AND NOT fails_here), 0)::BIGINT AS kept, coalesce(sum(docs) FILTER (NOT gone AND fails_here), 0)::BIGINT AS removed,
+        coalesce(sum(docs) FILTER (gone AND fails_here), 0)::BIGINT AS redundant, coalesce(sum(docs) FILTER (fails_here AND n_fails = 1), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (NOT gone AND fails_here), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND fails_here), 0)::BIGINT AS toxic_lost,
+        coalesce(sum(docs * 120 // nullif(n_fails, 0)) FILTER (fails_here), 0)::BIGINT AS shapley
+    FROM met GROUP BY 1, 2, 3
+    """,
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.run(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_language_id")
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.predict(docs, langid.learn(docs))
