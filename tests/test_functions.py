@@ -104,3 +104,34 @@ def test_exact_quantiles_with_a_hot_group_and_a_hot_value(spark, fan):
     assert got["one"] == [3.0] * len(probs)
     whole = stats.exact_quantiles(df.where("g <> 'one'"), "v", probs, (), fan).first()
     assert list(whole) == pytest.approx(list(np.quantile(values, probs)))
+
+
+def test_listed_clock_changes_equal_the_conversions(spark):
+    """Every hour of days around changes, in listed and other years, in two zones."""
+    days = spark.sql("SELECT explode(array(date'1918-03-31', date'1968-04-28', date'1974-01-06', date'1987-10-25', date'2007-03-11', date'2024-11-03', date'2025-03-09', date'2025-07-01', date'2149-11-02', date'2199-03-10', date'2025-03-30', date'2024-10-27')) AS d")
+    around = days.select(F.explode(F.sequence(F.date_sub("d", 1), F.date_add("d", 1))).alias("d"))
+    hours = around.select("d", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
+    times = hours.select((F.col("d").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("h"), F.lit(30))).alias("t"))
+    times = times.unionByName(times.select((F.col("t") - F.expr("INTERVAL 30 MINUTE")).alias("t")))
+    for zone in ("America/New_York", "Europe/Berlin"):
+        kinds = times.select(timefns.dst_kind("t", zone).alias("a"), timefns.converted_dst_kind("t", zone).alias("b"), timefns.is_dst_hour("t", zone).alias("c"))
+        got = kinds.collect()
+        assert [r.a for r in got] == [r.b for r in got] and [r.c for r in got] == [r.b is not None for r in got]
+        assert {r.b for r in got} == {None, "nonexistent", "repeated"}
+    assert spark.sql("SELECT CAST(NULL AS timestamp_ntz) AS t").select(timefns.is_dst_hour("t")).first()[0] is False
+
+
+def test_value_parts_equal_the_statistics_of_all_rows(spark):
+    from tidemark.operators import profile, value_parts
+
+    df = spark.range(2000).select(
+        F.expr("date_add(date'2025-01-01', cast(id % 100 as int))").alias("d"), F.expr("cast(id * 7919 % 613 as double) / 8 - 3").alias("x"),
+        F.expr("cast(id % 17 as int)").alias("n"), F.expr("if(id % 5 = 0, null, concat('v', id % 23))").alias("s"),
+    )
+    parts = value_parts.value_parts(df, ["x", "n", "s"], "d").persist()
+    assert sorted(map(tuple, value_parts.cardinality(parts).collect())) == sorted(map(tuple, profile.cardinality(df, ["x", "n", "s"]).collect()))
+    a = {r.variable: r.asDict() for r in value_parts.numeric_summary(parts, ["x", "n"]).collect()}
+    b = {r.variable: r.asDict() for r in profile.numeric_summary(df, ["x", "n"]).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert {c: v for c, v in a[k].items() if c != "variable"} == pytest.approx({c: v for c, v in b[k].items() if c != "variable"})

@@ -1,6 +1,8 @@
 import datetime as dt
+import math
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tidemark.learn import features, models
@@ -70,6 +72,54 @@ def test_poisson_recovers_a_log_linear_mean(spark):
     assert models.regression_metrics(rows, "v", "prediction").first().r2 > 0.98
 
 
+def counts_with_a_bend(spark):
+    """Counts whose logarithm is not linear in the features."""
+    df = spark.range(3000).select((F.col("id") % 10).cast("double").alias("x"), (F.floor(F.col("id") / 10) % 10).cast("double").alias("z"))
+    mean = F.when(F.col("x") < 3, 2.0).when((F.col("x") < 7) & (F.col("z") > 4), 30.0).otherwise(8.0)
+    return df.withColumn("v", F.floor(mean + 4 * (F.rand(3) - 0.5))).withColumn("profile_mean", F.lit(0.0)).persist()
+
+
+def test_poisson_trees_beat_the_linear_model(spark):
+    df = counts_with_a_bend(spark)
+    trees = models.fit_poisson_trees(df, ["x", "z"], "v", maxIter=25, maxDepth=3, stepSize=0.3)
+    linear = models.fit_poisson(df, ["x", "z"], "v")
+    a = models.predict(trees, df, ["x", "z"], False, link=F.exp)
+    b = models.predict(linear, df, ["x", "z"], False)
+    deviance = [rows.agg(models.poisson_deviance("v", "prediction")).first()[0] for rows in (a, b)]
+    assert deviance[0] < 0.3 * deviance[1]
+    # With a log link, a boosted model that fits keeps the total.
+    total = a.agg(F.sum("v").alias("v"), F.sum("prediction").alias("p")).first()
+    assert total.p == pytest.approx(total.v, rel=0.02)
+
+
+def test_poisson_trees_step_by_step(spark):
+    """One round is a Newton step: the leaf's mean of y / mu - 1, weighted by mu."""
+    df = spark.createDataFrame([(0.0, 1.0), (0.0, 3.0), (1.0, 10.0), (1.0, 6.0)], "x double, v double")
+    model = models.fit_poisson_trees(df, ["x"], "v", maxIter=2, maxDepth=1, stepSize=0.5)
+    f = {0.0: math.log(5.0), 1.0: math.log(5.0)}
+    for _ in range(2):
+        f = {x: f[x] + 0.5 * (sum(y) / (2 * math.exp(f[x])) - 1) for x, y in ((0.0, (1.0, 3.0)), (1.0, (10.0, 6.0)))}
+    got = {r.x: r.prediction for r in models.predict(model, df, ["x"], False, link=F.exp).collect()}
+    assert got == pytest.approx({x: math.exp(m) for x, m in f.items()}, rel=1e-9)
+    with pytest.raises(ValueError):
+        models.fit_poisson_trees(df.withColumn("v", F.lit(0.0)), ["x"], "v", maxIter=1)
+
+
+def test_deviance_by_hand(spark):
+    df = spark.createDataFrame([(0.0, 2.0), (4.0, 2.0)], "y double, p double")
+    want = 2 * ((0 - (0 - 2)) + (4 * math.log(2) - 2)) / 2
+    assert df.agg(models.poisson_deviance("y", "p")).first()[0] == pytest.approx(want)
+
+
+def test_a_stored_poisson_model_predicts_the_same(spark, tmp_path):
+    df = counts_with_a_bend(spark)
+    model = models.fit_poisson_trees(df, ["x", "z"], "v", maxIter=3, maxDepth=2)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    back = PipelineModel.load(str(tmp_path / "m"))
+    a, b = (models.predict(m, df, ["x", "z"], False, link=F.exp).agg(F.sum("prediction")).first()[0] for m in (model, back))
+    assert a == pytest.approx(b)
+
+
 def test_registry_keeps_five_and_one_current(spark, tmp_path):
     df = spark.range(20).select(F.col("id").cast("double").alias("x"), F.col("id").cast("double").alias("v"), F.lit(0.0).alias("profile_mean"))
     model = models.fit_poisson(df, ["x"], "v", maxIter=2)

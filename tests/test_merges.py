@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from tidemark import model
 from tidemark.operators import compare, dedup, incremental, releases, upsert
+from tidemark.sources import digests as index_module
 from tidemark.sources import files
-from tidemark.sources.tables import MonthTable, Table
+from tidemark.sources.digests import DigestIndex
+from tidemark.sources.tables import BucketTable, MonthTable, Table, bucketed
 
 KV = "k string, n bigint, s double, m double"
 
@@ -151,3 +153,109 @@ def test_month_files_replace_only_their_months(spark, tmp_path):
     assert "month" not in files.read_parquet(spark, path, folders_as_columns=False).columns
     assert files.months_of(spark.read.parquet(path)).count() == 2
     assert spark.read.parquet(path).where(F.col("month") == 2).count() == 2
+
+
+def bucket_files(path):
+    return {str(f.relative_to(path)) for f in (path / "data").glob("*/bucket=*/*.parquet")}
+
+
+def test_a_merge_rewrites_only_its_buckets(spark, tmp_path, rows):
+    t = BucketTable(spark, str(tmp_path), "k string, n bigint, m double", ["k"], buckets=16, keep=1)
+    assert t.read().count() == 0
+    t.replace(spark.range(200).selectExpr("concat('k', id) k", "id n", "cast(id as double) m"))
+    before, manifest = bucket_files(tmp_path), t.manifest()
+    assert len(manifest) == 16 and t.read().count() == 200
+    t.upsert(spark.createDataFrame([("k7", 700, 1.0), ("new", 1, None)], t.schema))
+    after = t.manifest()
+    touched = {k for k in after if after[k] != manifest[k]}
+    assert 1 <= len(touched) <= 2
+    kept = {f for f in before if int(f.split("bucket=")[1].split("/")[0]) not in touched}
+    assert kept < bucket_files(tmp_path) and len(kept) == 16 - len(touched)
+    assert t.read().count() == 201 and t.read().where("k = 'k7'").first().n == 700
+    # What no manifest names is gone.
+    assert len(bucket_files(tmp_path)) == 16
+
+    t.add(spark.createDataFrame([("k7", 5, None), ("k8", 1, 99.0), ("x", 2, 3.0)], t.schema), ["n"], ["m"])
+    assert rows(t.read().where("k IN ('k7', 'k8', 'x')")) == [("k7", 705, 1.0), ("k8", 9, 99.0), ("x", 2, 3.0)]
+    t.delete(spark.createDataFrame([("k7",), ("x",), ("absent",)], "k string"))
+    assert t.read().count() == 200 and t.read().where("k IN ('k7', 'x')").count() == 0
+    assert rows(t.lookup(spark.createDataFrame([("k8",), ("k8",), ("k7",)], "k string"))) == [("k8", 9, 99.0)]
+
+
+def test_a_merge_without_its_manifest_is_not_seen(spark, tmp_path, rows, monkeypatch):
+    t = BucketTable(spark, str(tmp_path), "k string, n bigint", ["k"], buckets=4)
+    t.replace(spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], t.schema))
+    monkeypatch.setattr(t, "MANIFEST", "no schema at all")
+    with pytest.raises(Exception):
+        t._merge(spark.createDataFrame([("a", 9)], t.schema), lambda stored, new: new)
+    monkeypatch.undo()
+    assert rows(t.read()) == [("a", 1), ("b", 2), (None, 3)]
+    t.upsert(spark.createDataFrame([("a", 9)], t.schema))
+    assert rows(t.read()) == [("a", 9), ("b", 2), (None, 3)]
+
+
+def test_digest_index_reads_only_months_with_hits(spark, tmp_path, rows):
+    ts = lambda month, day: dt.datetime(2025, month, day)
+    kinds = "ts timestamp_ntz, v int"
+    stored = spark.createDataFrame([(ts(m, d), d % 3) for m in range(1, 7) for d in range(1, 11)] + [(ts(2, 1), 1)] * 3, kinds)
+    history = MonthTable(spark, str(tmp_path / "rows"), "ts")
+    history.replace_months(stored)
+    index = DigestIndex(spark, str(tmp_path / "digests"), "ts", ["ts", "v"])
+    index.replace_months(stored)
+    asked = []
+
+    def read(months):
+        asked.append([m.month for m in months])
+        return history.read_months(months)
+
+    batch = spark.createDataFrame([(ts(2, 1), 1), (ts(2, 1), 1), (ts(5, 5), 2), (ts(5, 5), 0), (ts(9, 9), 9), (ts(9, 9), 9), (None, None)], kinds)
+    for listed in (1000, 0):
+        index_module.LISTED = listed
+        got = index.not_stored(batch, read)
+        want = batch.dropDuplicates().exceptAll(stored)
+        assert rows(got) == rows(want) and got.count() == 3
+    index_module.LISTED = 1000
+    assert asked == [[2, 5], [2, 5]]
+    assert rows(index.not_stored(batch.where("v = 9"), read)) == [(ts(9, 9), 9)] and len(asked) == 2
+    assert index.not_stored(batch.limit(0), read).count() == 0
+    index.delete_month(dt.date(2025, 5, 1))
+    assert index.not_stored(batch.where("v = 2"), read).count() == 1
+
+
+def test_digest_collisions_change_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(DigestIndex, "digest", lambda self: F.lit(7).cast("bigint"))
+    stored = spark.createDataFrame([(dt.datetime(2025, 1, 1), 1)], "ts timestamp_ntz, v int")
+    index = DigestIndex(spark, str(tmp_path / "digests"), "ts", ["ts", "v"])
+    index.replace_months(stored)
+    batch = spark.createDataFrame([(dt.datetime(2025, 1, 1), 1), (dt.datetime(2025, 1, 1), 2)], "ts timestamp_ntz, v int")
+    assert [r.v for r in index.not_stored(batch, lambda months: stored).collect()] == [2]
+
+
+def test_variant_records_of_any_shape(spark, tmp_path):
+    lines = [
+        '{"transit_timestamp":"2025-01-01T05:00:00.000","ridership":"12.5","transfers":3,"georeference":{"type":"Point","coordinates":[-73.9,40.7]}}',
+        '{"ridership":7,"georeference":"POINT (-73.9 40.7)","extra":[1,2]}',
+        '{"ridership":"many","georeference":null}', '{"ridership":', "[1, 2]", "17",
+    ]
+    (tmp_path / "records.json").write_text("\n".join(lines))
+    got = files.typed_variants(files.read_variant_records(spark, str(tmp_path / "records.json"))).collect()
+    assert [(r.ridership, r.transfers, r.georeference, r.bad) for r in got] == [
+        (12.5, 3.0, "POINT (-73.9 40.7)", False), (7.0, None, "POINT (-73.9 40.7)", False), (None, None, None, False),
+        (None, None, None, True), (None, None, None, True), (None, None, None, True),
+    ]
+    assert got[0].transit_timestamp == dt.datetime(2025, 1, 1, 5) and got[1].transit_timestamp is None
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    a = bucketed(spark.range(1000).selectExpr("id % 50 AS k", "id AS v"), "tidemark_test_a", f"{tmp_path}/a", ["k"], 4)
+    b = bucketed(spark.range(50).selectExpr("id AS k", "id * 2 AS w"), "tidemark_test_b", f"{tmp_path}/b", ["k"], 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.join(b, "k")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and joined.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE tidemark_test_a")
+        spark.sql("DROP TABLE tidemark_test_b")

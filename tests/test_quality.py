@@ -120,3 +120,15 @@ def test_post_checks_pass_and_fail(spark):
 def test_dominant_value_ties_take_the_last_text(spark, rows):
     df = spark.createDataFrame([("k", "a"), ("k", "b"), ("j", "a"), ("j", "a"), ("j", "b")], "key string, c string")
     assert rows(quality.dominant_value(df, "key", "c", "m")) == [("j", "a"), ("k", "b")]
+
+
+def test_counts_of_the_writing_pass_and_the_gate(spark, tmp_path):
+    rules = quality.fact_rules()
+    rows = moded(frame(spark, padded(BROKEN["negative_transfers"], BROKEN["station_mode_mismatch"], BROKEN["dst_transition_hour"])))
+    counted = quality.write_gated(rows, rules, str(tmp_path / "clean"))
+    assert counted.counts[""] == quality.counts_wide(rows, rules).first().asDict() and counted.value("rows") == rows.count()
+    assert spark.read.parquet(str(tmp_path / "clean")).count() == rows.count()
+    broken = moded(frame(spark, padded(BROKEN["outside_nyc"])))
+    with pytest.raises(quality.QualityError, match="outside_nyc"):
+        quality.write_gated(broken, rules, str(tmp_path / "stopped"))
+    assert not (tmp_path / "stopped").exists() and not (tmp_path / "stopped-staged").exists()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources import feeds
 from tidemark.sources.schedule import Schedule, load_schedule, scheduled_seconds, services_by_day
-from tidemark.streaming import microbatch, records, replay
+from tidemark.streaming import keyed, microbatch, records, replay
 
 NY = ZoneInfo("America/New_York")
 DAY = dt.date(2025, 7, 2)  # a Wednesday
@@ -309,3 +309,116 @@ def test_average_and_route_delays(spark, schedule):
 
 def test_schedule_type():
     assert set(Schedule.__dataclass_fields__) == {"trips", "stop_times", "calendar", "calendar_dates", "stops", "first", "services"}
+
+
+# --- the job with its state in the engine ---------------------------------------------
+
+
+def start_all(spark, schedule, tmp_path, live_seconds=records.STATE_SECONDS, totals=True):
+    """Land what is there and bring every other query up to date; starting again goes on from the checkpoints."""
+    store = microbatch.BatchStore(spark, str(tmp_path / "store"))
+    stream = feeds.file_stream(spark, str(tmp_path / "in"), max_files=1)
+    keyed.start_landing(stream, store, lambda: schedule, str(tmp_path / "cp-landing"), every=None).awaitTermination()
+    facts = keyed.fact_stream(spark, store.path)
+    keyed.start_arrivals(facts, store, schedule.stops, str(tmp_path / "cp-arrivals"), every=None, live_seconds=live_seconds).awaitTermination()
+    for name in keyed.TOTALS if totals else ():
+        keyed.start_totals(name, facts, store, str(tmp_path / f"cp-{name}"), every=None).awaitTermination()
+    return store
+
+
+def same(a, b):
+    assert a.select(*b.columns).exceptAll(b).count() == 0 and b.exceptAll(a.select(*b.columns)).count() == 0
+
+
+def test_keyed_stream_equals_batch_over_a_restart(spark, schedule, tmp_path):
+    m = messages(spark, *traffic())
+    for b in range(0, 20, 10):
+        m.where((F.col("offset") >= b) & (F.col("offset") < b + 10)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    with keyed.logged(spark, str(tmp_path / "progress")):
+        start_all(spark, schedule, tmp_path)
+        for b in range(20, 40, 10):
+            m.where((F.col("offset") >= b) & (F.col("offset") < b + 10)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        store = start_all(spark, schedule, tmp_path)
+    want = replay.run(m, schedule)
+    same(keyed.newest(store, "minutes"), want["minute"])
+    same(keyed.newest(store, "hours"), want["hour"])
+    same(keyed.newest(store, "arrivals"), want["arrivals"])
+    assert want["arrivals"].count() > 3
+
+    log = sorted((r.batch_id, r.messages, r.offset_from, r.offset_to) for r in store.batch_log().collect())
+    assert log == [(k, 10, 10 * k, 10 * k + 9) for k in range(4)]
+    assert sum(r.skipped for r in store.batch_log().collect()) == want["marks"].where("repeated").count()
+
+    # The engine's own report: a row for each query and batch, offsets and state included.
+    rows = keyed.progress(spark, str(tmp_path / "progress")).collect()
+    landed = sorted((r.batch_id, r.input_rows) for r in rows if r.query == "landing" and r.input_rows)
+    assert landed == [(k, 10) for k in range(4)]
+    assert {r.query for r in rows} == {"landing", "arrivals", "minutes", "hours"}
+    assert all(r.seconds > 0 and r.offset_to for r in rows if r.input_rows)
+    assert max(r.state_rows for r in rows if r.query == "arrivals") >= 2 and max(r.watermark.year for r in rows if r.watermark) == 2025
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, schedule, tmp_path):
+    land(spark, tmp_path / "in", 20)
+    store = start_all(spark, schedule, tmp_path)
+    before = {name: keyed.newest(store, name).collect() for name in ("minutes", "hours", "arrivals")}
+    files = sorted(f.name for f in (tmp_path / "store" / "facts").glob("*/*.parquet"))
+    # The commit of the last batch of every query is lost, as in a crash before it was written.
+    for query in ("landing", "arrivals", "minutes", "hours"):
+        commits = tmp_path / f"cp-{query}" / "commits"
+        last = max(int(f.name) for f in commits.iterdir() if f.name.isdigit())
+        (commits / str(last)).unlink()
+        (commits / f".{last}.crc").unlink(missing_ok=True)
+    start_all(spark, schedule, tmp_path)
+    for name, rows in before.items():
+        assert sorted(map(str, keyed.newest(store, name).collect())) == sorted(map(str, rows))
+    assert sorted(f.name for f in (tmp_path / "store" / "facts").glob("*/*.parquet")) == files
+    assert store.batch_log().count() == 2
+
+
+def test_a_landing_that_died_half_way_runs_again(spark, schedule, tmp_path, monkeypatch):
+    m = messages(spark, *traffic())
+    store = microbatch.BatchStore(spark, str(tmp_path / "store"))
+    keyed.land(m.where("offset < 20"), 0, store, schedule)
+    write = store.write
+
+    def broken(table, batch_id, df):
+        if table == "feeds":
+            raise OSError("lost")
+        write(table, batch_id, df)
+
+    monkeypatch.setattr(store, "write", broken)
+    with pytest.raises(OSError):
+        keyed.land(m.where("offset >= 20"), 1, store, schedule)
+    monkeypatch.setattr(store, "write", write)
+    # The facts are there already; the second run adds none.
+    keyed.land(m.where("offset >= 20"), 1, store, schedule)
+    keyed.land(m.where("offset >= 20"), 1, store, schedule)
+    facts = spark.read.schema(keyed.FACTS).parquet(f"{store.path}/facts/batch_id=*")
+    want = replay.run(m, schedule)
+    assert facts.where("kind = 'observation'").count() == want["observations"].count() and store.batches("log") == [0, 1]
+
+
+def test_state_lives_for_two_hours_after_the_trip_was_seen(spark, schedule, tmp_path):
+    """A train with a new next stop that is due each time: after just two hours, one second more, six hours; another train in between."""
+    hour = 3600
+    seen = [("a", 0), ("a", 2 * hour), ("a", 4 * hour + 1), ("b", 9 * hour), ("a", 10 * hour + 1), ("a", 10 * hour + 60), ("b", 16 * hour), ("b", 16 * hour + 30)]
+    names = [c.split()[0] for c in keyed.FACTS.split(", ")]
+    for i, (trip_id, t) in enumerate(seen):
+        row = dict.fromkeys(names) | {"kind": "observation", "feed": "f", "feed_time": T0 + t, "offset": i, "pos": 0, "at": dt.datetime.fromtimestamp(T0 + t), "trip_id": trip_id, "stop_id": f"{200 + i}N", "predicted": T0 + t}
+        keyed.publish(spark.createDataFrame([tuple(row.values())], keyed.FACTS).coalesce(1), f"{tmp_path}/facts/batch_id={i:012d}")
+    store = microbatch.BatchStore(spark, str(tmp_path))
+    with keyed.logged(spark, str(tmp_path / "progress")):
+        keyed.start_arrivals(keyed.fact_stream(spark, store.path, 1), store, schedule.stops, str(tmp_path / "cp"), every=None, live_seconds=2 * hour).awaitTermination()
+    assert sorted(r.stop_id for r in keyed.newest(store, "arrivals").collect()) == ["200N", "204N", "206N"]
+    rows = keyed.progress(spark, str(tmp_path / "progress")).orderBy("batch_id").collect()
+    # A timer took away the state of the train that was not seen any more.
+    assert rows[-1].state_rows < max(r.state_rows for r in rows)
+
+
+def test_two_rows_of_a_trip_in_one_batch_are_taken_in_order(spark, schedule, tmp_path):
+    rows = [("f", T0 + 30 * i, [update([(f"{300 + i}N", T0 + 30 * i, None)])]) for i in range(6)]
+    m = messages(spark, *rows)
+    m.orderBy(F.desc("offset")).coalesce(1).write.parquet(str(tmp_path / "in"))
+    store = start_all(spark, schedule, tmp_path, totals=False)
+    assert sorted(r.stop_id for r in keyed.newest(store, "arrivals").collect()) == [f"{300 + i}N" for i in range(5)]

@@ -30,8 +30,13 @@ def exact_quantiles(
     ``fan``² slices of about equal size at approximate quantiles, and only the
     slices that hold a wanted rank are ordered, each as a group of its own.
     """
-    by = list(by)
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    return quantiles_of_counts(counts, probabilities, by, fan)
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float], by: Sequence[str] = (), fan: int = 16) -> DataFrame:
+    """As :func:`exact_quantiles` for values ``_v`` that occur ``_n`` times each, one row a group and value."""
+    by = list(by)
     cuts = [i / (fan * fan) for i in range(1, fan * fan)]
     edges = counts.groupBy(*by).agg(
         F.percentile_approx("_v", cuts, 1000).alias("_edges"), F.sum("_n").alias("_total")

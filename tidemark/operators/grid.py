@@ -15,9 +15,8 @@ def dense_grid(
 ) -> DataFrame:
     """One row per entity and hour of the span, absent combinations as zero.
 
-    ``hourly`` must hold one row per (entity, hour). The hours are generated
-    from each entity row, so there is no product join, and the entities are
-    spread over the tasks before they grow.
+    ``hourly`` must hold one row per (entity, hour) and times on the hour. The hours are generated
+    from each entity row, so there is no product join.
     """
     span = hourly.agg(F.struct(F.min(ts).alias("first"), F.max(ts).alias("last"))).scalar()
     last = span["last"]
@@ -25,20 +24,18 @@ def dense_grid(
         first: Column = span["first"]
     else:
         first = last - F.expr(f"INTERVAL {int(last_days)} DAY") + F.expr("INTERVAL 1 HOUR")
-    entities = hourly.select(entity).distinct().withColumn("_day", F.explode(F.sequence(F.to_date(first), F.to_date(last))))
-    hours = entities.repartition(entity, "_day").select(
-        entity,
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(23)),
-                lambda h: F.col("_day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), h),
-            )
-        ).alias(ts),
-    ).where((F.col(ts) >= first) & (F.col(ts) <= last))
+    days = hourly.select(entity).distinct().withColumn("_day", F.explode(F.sequence(F.to_date(first), F.to_date(last))))
     if drop_dst:
-        hours = hours.where(~timefns.is_dst_hour(ts))
-        # Hours nobody recorded are not part of this form of the grid.
-        hours = hours.join(hourly.select(ts).distinct(), ts, "left_semi")
+        # Hours nobody recorded are not part of this form of the grid. They meet the days as one list of at most 24,
+        # before the hours are opened, so the grid itself isn't moved for them.
+        recorded = hourly.where((F.col(ts) >= first) & (F.col(ts) <= last) & ~timefns.is_dst_hour(ts))
+        lists = recorded.groupBy(F.to_date(ts).alias("_day")).agg(F.collect_set(ts).alias("_hours"))
+        days = days.join(lists, "_day")
+        opened = F.col("_hours")
+    else:
+        opened = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.col("_day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), h))
+    # The entities are spread over the tasks before they grow.
+    hours = days.repartition(entity, "_day").select(entity, F.explode(opened).alias(ts)).where((F.col(ts) >= first) & (F.col(ts) <= last))
     return hours.join(hourly.select(entity, ts, value), [entity, ts], "left").select(
         entity, ts, F.coalesce(value, F.lit(0)).cast("double").alias(value)
     )

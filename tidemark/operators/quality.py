@@ -6,17 +6,17 @@ tag, as in SQL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import model
 from tidemark.functions import textfns, timefns
-from tidemark.sources.tables import written_once
+from tidemark.sources.tables import remove, rename, written_once
 
 
 class QualityError(RuntimeError):
@@ -173,6 +173,59 @@ def gate(df: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
     return counts
 
 
+class Counted:
+    """Row and rule counts of a relation, taken by the pass that writes it.
+
+    Place ``on`` behind the last shuffle before the write: a stage in front of a shuffle may run again when an executor is lost, and would
+    count its rows twice. ``by`` names groups by a condition each; their number is that of the expressions.
+    """
+
+    def __init__(self, rules: Sequence[Rule], by: Mapping[str, Column] | None = None, extra: Mapping[str, Column] | None = None):
+        self.rules, self.by, self.extra = list(rules), dict(by or {"": F.lit(True)}), dict(extra or {})
+        self._seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        counts = [
+            expr.alias(f"{name}@{group}")
+            for group, inside in self.by.items()
+            for name, expr in [
+                ("rows", F.count_if(inside)),
+                *[(r.tag, F.count_if(inside & r.violated)) for r in self.rules],
+                *[(name, F.max(F.when(inside, c))) for name, c in self.extra.items()],
+            ]
+        ]
+        return df.observe(self._seen, *counts)
+
+    def value(self, name: str, group: str = ""):
+        """A count, or the largest value of an ``extra`` column; waits for the write."""
+        return self._seen.get[f"{name}@{group}"]
+
+    @property
+    def counts(self) -> dict[str, dict[str, int]]:
+        """Violations by group and tag."""
+        return {g: {r.tag: self.value(r.tag, g) for r in self.rules} for g in self.by}
+
+    def check(self) -> None:
+        """Stop when a blocking rule has hits."""
+        blocking = {r.tag for r in self.rules if r.blocking}
+        hits = [f"{g} {tag}: {n}".strip() for g, tags in sorted(self.counts.items()) for tag, n in sorted(tags.items()) if n and tag in blocking]
+        if hits:
+            raise QualityError(f"blocking rule violations: {'; '.join(hits)}")
+
+
+def write_gated(df_with_mode: DataFrame, rules: Sequence[Rule], folder: str, project: Callable[[DataFrame], DataFrame] | None = None) -> Counted:
+    """Write repaired rows and count all rules in one scan; the folder appears only if no blocking rule has hits."""
+    spark = df_with_mode.sparkSession
+    counted, staged = Counted(rules), f"{folder}-staged"
+    try:
+        (project or clean)(counted.on(df_with_mode)).write.mode("overwrite").option("compression", "zstd").parquet(staged)
+        counted.check()
+        rename(spark, staged, folder)
+    finally:
+        remove(spark, staged)
+    return counted
+
+
 def examples(flagged_rows: DataFrame, order: Sequence, n: int, tags: str = "error_tags") -> DataFrame:
     """First ``n`` rows of every tag combination."""
     from tidemark.operators.series import first_rows

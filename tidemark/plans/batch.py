@@ -14,12 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import model
 from tidemark.functions import timefns
 from tidemark.operators import incremental, marts, quality
 from tidemark.operators.upsert import month_list
 from tidemark.session import configure, scratch, scratch_scope
 from tidemark.sources import files
-from tidemark.sources.tables import MonthTable, Table, children, exists, remove, written_once
+from tidemark.sources.tables import MonthTable, Table, children, exists, remove, rename, written_once
 
 FINGERPRINT = "day date, rows bigint, ridership double, transfers double, source_updated_at timestamp_ntz"
 RUNS = (
@@ -33,6 +34,8 @@ DATES = "date date, year int, month int, day int, day_of_week int, is_weekend bo
 PROFILE = "station_complex_id string, day_type string, hour_of_day int, mean_ridership double"
 
 MESSAGE_LENGTH = 500
+#: Months that one scan counts and writes; it bounds the number of counted expressions.
+MONTHS_AT_ONCE = 6
 
 
 @dataclass
@@ -173,24 +176,27 @@ def stale_months(lake: Lake) -> DataFrame:
 
 
 def build_months(lake: Lake, raw: DataFrame, months: list[dt.date], run: Run | None = None) -> None:
-    """Gate all months, then write their clean rows, marts, versions and rule counts."""
+    """Write the clean rows of all months aside, publish them if the gate passes, then marts, versions and rule counts.
+
+    One scan of a month's rows counts every rule and writes its clean form.
+    """
     if not months:
         return
     stage = lambda s: setattr(run, "stage", s) if run else None
     stage("gate")
     rules = quality.fact_rules()
     mode = quality.station_mode(raw)
-    # The folder column prunes the scan to the months.
-    rows = raw.where(timefns.month_start("day").isin(months))
-    with_mode = quality.with_station_mode(rows, mode)
-    found = written_once(quality.counts_by_month(with_mode, rules), "rules")
-    blocking = [r.tag for r in rules if r.blocking]
-    hits = found.where(F.col("tag").isin(blocking) & (F.col("rows") > 0)).collect()
-    if hits:
-        raise quality.QualityError("; ".join(f"{h.month:%Y-%m} {h.tag}: {h.rows}" for h in sorted(hits, key=lambda h: (h.month, h.tag))))
+    staged = scratch(lake.spark, "clean-staged")
+    parts = [months[i : i + MONTHS_AT_ONCE] for i in range(0, len(months), MONTHS_AT_ONCE)]
+    counted = [_write_clean(raw, mode, rules, part, staged) for part in parts]
+    for c in counted:
+        c.check()
 
     stage("clean")
-    files.write_months(quality.clean(with_mode), lake.clean)
+    for month in months:
+        folder = f"year={month.year}/month={month.month}"
+        remove(lake.spark, f"{lake.clean}/{folder}")
+        rename(lake.spark, f"{staged}/{folder}", f"{lake.clean}/{folder}")
     stage("marts")
     clean = lake.spark.read.parquet(lake.clean).where(_partition_filter(months)).drop("year", "month")
     lake.hourly.replace_months(marts.hourly_by_method(clean))
@@ -198,11 +204,26 @@ def build_months(lake: Lake, raw: DataFrame, months: list[dt.date], run: Run | N
     lake.daily_class.replace_months(marts.daily_by_class(clean))
     lake.station_parts.replace_months(marts.station_parts(clean))
     lake.profile_parts.replace_months(marts.profile_parts(clean))
-    version = rows.groupBy(timefns.month_start("day").alias("month")).agg(
-        F.count("*").alias("rows"), F.max("source_updated_at").alias("source_updated_at"), F.current_timestamp().alias("built_at")
-    )
-    lake.versions.upsert(version, ["month"])
-    lake.quality.upsert(found, ["month", "tag"])
+    seen = [(m, c) for part, c in zip(parts, counted, strict=True) for m in part]
+    version = lake.spark.createDataFrame([(m, c.value("rows", f"{m:%Y-%m}"), c.value("source_updated_at", f"{m:%Y-%m}")) for m, c in seen], "month date, rows bigint, source_updated_at timestamp_ntz")
+    lake.versions.upsert(version.withColumn("built_at", F.current_timestamp()), ["month"])
+    found = [(m, r.tag, r.severity, c.value(r.tag, f"{m:%Y-%m}")) for m, c in seen for r in rules]
+    lake.quality.upsert(lake.spark.createDataFrame(found, QUALITY), ["month", "tag"])
+
+
+def _write_clean(raw: DataFrame, mode: DataFrame, rules: list, months: list[dt.date], staged: str) -> quality.Counted:
+    """Clean rows of some months below ``staged``, with the counts of the pass that wrote them."""
+    month = timefns.month_start("day")
+    counted = quality.Counted(rules, {f"{m:%Y-%m}": month == F.lit(m) for m in months}, {"source_updated_at": F.col("source_updated_at")})
+
+    def finish(rows: DataFrame) -> DataFrame:
+        seen = counted.on(rows)
+        return quality.clean(seen, [*model.SOURCE_COLUMNS, "year", "month"])
+
+    # The folder column prunes the scan to the months.
+    rows = quality.with_station_mode(raw.where(month.isin(months)), mode)
+    files.write_months(rows, staged, finish=finish)
+    return counted
 
 
 def _partition_filter(months: list[dt.date]):
@@ -319,10 +340,9 @@ def _run_etl(lake: Lake, source: DataFrame, run: Run) -> None:
     run.stage = "gate"
     rules = quality.fact_rules()
     with_mode = quality.with_station_mode(raw, quality.station_mode(raw))
-    quality.gate(with_mode, rules)
+    quality.write_gated(with_mode, rules, f"{staging}/clean", quality.clean_features)
 
     run.stage = "transform"
-    quality.clean_features(with_mode).write.parquet(f"{staging}/clean")
     clean = lake.spark.read.parquet(f"{staging}/clean")
     hourly = marts.hourly_by_method(clean, dst_flag=True)
     daily = marts.daily_by_station(clean)

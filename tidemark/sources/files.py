@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +60,36 @@ def read_records(spark: SparkSession, path) -> DataFrame:
     return typed_records(spark.read.schema(RECORD_SCHEMA).json(path))
 
 
+def read_variant_records(spark: SparkSession, path) -> DataFrame:
+    """JSON lines of any shape as ``VARIANT``: ``record`` (NULL if the line is no JSON object) beside the ``line``."""
+    record = F.try_parse_json("value")
+    whole = F.schema_of_variant(record).startswith("OBJECT")
+    return spark.read.text(path).select(F.col("value").alias("line"), F.when(whole, record).alias("record"))
+
+
+def typed_variants(records: DataFrame) -> DataFrame:
+    """Fact columns of variant records, each field by its own path and whatever form it comes in.
+
+    Numbers may be numbers or text, the point an object with coordinates or text. A field that is absent or can't be
+    read is NULL; ``bad`` marks lines that are no record.
+    """
+    r = F.col("record")
+
+    def text(name: str) -> Column:
+        return F.try_variant_get(r, f"$.{name}", "string")
+
+    lon, lat = (F.try_variant_get(r, f"$.georeference.coordinates[{i}]", "double") for i in (0, 1))
+    point = F.when(lon.isNotNull(), F.format_string("POINT (%s %s)", lon.cast("string"), lat.cast("string"))).otherwise(
+        F.when(F.schema_of_variant(F.try_variant_get(r, "$.georeference", "variant")) == "STRING", text("georeference"))
+    )
+    typed = {
+        **{c: text(c).try_cast("double") for c in ("ridership", "transfers", "latitude", "longitude")},
+        "transit_timestamp": F.try_to_timestamp(text("transit_timestamp")).cast("timestamp_ntz"),
+        "georeference": point,
+    }
+    return records.select(*[typed.get(c, text(c)).alias(c) for c in model.SOURCE_COLUMNS], r.isNull().alias("bad"))
+
+
 def read_parquet(spark: SparkSession, *paths: str, folders_as_columns: bool = True) -> DataFrame:
     """One file, several files or a glob; optionally without the partition folders as columns."""
     reader = spark.read if folders_as_columns else spark.read.option("recursiveFileLookup", True)
@@ -78,12 +108,17 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def write_months(df: DataFrame, path: str, ts: str = "transit_timestamp", keys: Sequence[str] = model.ROW_KEY) -> None:
-    """Key-sorted files under ``year=/month=``; only the months present are replaced."""
+def write_months(
+    df: DataFrame, path: str, ts: str = "transit_timestamp", keys: Sequence[str] = model.ROW_KEY, finish: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Key-sorted files under ``year=/month=``; only the months present are replaced.
+
+    ``finish`` is applied to the gathered and sorted rows, in the stage that writes them; it must keep ``year`` and ``month``.
+    """
     parts = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
+    rows = balanced(parts, "year", "month").sortWithinPartitions("year", "month", *keys)
     (
-        balanced(parts, "year", "month")
-        .sortWithinPartitions("year", "month", *keys)
+        (finish(rows) if finish else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")

@@ -16,8 +16,9 @@ from tidemark.operators import dedup, series
 from tidemark.plans import dashboard
 from tidemark.session import scratch
 from tidemark.sources import feeds
-from tidemark.sources.schedule import Schedule, first_arrivals, services_by_day
-from tidemark.streaming import microbatch, records, replay
+from tidemark.sources.schedule import DailySchedule, Schedule, first_arrivals, services_by_day
+from tidemark.sources.tables import exists, rename, set_age
+from tidemark.streaming import keyed, microbatch, records, replay
 from tidemark.workload.fixtures import table
 from tidemark.workload.registry import query
 
@@ -313,7 +314,13 @@ def _(spark, sf):
 @query(
     "stream_checks",
     "T17",
-    "SELECT unnest(['one observation per running trip', 'directions are N or S', 'route and stop present', 'delays within three hours', 'late <= with delay <= observed', 'arrival ids unique']) AS \"check\", true AS passed",
+    f"""{DELAYED}, {_MINUTE}, {_ARRIVALS}, o AS (SELECT count(*) AS n, count(DISTINCT event_id) AS messages, bool_and(direction IN ('N', 'S')) AS directions,
+    bool_and(coalesce(route_id, '') <> '' AND coalesce(substr(stop_id, 1, 3), '') <> '') AS labels, coalesce(max(abs(delay_s)) <= 10800, true) AS bounds FROM delayed),
+    running AS (SELECT count(DISTINCT event_id) AS n FROM pred WHERE predicted >= feed_time - 30)
+    SELECT 'one observation per running trip' AS "check", o.n = running.n AND o.n = o.messages AS passed FROM o, running UNION ALL SELECT 'directions are N or S', directions FROM o
+    UNION ALL SELECT 'route and stop present', labels FROM o UNION ALL SELECT 'delays within three hours', bounds FROM o
+    UNION ALL SELECT 'late <= with delay <= observed', bool_and(late_observations <= delay_observations AND delay_observations <= observations) FROM minutes
+    UNION ALL SELECT 'arrival ids unique', count(*) = count(DISTINCT arrival_id) FROM arrivals""",
 )
 def _(spark, sf):
     return replay.stream_checks(results(spark, sf), records.message_profile(messages(spark, sf)))
@@ -341,39 +348,90 @@ def _(spark, sf):
 
 # --- streams ------------------------------------------------------------------------
 
+#: Files the events are landed in, files of one micro-batch, and files that are there before the queries stop and start again.
+FILES, PER_BATCH, BEFORE_RESTART = 20, 5, 10
+_FILE = f"event_id * {FILES} // ((SELECT max(event_id) FROM events) + 1)"
 
-def run_stream(spark, sf) -> microbatch.BatchStore:
-    """The whole events table through the micro-batch job, as landed files."""
+
+def landed_files(spark, sf, path: str) -> list[str]:
+    """The events as one file for each of ``FILES`` ranges of ids, beside the folder that the stream reads."""
+    events = table(spark, sf, "events")
+    end = events.agg(F.max("event_id") + 1).scalar()
+    parts = events.withColumn("part", F.floor(F.col("event_id") * FILES / end).cast("int"))
+    parts.repartition("part").write.partitionBy("part").parquet(f"{path}/aside")
+    return [f"part={k}" for k in range(FILES) if exists(spark, f"{path}/aside/part={k}")]
+
+
+def land_files(spark, path: str, names: list[str]) -> None:
+    """Let files appear in the stream's folder one after another; each is younger than the one before."""
+    for name in names:
+        rename(spark, f"{path}/aside/{name}", f"{path}/in/{name}")
+        set_age(spark, f"{path}/in/{name}", int(name.partition("=")[2]))
+
+
+def run_stream(spark, sf, *queries: str) -> microbatch.BatchStore:
+    """The whole events table through the landing query and the named others, with a restart of all of them in between."""
     root = scratch(spark, "delays")
-    # A pattern, because the file source takes a plain path for a folder.
-    events = feeds.file_stream(spark, f"{sf}/event[s].parquet", table(spark, sf, "events").schema)
+    names = landed_files(spark, sf, root)
     store = microbatch.BatchStore(spark, f"{root}/store")
-    microbatch.start(messages_of(events), store, lambda: schedule(spark, sf), f"{root}/checkpoint", every=None).awaitTermination()
+    plan = DailySchedule(lambda: schedule(spark, sf)).current()
+    messages = messages_of(feeds.file_stream(spark, f"{root}/in/part=*", table(spark, sf, "events").schema, PER_BATCH))
+    with keyed.logged(spark, f"{root}/progress"):
+        for step in (names[:BEFORE_RESTART], names[BEFORE_RESTART:]):
+            land_files(spark, root, step)
+            keyed.start_landing(messages, store, lambda: plan, f"{root}/landing", every=None).awaitTermination()
+            for name in queries:
+                facts = keyed.fact_stream(spark, store.path)
+                if name == "arrivals":
+                    query = keyed.start_arrivals(facts, store, plan.stops, f"{root}/{name}", every=None)
+                else:
+                    query = keyed.start_totals(name, facts, store, f"{root}/{name}", every=None)
+                query.awaitTermination()
     return store
 
 
 @query("stream_minute_totals", "T01 T10 T12 S07 S18 S19", f"{DELAYED}, {_MINUTE} SELECT * FROM minutes")
 def _(spark, sf):
-    return local(run_stream(spark, sf).minutes())
+    return local(keyed.newest(run_stream(spark, sf, "minutes"), "minutes"))
 
 
 @query("stream_hour_totals", "T11 S18", f"{DELAYED}, {_HOURS} SELECT * FROM hours")
 def _(spark, sf):
-    return local(run_stream(spark, sf).hours())
+    return local(keyed.newest(run_stream(spark, sf, "hours"), "hours"))
+
+
+# A trip's state lives for two hours after it was last seen.
+_LIVE = _ARRIVALS.replace("AS prev_delay FROM", "AS prev_delay, lag(feed_time) OVER w AS prev_seen FROM").replace("<= feed_time + 60)", "<= feed_time + 60 AND feed_time - prev_seen <= 7200)")
 
 
-@query("stream_arrivals", "T08 T14 S17", f"{DELAYED}, {_ARRIVALS} SELECT * FROM arrivals")
+@query("stream_arrivals", "T08 T14 S17", f"{DELAYED}, {_LIVE} SELECT * FROM arrivals")
 def _(spark, sf):
-    return local(run_stream(spark, sf).arrivals().drop("start_date"))
+    return local(keyed.newest(run_stream(spark, sf, "arrivals"), "arrivals").drop("start_date"))
 
 
-@query("stream_batch_log", "T13 S23", f"{OBS} SELECT CAST(0 AS INT) AS batch_id, count(*) AS messages, count(*) FILTER (repeated) AS skipped, min(event_id) AS offset_from, max(event_id) AS offset_to, min(feed_time) FILTER (NOT repeated) AS feed_time_from, max(feed_time) FILTER (NOT repeated) AS feed_time_to FROM marks")
+_BATCHED = f"""batched AS (SELECT *, CAST({_FILE} // {PER_BATCH} AS INT) AS batch_id FROM marks)"""
+
+
+@query(
+    "stream_batch_log",
+    "T13 S23",
+    f"""{OBS}, {_BATCHED} SELECT batch_id, count(*) AS messages, count(*) FILTER (repeated) AS skipped, min(event_id) AS offset_from, max(event_id) AS offset_to,
+    min(feed_time) FILTER (NOT repeated) AS feed_time_from, max(feed_time) FILTER (NOT repeated) AS feed_time_to FROM batched GROUP BY 1""",
+)
 def _(spark, sf):
     return run_stream(spark, sf).batch_log().drop("processed_at", "seconds").withColumn("batch_id", F.col("batch_id").cast("int"))
 
 
+@query("stream_progress", "T13", f"""{OBS}, {_BATCHED} SELECT 'landing' AS "query", batch_id, count(*) AS input_rows FROM batched GROUP BY 2""")
+def _(spark, sf):
+    """What the engine itself reported about each batch, from its listener."""
+    store = run_stream(spark, sf)
+    rows = keyed.progress(spark, f"{store.path.removesuffix('/store')}/progress").where("input_rows > 0")
+    return rows.select("query", F.col("batch_id").cast("int").alias("batch_id"), "input_rows")
+
+
 @query("replay_parity", "T15 T16 J05", f"{DELAYED}, {_MINUTE}, f AS (SELECT DISTINCT minute FROM minutes), e AS (SELECT * FROM minutes WHERE minute > (SELECT max(minute) FROM (SELECT minute FROM f ORDER BY minute LIMIT 2)) AND minute < (SELECT min(minute) FROM (SELECT minute FROM f ORDER BY minute DESC LIMIT 2))) SELECT minute, count(*) AS keys, CAST(0 AS BIGINT) AS different, true AS \"equal\" FROM e GROUP BY 1")
 def _(spark, sf):
     """Batch replay against the stored stream on complete minutes."""
-    compared = replay.compare_minutes(results(spark, sf)["minute"], run_stream(spark, sf).minutes())
+    compared = replay.compare_minutes(results(spark, sf)["minute"], keyed.newest(run_stream(spark, sf, "minutes"), "minutes"))
     return local(replay.minute_summary(compared))

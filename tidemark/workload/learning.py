@@ -11,6 +11,7 @@ from tidemark.learn.registry import Registry
 from tidemark.operators import grid, series
 from tidemark.plans import train
 from tidemark.session import scratch
+from tidemark.sources.tables import written_once
 from tidemark.workload.fixtures import FACT, clean_fact, dst_sql, fact
 from tidemark.workload.registry import query
 from tidemark.workload.scalars import _HOLIDAYS
@@ -129,7 +130,8 @@ _PEAK = f"""th AS (SELECT {E}, quantile_cont(riders, 0.8) AS t FROM tr GROUP BY
 
 
 def peaks(spark, sf):
-    rows = calendar_grid(spark, sf)
+    # Thresholds and labels both read the grid, so it is made once.
+    rows = written_once(calendar_grid(spark, sf), "grid")
     t, _ = features.split_at(rows, TS, FIRST_TEST)
     return features.with_peak(rows, features.peak_threshold(t, E, V), E, V)
 
@@ -211,13 +213,11 @@ def _(spark, sf):
 
 # --- fitted models: rows only, because no SQL engine fits them -----------------------
 
-_FAST = {"maxIter": 8, "maxDepth": 4}
-
 
 @query("trees_log_metrics", "M07 M08")
 def _(spark, sf):
     t, test = split(spark, sf)
-    model = models.fit_log_trees(t, features.SCENARIO_A, V, **_FAST)
+    model = models.fit_log_trees(t, features.SCENARIO_A, V)
     return models.regression_metrics(models.predict(model, test, features.SCENARIO_A, True), V, "prediction")
 
 
@@ -229,10 +229,23 @@ def _(spark, sf):
     return models.regression_metrics(scored, V, "prediction")
 
 
+@query("poisson_trees_metrics", "M07 M08")
+def _(spark, sf):
+    """Poisson trees beside the linear Poisson model on the same held-out rows."""
+    t, test = split(spark, sf)
+    trees = models.fit_poisson_trees(t, features.SCENARIO_B, V)
+    linear = models.fit_poisson(t, features.SCENARIO_B, V)
+    scored = models.predict(trees, test, features.SCENARIO_B, False, "trees", F.exp).select(E, TS, V, "trees")
+    beside = models.predict(linear, models.log_counts(test, features.SCENARIO_B), features.SCENARIO_B, False, "linear").select(E, TS, "linear")
+    both = scored.join(beside, [E, TS])
+    parts = [both.agg(F.lit(m).alias("model"), F.count("*").alias("rows"), models.poisson_deviance(V, m).alias("deviance"), F.avg(F.abs(F.col(V) - F.col(m))).alias("mae")) for m in ("trees", "linear")]
+    return parts[0].unionByName(parts[1])
+
+
 @query("permutation_importance", "M10")
 def _(spark, sf):
     t, test = split(spark, sf)
-    model = models.fit_log_trees(t, features.SCENARIO_A, V, **_FAST)
+    model = models.fit_log_trees(t, features.SCENARIO_A, V)
     return models.permutation_importance(model, test, features.SCENARIO_A, V, True, [E, TS], repeats=3)
 
 
@@ -240,7 +253,7 @@ def _(spark, sf):
 def _(spark, sf):
     rows = features.with_peak(table_of_features(spark, sf), features.peak_threshold(split(spark, sf)[0], E, V), E, V)
     t, test = features.split_at(rows, TS, FIRST_TEST)
-    model = models.fit_peak_classifier(t, features.SCENARIO_B, **_FAST)
+    model = models.fit_peak_classifier(t, features.SCENARIO_B)
     scored = models.predict_peak(model, test, features.SCENARIO_B)
     metrics = models.classification_metrics(models.confusion(scored, "is_peak", "predicted"))
     return metrics.withColumn("roc_auc", F.lit(models.roc_auc(scored)))
@@ -249,14 +262,14 @@ def _(spark, sf):
 @query("cluster_search", "M16")
 def _(spark, sf):
     v = models.as_vectors(features.hour_share_vectors(fact(spark, sf), E, TS, "ridership"), features.SHARE_COLUMNS)
-    return models.k_search(v, range(2, 9), starts=1)
+    return models.k_search(v, range(2, 9))
 
 
 @query("cluster_summary", "M16 M17 W11")
 def _(spark, sf):
     """Three clusters numbered by their morning share, described."""
     rows = described_stations(spark, sf)
-    labelled = models.assign_clusters(models.as_vectors(rows, features.SHARE_COLUMNS), 3, starts=2)
+    labelled = models.assign_clusters(models.as_vectors(rows, features.SHARE_COLUMNS), 3)
     am = sum((F.col(f"weekday_{h:02d}") for h in (6, 7, 8, 9)), F.lit(0.0))
     numbered = series.renumber(labelled.withColumn("_am", am), "raw_cluster", "_am", "cluster")
     return features.cluster_summary(numbered, "cluster", E)
@@ -266,7 +279,7 @@ def _(spark, sf):
 def _(spark, sf):
     """All stations, 24 hours of the day after the data."""
     frame = train.station_hours(clean_fact(spark, sf), 365)
-    model = models.fit_log_trees(features.serving_features(frame, frame, E, V), features.SERVING, V, **_FAST)
+    model = models.fit_log_trees(features.serving_features(frame, frame, E, V), features.SERVING, V)
     return train.forecast(model, frame, dt.date(2024, 3, 31))
 
 
@@ -274,5 +287,5 @@ def _(spark, sf):
 def _(spark, sf):
     registry = Registry(spark, scratch(spark, "models"))
     for _ in range(2):
-        train.train(clean_fact(spark, sf), registry, days=365, hold_out_days=7, maxIter=2, maxDepth=3)
+        train.train(clean_fact(spark, sf), registry, days=365, hold_out_days=7)
     return registry.models().drop("artifact")

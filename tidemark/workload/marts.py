@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import marts, quality, series, shape
 from tidemark.plans import dashboard
+from tidemark.session import scratch
+from tidemark.sources.tables import bucketed
 from tidemark.workload.fixtures import CLEAN, FACT, clean_fact, fact, table
 from tidemark.workload.registry import query
 
@@ -88,6 +92,27 @@ def _(spark, sf):
     return marts.fact_with_dimension(marts.daily_by_station(cleaned), marts.station_dim(cleaned), "station_complex_id", ["borough", "transit_mode"], "ridership")
 
 
+@query(
+    "bucketed_station_totals",
+    "J01 J02 J16",
+    f"""WITH {CLEAN}, {_DAILY}, {_STATION}, t AS (SELECT station_complex_id, sum(ridership) AS total FROM d GROUP BY 1)
+    SELECT day, borough, transit_mode, CAST(sum(ridership) AS BIGINT) AS ridership, round(sum(ridership / total), 9) AS shares FROM d JOIN s USING (station_complex_id) JOIN t USING (station_complex_id) GROUP BY 1, 2, 3""",
+)
+def _(spark, sf):
+    """Fact, dimension and station totals in the same buckets: they meet without an exchange."""
+    days, stations, totals = bucketed_marts(clean_fact(spark, sf), scratch(spark, "buckets"))
+    joined = days.join(stations, "station_complex_id").join(totals, "station_complex_id")
+    return joined.groupBy("day", "borough", "transit_mode").agg(F.sum("ridership").alias("ridership"), F.round(F.sum(F.col("ridership") / F.col("total")), 9).alias("shares"))
+
+
+def bucketed_marts(cleaned, path: str, buckets: int = 8):
+    spark, key, tag = cleaned.sparkSession, "station_complex_id", uuid.uuid4().hex[:8]
+    days = bucketed(marts.daily_by_station(cleaned), f"tidemark_days_{tag}", f"{path}/days", [key], buckets)
+    stations = bucketed(marts.station_dim(cleaned), f"tidemark_stations_{tag}", f"{path}/stations", [key], buckets)
+    totals = bucketed(days.groupBy(key).agg(F.sum("ridership").alias("total")), f"tidemark_totals_{tag}", f"{path}/totals", [key], buckets)
+    return days, stations, totals
+
+
 # --- dashboard ---------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from tidemark import model
 from tidemark.operators import marts, upsert
 from tidemark.session import scratch
 from tidemark.sources import files
-from tidemark.sources.tables import MonthTable, Table
+from tidemark.sources.tables import BucketTable, MonthTable, Table
 from tidemark.workload.fixtures import CLEAN, FACT, clean_fact, fact, table
 from tidemark.workload.registry import query
 
@@ -104,6 +104,30 @@ def _(spark, sf):
     return files.read_records(spark, path).select(*[c.strip() for c in _FACT_COLS.split(",")])
 
 
+_BROKEN = "CAST(station_complex_id AS INT) % 50 = 7"
+
+
+@query("variant_records", "S03 F02", f"WITH {FACT} SELECT " + ", ".join(f"CASE WHEN NOT ({_BROKEN}) THEN {c} END AS {c}" for c in _FACT_COLS.split(", ")) + f", {_BROKEN} AS bad FROM fact")
+def _(spark, sf):
+    """Records without a fixed schema: the point is an object or text, numbers are numbers or text, some lines are cut short."""
+    path = scratch(spark, "variants")
+    f = fact(spark, sf)
+    stamp = F.date_format("transit_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("transit_timestamp")
+    rest = [stamp if c == "transit_timestamp" else F.col(c) for c in model.SOURCE_COLUMNS if c not in ("georeference", "ridership")]
+    point = F.struct(F.lit("Point").alias("type"), F.array("longitude", "latitude").alias("coordinates"))
+    as_object = F.to_json(F.struct(*rest, F.col("ridership").cast("string").alias("ridership"), point.alias("georeference")))
+    as_text = F.to_json(F.struct(*rest, "ridership", "georeference"))
+    line = F.when(F.col("station_complex_id").cast("int") % 2 == 0, as_object).otherwise(as_text)
+    f.select(F.when(F.expr(_BROKEN), F.substring(line, 1, 40)).otherwise(line).alias("value")).write.text(path)
+    return files.typed_variants(files.read_variant_records(spark, path)).select(*[c.strip() for c in _FACT_COLS.split(",")], "bad")
+
+
+@query("variant_props", "S03", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, NOT json_valid(props) AS bad FROM events")
+def _(spark, sf):
+    record = F.try_parse_json("props")
+    return table(spark, sf, "events").select("event_id", F.try_variant_get(record, "$.k", "int").alias("k"), record.isNull().alias("bad"))
+
+
 @query("json_props_typed", "S03", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events")
 def _(spark, sf):
     return table(spark, sf, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
@@ -139,10 +163,10 @@ _TABLE = "o_custkey bigint, orders bigint, total double, last_order timestamp_nt
 
 @query("keyed_upsert", "S16", f"WITH {_PAIR} SELECT * FROM i UNION ALL SELECT * FROM s WHERE o_custkey NOT IN (SELECT o_custkey FROM i)")
 def _(spark, sf):
-    """Through the versioned table: write, upsert, read the newest version."""
-    t = Table(spark, scratch(spark, "totals"), _TABLE)
+    """Through the bucketed table: only buckets with incoming keys are written again."""
+    t = BucketTable(spark, scratch(spark, "totals"), _TABLE, ["o_custkey"], buckets=16)
     t.replace(_totals(spark, sf, _STORED))
-    t.upsert(_totals(spark, sf, _INCOMING), ["o_custkey"])
+    t.upsert(_totals(spark, sf, _INCOMING))
     return t.read()
 
 
@@ -152,9 +176,9 @@ def _(spark, sf):
     f"WITH {_PAIR} SELECT o_custkey, CAST(sum(orders) AS BIGINT) AS orders, sum(total) AS total, max(last_order) AS last_order FROM (SELECT * FROM s UNION ALL SELECT * FROM i) GROUP BY 1",
 )
 def _(spark, sf):
-    t = Table(spark, scratch(spark, "totals"), _TABLE)
+    t = BucketTable(spark, scratch(spark, "totals"), _TABLE, ["o_custkey"], buckets=16)
     t.replace(_totals(spark, sf, _STORED))
-    t.add(_totals(spark, sf, _INCOMING), ["o_custkey"], ["orders", "total"], ["last_order"])
+    t.add(_totals(spark, sf, _INCOMING), ["orders", "total"], ["last_order"])
     return t.read()
 
 
@@ -177,8 +201,10 @@ def _(spark, sf):
     from tidemark.operators.dedup import last_per_key
 
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
-    stored = last_per_key(o.where("o_orderstatus <> 'O'").drop("o_orderstatus"), ["o_custkey"], ["o_orderkey"])
-    return upsert.document_upsert(stored, o.where("o_orderstatus = 'O'").drop("o_orderstatus"), ["o_custkey"], ["o_orderkey"])
+    documents = BucketTable(spark, scratch(spark, "documents"), "o_custkey bigint, o_orderkey bigint, o_totalprice double", ["o_custkey"], buckets=16)
+    for batch in ("o_orderstatus <> 'O'", "o_orderstatus = 'O'"):
+        documents.upsert(last_per_key(o.where(batch).drop("o_orderstatus"), ["o_custkey"], ["o_orderkey"]))
+    return documents.read()
 
 
 @query("insert_if_absent", "S19 J09", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")

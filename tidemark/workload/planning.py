@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import timefns
 from tidemark.operators import compare, dedup, incremental, marts, releases
+from tidemark.session import scratch
+from tidemark.sources.digests import DigestIndex
+from tidemark.sources.tables import MonthTable
 from tidemark.workload.fixtures import CLEAN, FACT, clean_fact, fact, table
 from tidemark.workload.registry import query
 
@@ -278,6 +281,18 @@ def _(spark, sf):
     return dedup.not_stored(*_delivery(spark, sf), "l_shipdate")
 
 
+@query("except_all_history", "U04 S25 T18", f"WITH {_BATCH}, {_OLD} SELECT DISTINCT * FROM batch EXCEPT ALL SELECT * FROM old")
+def _(spark, sf):
+    """A batch against all stored months by way of their digest index: only months with a hit are read."""
+    batch, old = _delivery(spark, sf)
+    root = scratch(spark, "history")
+    stored = MonthTable(spark, f"{root}/rows", "l_shipdate")
+    stored.replace_months(old)
+    index = DigestIndex(spark, f"{root}/digests", "l_shipdate", _LINE)
+    index.replace_months(old)
+    return index.not_stored(batch, stored.read_months)
+
+
 @query(
     "incremental_dedup_report",
     "U03 U04 T18 S25",
