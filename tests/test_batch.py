@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark import model
 from tidemark.operators.quality import QualityError
 from tidemark.plans import batch, poll
+from tidemark.sources.tables import MonthTable
 
 SCHEMA = model.SOURCE_SCHEMA.simpleString()[7:-1].replace(":", " ") + ", source_updated_at timestamp_ntz"
 
@@ -132,3 +133,24 @@ def test_snapshot_months(spark, tmp_path):
 def test_row_flow(spark):
     s = source(spark, MARCH)
     assert [(r.stage, r.rows) for r in batch.row_flow({"extract": s, "marts": s.limit(2)}).orderBy("step").collect()] == [("extract", 12), ("marts", 2)]
+
+
+def test_short_months_are_read_again_a_bounded_number_of_times(spark, tmp_path):
+    rows = source(spark, MARCH + APRIL).select("transit_timestamp", "station_complex_id")
+    expected = poll.expected_by_month(rows, "transit_timestamp")
+    asked = []
+
+    def read(months, attempt):
+        asked.append((attempt, [m.month for m in months]))
+        inside = rows.where(F.trunc("transit_timestamp", "MM").isin(months))
+        # April never comes whole, March at the second attempt.
+        return inside.where("month(transit_timestamp) = 3" if attempt > 1 else "day(transit_timestamp) = 1 AND month(transit_timestamp) = 3")
+
+    store = MonthTable(spark, str(tmp_path), "transit_timestamp")
+    log = poll.fetch_pieces(read, expected, store, attempts=3)
+    got = sorted((r.attempt, r.month.month, r.expected_rows, r.fetched_rows) for r in log.collect())
+    assert got == [(1, 3, 12, 4), (1, 4, 8, 0), (2, 3, 12, 12), (2, 4, 8, 0), (3, 4, 8, 0)]
+    assert asked == [(1, [3, 4]), (2, [3, 4]), (3, [4])]
+    assert [(r.month.month, r.attempts, r.fetched_rows) for r in poll.short_pieces(log).collect()] == [(4, 3, 0)]
+    nothing = MonthTable(spark, str(tmp_path / "none"), "transit_timestamp")
+    assert poll.fetch_pieces(lambda months, attempt: rows.limit(0), expected, nothing, attempts=1).count() == 2

@@ -15,7 +15,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 # The training-data queries have tests of their own.
 QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 # Queries that run a job of their own while they are built.
-EAGER = {n for n in QUERIES if n.startswith("stream_")} | {"replay_parity"}
+EAGER = {n for n in QUERIES if n.startswith(("stream_", "parts_"))} | {"replay_parity", "gated_rule_counts", "refetched_months", "except_all_history"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 

@@ -374,6 +374,15 @@ def test_a_batch_that_runs_again_changes_nothing(spark, schedule, tmp_path):
         assert sorted(map(str, keyed.newest(store, name).collect())) == sorted(map(str, rows))
     assert sorted(f.name for f in (tmp_path / "store" / "facts").glob("*/*.parquet")) == files
     assert store.batch_log().count() == 2
+    # Folding the older batches keeps every key's last row; a second fold finds nothing to do.
+    for name, rows in before.items():
+        store.write(name, 7, spark.read.parquet(f"{store.path}/{name}/batch_id=0").limit(0))
+        keyed.fold(store, name)
+        keyed.fold(store, name)
+        assert store._folders(name) == [7] and store._base(name) is not None
+        assert sorted(map(str, keyed.newest(store, name).collect())) == sorted(map(str, rows))
+    keyed.drop_facts(store, 1)
+    assert sorted(f.name for f in (tmp_path / "store" / "facts").iterdir()) == ["batch_id=000000000001"]
 
 
 def test_a_landing_that_died_half_way_runs_again(spark, schedule, tmp_path, monkeypatch):

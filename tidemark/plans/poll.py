@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from tidemark.functions import timefns
 from tidemark.operators import dedup, incremental
 from tidemark.session import scratch, scratch_scope
 from tidemark.sources import files
-from tidemark.sources.tables import Table, children
+from tidemark.sources.tables import MonthTable, Table, children, written_once
 
 WATERMARK = "watermark timestamp_ntz, updated_at timestamp, last_cycle string"
 
@@ -86,3 +86,36 @@ def merge_months(source: DataFrame, path: str, ts: str, expected: DataFrame, key
 
 def expected_by_month(source: DataFrame, ts: str) -> DataFrame:
     return source.groupBy(timefns.month_start(ts).alias("month")).agg(F.count("*").alias("expected_rows"))
+
+
+FETCH_LOG = "attempt int, month date, expected_rows bigint, fetched_rows bigint"
+
+
+def fetch_pieces(read: Callable[[list[dt.date], int], DataFrame], expected: DataFrame, store: MonthTable, attempts: int = 3) -> DataFrame:
+    """Land all announced months and read those again that came short, at most ``attempts`` times in all.
+
+    ``read(months, attempt)`` gives the rows of some months, ``expected`` holds (month, expected_rows). A month counts what is in
+    its files, not what was sent. Returns one row for each month and attempt; see :func:`short_pieces`.
+    """
+    spark = expected.sparkSession
+    due = written_once(expected.select("month", "expected_rows"), "due")
+    log = spark.createDataFrame([], FETCH_LOG)
+    for attempt in range(1, attempts + 1):
+        # A list of months, which the calendar bounds.
+        months = sorted(r.month for r in due.select("month").toLocalIterator())
+        if not months:
+            break
+        store.replace_months(read(months, attempt))
+        stored = due.select("month").limit(0) if store.read() is None else store.read_months(months).select(timefns.month_start(store.day).alias("month"))
+        landed = stored.groupBy("month").agg(F.count("*").alias("_n"))
+        seen = due.join(landed, "month", "left").select(F.lit(attempt).alias("attempt"), "month", "expected_rows", F.coalesce("_n", F.lit(0)).alias("fetched_rows"))
+        seen = written_once(seen, "attempt")
+        log = log.unionByName(seen)
+        due = seen.where("expected_rows <> fetched_rows").select("month", "expected_rows")
+    return log
+
+
+def short_pieces(log: DataFrame) -> DataFrame:
+    """Months whose last attempt did not bring what was announced."""
+    last = log.groupBy("month").agg(F.max_by(F.struct("expected_rows", "fetched_rows"), "attempt").alias("l"), F.max("attempt").alias("attempts"))
+    return last.where("l.expected_rows <> l.fetched_rows").select("month", "attempts", "l.expected_rows", "l.fetched_rows")

@@ -24,6 +24,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +33,11 @@ from pyspark.storagelevel import StorageLevel
 
 from tidemark.functions import textfns, timefns
 from tidemark.operators.dedup import last_per_key
+from tidemark.operators.upsert import retain_days
 from tidemark.sources.schedule import DailySchedule, Schedule
-from tidemark.sources.tables import children, exists, remove, rename
+from tidemark.sources.tables import children, committed, exists, remove, rename
 from tidemark.streaming import records
-from tidemark.streaming.microbatch import BatchStore
+from tidemark.streaming.microbatch import KEPT_DAYS, BatchStore
 
 FACTS = (
     "kind string, feed string, feed_time bigint, offset bigint, pos int, at timestamp, trip_id string, route_id string, start_date string, "
@@ -271,13 +273,49 @@ def start_totals(name: str, stream: DataFrame, store: BatchStore, checkpoint: st
     return _start(store.spark, writer, checkpoint, name, every)
 
 
+def _rows(store: BatchStore, name: str, upto: int | None = None) -> DataFrame:
+    """The last row of every key of a result, with what tells the last one."""
+    base = store._base(name)
+    later = [n for n in store._folders(name) if (base is None or n > base) and (upto is None or n <= upto)]
+    parts = [] if base is None else [store.spark.read.parquet(f"{store.path}/{name}_base/upto={base}")]
+    if later:
+        paths = [f"{store.path}/{name}/batch_id={n}" for n in later]
+        parts.append(store.spark.read.option("basePath", f"{store.path}/{name}").parquet(*paths))
+    if not parts:
+        raise ValueError(f"no batch of {name} is there yet")
+    rows = reduce(DataFrame.unionByName, parts)
+    return last_per_key(rows, ["arrival_id"], ["offset", "pos"]) if name == "arrivals" else last_per_key(rows, TOTALS[name][1], ["batch_id"])
+
+
 def newest(store: BatchStore, name: str) -> DataFrame:
     """The result of ``arrivals``, ``minutes`` or ``hours``: the last row of every key."""
-    path = f"{store.path}/{name}"
-    rows = store.spark.read.parquet(path)
-    if name == "arrivals":
-        return last_per_key(rows, ["arrival_id"], ["offset", "pos"]).drop("offset", "pos", "batch_id")
-    return last_per_key(rows, TOTALS[name][1], ["batch_id"]).drop("batch_id")
+    return _rows(store, name).drop("offset", "pos", "batch_id")
+
+
+def fold(store: BatchStore, name: str, keep: int = 1, days: int = KEPT_DAYS) -> None:
+    """Fold all but the newest ``keep`` batches of a result into one relation; only the newest batch can run again.
+
+    The folded relation counts once its commit marker is there, and the batches in it are removed after that. Minute totals past ``days`` go.
+    """
+    base, old = store._base(name), store._folders(name)[:-keep]
+    if not old or (base is not None and old[-1] <= base):
+        return
+    rows = _rows(store, name, old[-1])
+    if name == "minutes":
+        rows = retain_days(rows, "minute", days)
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{store.path}/{name}_base/upto={old[-1]}")
+    if base is not None:
+        remove(store.spark, f"{store.path}/{name}_base/upto={base}")
+    for n in old:
+        remove(store.spark, f"{store.path}/{name}/batch_id={n}")
+
+
+def drop_facts(store: BatchStore, before: int) -> None:
+    """Remove the facts of batches before a number, once every query has read them, and what batches that died left beside them."""
+    for n in committed(store.spark, f"{store.path}/facts", "batch_id"):
+        if n < before:
+            remove(store.spark, f"{store.path}/facts/batch_id={n:012d}")
+    remove(store.spark, f"{store.path}/facts-staged")
 
 
 # --- what the engine reports --------------------------------------------------------------
@@ -345,8 +383,3 @@ def progress_rows(raw: DataFrame) -> DataFrame:
         state["numRowsTotal"].alias("state_rows"),
         state["numRowsRemoved"].alias("state_removed"),
     )
-
-
-def drop_staged(store: BatchStore) -> None:
-    """Remove what batches that died left beside the published facts."""
-    remove(store.spark, f"{store.path}/facts-staged")

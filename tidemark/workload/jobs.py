@@ -10,6 +10,7 @@ from tidemark import model
 from tidemark.operators import marts
 from tidemark.plans import batch, poll
 from tidemark.session import scratch
+from tidemark.sources.tables import MonthTable
 from tidemark.workload.fixtures import CLEAN, FACT, fact, table
 from tidemark.workload.marts import _DAILY, _PROFILE, _STATION
 from tidemark.workload.registry import query
@@ -110,3 +111,25 @@ def _(spark, sf):
     orders = table(spark, sf, "orders")
     expected = poll.expected_by_month(orders, "o_orderdate")
     return poll.merge_months(orders, scratch(spark, "snapshot"), "o_orderdate", expected, keys=["o_orderdate", "o_orderkey"])
+
+
+# A source that leaves rows out of its first answer, fewer out of its second, and none after that.
+_LEFT_OUT = ["o_orderkey % 400 = 3", "o_orderkey % 2000 = 3"]
+
+
+@query(
+    "refetched_months",
+    "I11",
+    f"""WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n, count(*) FILTER (NOT ({_LEFT_OUT[0]})) AS a, count(*) FILTER (NOT ({_LEFT_OUT[1]})) AS b FROM orders GROUP BY 1)
+    SELECT CAST(1 AS INT) AS attempt, month, n AS expected_rows, a AS fetched_rows FROM m UNION ALL SELECT 2, month, n, b FROM m WHERE a <> n UNION ALL SELECT 3, month, n, n FROM m WHERE a <> n AND b <> n""",
+)
+def _(spark, sf):
+    """Every attempt at every month: those that came short are read again, at most three times in all."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+
+    def read(months, attempt):
+        rows = orders.where(F.trunc("o_orderdate", "MM").isin(months))
+        return rows.where(f"NOT ({_LEFT_OUT[attempt - 1]})") if attempt <= len(_LEFT_OUT) else rows
+
+    store = MonthTable(spark, scratch(spark, "pieces"), "o_orderdate")
+    return poll.fetch_pieces(read, poll.expected_by_month(orders, "o_orderdate"), store)
