@@ -1,11 +1,12 @@
 """Filter interaction audit on a sparse document-term matrix.
 
-``encode`` makes the matrix. A first pass counts all words of all texts; every distinct word gets one global id. Words that make up
-at least one in ``HEAD`` of all words, thus at most ``HEAD`` of them, form the dictionary's head: each of at most ``HEAD_BYTES``
-bytes, so its size is bounded and it goes to all tasks. A second pass encodes the texts into CSR shards over the head's columns
-(``indptr, indices, data``, one shard a batch of documents) and writes them beside the remaining words, which are rare:
-they meet the dictionary by a join on the word and become CSR shards over the tail's columns. ``row_stats`` adds up row
-sums (words) and nonzero counts (distinct words) of both column blocks.
+``encode`` makes the matrix in two column blocks. A first pass finds the frequent words: every task hands on words that make up one in
+``HEAD`` or more of its own words, and those with that share of all words form the head of the dictionary, at most ``HEAD`` of at most
+``HEAD_BYTES`` bytes each, so its size is bounded and it goes to all tasks. A word that is twice as frequent is never
+missed. A second pass encodes the texts into CSR shards over the head's columns (``indptr, indices, data``, one
+shard a batch of documents) and writes them beside the remaining words, none of which is frequent: these are gathered by word, get
+their global ids there and become CSR shards over the tail's columns, each with its slice of the dictionary. ``row_stats`` adds up row
+sums (words) and nonzero counts (distinct words) of both blocks.
 
 ``audit`` decides the five filters of a document (A and B by the matrix, C, D and E by flags that the second pass wrote), reduces the
 documents to counts by part and combination of failures and only then opens the 120 orders. Copies of a text are first
@@ -23,7 +24,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import permutations
+from itertools import compress, permutations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,39 +32,55 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import BATCH_ROWS, written
 
 #: Words in the dictionary's head at most, and bytes of each at most.
-HEAD, HEAD_BYTES = 400_000, 32
-#: Words that a task counts before it hands them on, and documents of a shard at most.
-COUNTED, SHARD_ROWS = 500_000, 1 << 16
+HEAD, HEAD_BYTES = 1_000_000, 24
+#: Different words that a task counts before it hands them on, documents of a shard of the head at most, entries of a shard of the tail.
+COUNTED, SHARD_ROWS, SHARD_ENTRIES = 500_000, 1 << 16, 1_000_000
 FILTERS = "ABCDE"
 
 _UPPER, _MARKS = bytes(range(0x41, 0x5B)), b"#$%&*|"
 _SHARD = "shard long, indptr array<int>, indices array<int>, data array<int>"
 _DOCS = "docs array<struct<row long, doc_id {id}, part string, digest binary, c boolean, d boolean>>"
 _REST = "rest array<struct<row long, word binary, n int>>"
+_TAIL = "shard long, words array<binary>, ids array<long>, rows array<long>, indptr array<int>, indices array<long>, data array<int>"
 
 
 @dataclass(frozen=True)
 class Matrix:
-    """Shards over the head's columns with the documents' flags, shards over the tail's, and the dictionary."""
+    """Shards over the head's columns with the documents' flags, shards over the tail's, and the head's words in order of their ids."""
 
     head: DataFrame
     tail: DataFrame
-    dictionary: DataFrame
+    words: list[bytes]
+
+    @property
+    def tail_dictionary(self) -> DataFrame:
+        """``word, id`` of the words outside the head."""
+        return self.tail.select(F.explode(F.arrays_zip("words", "ids")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.ids").alias("id"))
 
 
 def _texts(docs: DataFrame, text_col: str) -> Column:
     return F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("text")
 
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``word, n`` of all words; a task hands on its counts when it holds ``COUNTED`` words."""
+def _one(arrow: pa.Array | np.ndarray) -> pa.ListArray:
+    """A list column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(arrow)], pa.int32()), arrow if isinstance(arrow, pa.Array) else pa.array(arrow))
+
+
+def frequent_words(docs: DataFrame, *, text_col: str = "text", head_words: int = HEAD) -> list[bytes]:
+    """The head of the dictionary, most frequent words first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(seen: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
+            total = sum(seen.values())
+            least = math.ceil(total / head_words)
+            some = [(w, n) for w, n in seen.items() if n >= least and len(w) <= HEAD_BYTES]
+            # Without a word: how many there were.
+            some.append((None, total))
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], names=["word", "n"])
 
         seen: Counter = Counter()
         for b in batches:
@@ -74,79 +91,104 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     seen = Counter()
         yield flush(seen)
 
-    return docs.select(_texts(docs, text_col)).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = docs.select(_texts(docs, text_col)).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = written(counts, "audit-words", "zstd")
+    total = counted.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
+    common = counted.where(F.col("word").isNotNull() & (F.col("n") >= math.ceil(total / head_words)))
+    return common.orderBy(F.desc("n"), "word").select("word").toArrow()["word"].to_pylist()
 
 
 def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", head_words: int = HEAD) -> Matrix:
     """The matrix of all documents, written to the shared folder."""
     spark = docs.sparkSession
-    counted = written(word_counts(docs, text_col), "audit-words", "zstd")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    common = (F.col("n") >= math.ceil(total / head_words)) & (F.length("word") <= HEAD_BYTES)
-    head = {word: k for k, word in enumerate(counted.where(common).orderBy(F.desc("n"), "word").select("word").toArrow()["word"].to_pylist())}
-    # Ids of the tail follow those of the head; they are written once, so that a task that runs again can't renumber them.
-    rest = written(counted.where(~common).select("word", (F.monotonically_increasing_id() + len(head)).alias("id")), "audit-dictionary", "zstd")
-    known = spark.sparkContext.broadcast(head)
+    words = frequent_words(docs, text_col=text_col, head_words=head_words)
+    known = spark.sparkContext.broadcast({word: k for k, word in enumerate(words)})
 
     doc_id = F.col(f"`{id_col}`")
     rows = docs.select(doc_id.alias("doc_id"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("part"), _texts(docs, text_col))
     kind = rows.schema["doc_id"].dataType
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, partition, k = known.value, TaskContext.get().partitionId(), 0
+        get, partition, k = known.value.get, TaskContext.get().partitionId(), 0
         for whole in batches:
             for at in range(0, whole.num_rows, SHARD_ROWS):
                 b = whole.slice(at, SHARD_ROWS)
                 shard = partition << 24 | k
                 k += 1
-                indices, data, indptr, flags, left = [], [], [0], [], []
+                indices, data, sizes, rest, others, left, flags = [], [], [0], [], [], [], []
                 for place, text in enumerate(b["text"]):
-                    text, row = text.as_py(), shard * SHARD_ROWS + place
-                    inside = []
-                    for word, n in Counter(text.split()).items():
-                        i = ids.get(word)
-                        if i is None:
-                            left.append((row, word, n))
-                        else:
-                            inside.append((i, n))
-                    inside.sort()
-                    indices += [i for i, _ in inside]
-                    data += [n for _, n in inside]
-                    indptr.append(len(indices))
+                    text = text.as_py()
+                    counts = Counter(text.split())
+                    ids = np.fromiter(map(get, counts, repeat(-1)), np.int64, len(counts))
+                    n = np.fromiter(counts.values(), np.int32, len(counts))
+                    inside = np.flatnonzero(ids >= 0)
+                    inside = inside[np.argsort(ids[inside])]
+                    indices.append(ids[inside])
+                    data.append(n[inside])
+                    sizes.append(len(inside))
+                    if len(inside) < len(ids):
+                        outside = ids < 0
+                        rest += compress(counts, outside)
+                        others.append(n[outside])
+                        left.append((place, len(ids) - len(inside)))
                     points = int(np.count_nonzero((np.frombuffer(text, np.uint8) & 0xC0) != 0x80))
                     upper = len(text) - len(text.translate(None, _UPPER))
-                    flags.append((row, hashlib.sha256(text).digest(), 100 * upper > 3 * points, len(text.translate(None, _MARKS)) < len(text)))
-                row, digest, c, d = zip(*flags, strict=True)
+                    flags.append((hashlib.sha256(text).digest(), 100 * upper > 3 * points, len(text.translate(None, _MARKS)) < len(text)))
+                digest, c, d = zip(*flags, strict=True)
+                first = shard * SHARD_ROWS
                 structs = pa.StructArray.from_arrays(
-                    [pa.array(row, pa.int64()), b["doc_id"], b["part"], pa.array(digest, pa.binary()), pa.array(c), pa.array(d)], ["row", "doc_id", "part", "digest", "c", "d"]
+                    [pa.array(first + np.arange(b.num_rows)), b["doc_id"], b["part"], pa.array(digest, pa.binary()), pa.array(c), pa.array(d)], ["row", "doc_id", "part", "digest", "c", "d"]
                 )
-                row, word, n = zip(*left, strict=True) if left else ((), (), ())
-                others = pa.StructArray.from_arrays([pa.array(row, pa.int64()), pa.array(word, pa.binary()), pa.array(n, pa.int32())], ["row", "word", "n"])
-                csr = [pa.array([x], pa.list_(pa.int32())) for x in (indptr, indices, data)]
-                lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (structs, others)]
-                yield pa.RecordBatch.from_arrays([pa.array([shard]), *csr, *lists], names=["shard", "indptr", "indices", "data", "docs", "rest"])
+                places = np.repeat(np.array([p for p, _ in left], np.int64), np.array([m for _, m in left], np.int64))
+                tail = pa.StructArray.from_arrays([pa.array(first + places), pa.array(rest, pa.binary()), pa.array(np.concatenate([np.zeros(0, np.int32), *others]))], ["row", "word", "n"])
+                csr = [np.cumsum(sizes).astype(np.int32), np.concatenate(indices).astype(np.int32), np.concatenate(data)]
+                yield pa.RecordBatch.from_arrays([pa.array([shard]), *map(_one, csr), _one(structs), _one(tail)], names=["shard", "indptr", "indices", "data", "docs", "rest"])
 
     made = written(rows.mapInArrow(shards, f"{_SHARD}, {_DOCS.format(id=kind.simpleString())}, {_REST}"), "audit-shards", "zstd")
-    triples = made.select(F.explode("rest").alias("t")).select("t.*").join(rest, "word").select("row", "id", "n")
-    return Matrix(made.drop("rest"), tail_shards(triples), rest)
+    triples = made.select(F.explode("rest").alias("t")).select("t.*")
+    # Entries are three short fields, so many of them make a batch; documents need short batches.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(100 * BATCH_ROWS))
+    try:
+        tail = written(tail_shards(triples, len(words)), "audit-tail", "zstd")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return Matrix(made.drop("rest"), tail, words)
 
 
-def tail_shards(triples: DataFrame) -> DataFrame:
-    """CSR shards ``shard, rows, indptr, indices, data`` of ``row, id, n``; only rows that have entries.
+def tail_shards(triples: DataFrame, first_id: int) -> DataFrame:
+    """CSR shards of ``row, word, n``: the rows that have entries, and the words that got their id (``first_id`` or more) in the shard.
 
-    A shard's rows come from one batch of documents, so a group is never larger than that batch's text.
+    All entries of a word are in one task; its words are as many as a shuffled partition holds. Ids depend on the order in which
+    entries arrive, so the shards are written before they are read.
     """
 
-    def shard(key: tuple, t: pa.Table) -> pa.Table:
-        row, indices, data = (t[c].to_numpy() for c in ("row", "id", "n"))
-        order = np.lexsort((indices, row))
-        rows, starts = np.unique(row[order], return_index=True)
-        arrays = [rows, np.append(starts, len(row)).astype(np.int32), indices[order], data[order]]
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.array(a)) for a in arrays]
-        return pa.table([pa.array([key[0].as_py()], pa.int64()), *lists], names=["shard", "rows", "indptr", "indices", "data"])
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition, k = TaskContext.get().partitionId(), 0
+        known: dict[bytes, int] = {}
+
+        def shard(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t = pa.Table.from_batches(held).combine_chunks()
+            codes = t["word"].combine_chunks().dictionary_encode()
+            before, base = len(known), first_id + (partition << 40)
+            own = np.array([known.setdefault(w, len(known)) for w in codes.dictionary.to_pylist()], np.int64) + base
+            row, indices, data = t["row"].to_numpy(), own[codes.indices.to_numpy()], t["n"].to_numpy()
+            order = np.lexsort((indices, row))
+            rows, starts = np.unique(row[order], return_index=True)
+            fresh = list(known)[before:]
+            lists = [pa.array(fresh, pa.binary()), base + np.arange(before, len(known)), rows, np.append(starts, len(row)).astype(np.int32), indices[order], data[order]]
+            return pa.RecordBatch.from_arrays([pa.array([partition << 24 | k]), *map(_one, lists)], names=["shard", "words", "ids", "rows", "indptr", "indices", "data"])
+
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= SHARD_ENTRIES:
+                yield shard(held)
+                held, n, k = [], 0, k + 1
+        if n:
+            yield shard(held)
 
-    keyed = triples.withColumn("shard", F.shiftright("row", SHARD_ROWS.bit_length() - 1))
-    return keyed.groupBy("shard").applyInArrow(shard, "shard long, rows array<long>, indptr array<int>, indices array<long>, data array<int>")
+    return triples.repartition("word").mapInArrow(build, _TAIL)
 
 
 def _sums(indptr: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,8 +205,7 @@ def row_stats(matrix: Matrix) -> DataFrame:
         for b in batches:
             for k in range(b.num_rows):
                 words, distinct = _sums(b["indptr"][k].values.to_numpy(), b["data"][k].values.to_numpy())
-                lists = [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(x)) for x in (words, distinct)]
-                yield pa.RecordBatch.from_arrays([b["docs"].slice(k, 1), *lists], names=["docs", "words", "distinct"])
+                yield pa.RecordBatch.from_arrays([b["docs"].slice(k, 1), _one(words), _one(distinct)], names=["docs", "words", "distinct"])
 
     def tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,7 +215,8 @@ def row_stats(matrix: Matrix) -> DataFrame:
 
     inside = matrix.head.select("docs", "indptr", "data").mapInArrow(head, f"docs {docs_type}, words array<long>, distinct array<long>")
     opened = inside.select(F.explode(F.arrays_zip("docs", "words", "distinct")).alias("x")).select("x.docs.*", F.col("x.words").alias("words_in"), F.col("x.distinct").alias("distinct_in"))
-    outside = matrix.tail.select("rows", "indptr", "data").mapInArrow(tail, "row long, words long, distinct long")
+    # A row has entries in many column shards.
+    outside = matrix.tail.select("rows", "indptr", "data").mapInArrow(tail, "row long, words long, distinct long").groupBy("row").agg(F.sum("words").alias("words"), F.sum("distinct").alias("distinct"))
     both = opened.join(outside, "row", "left")
     return both.select(
         "row", "doc_id", "part", "digest", "c", "d",
