@@ -3,19 +3,24 @@
 A page becomes a tree of labelled elements; siblings with one label are merged, so a list or a run of
 paragraphs is one node. For each host, ``REFERENCES`` pages chosen by a hash of their ids are references, and
 every page of the host is aligned with them by simple tree matching (the largest order-preserving
-mapping of equal labels). A text that stands at a matched node of the reference and of at least
-``CONSTANT`` of the host's pages is template and is taken out of every page of the host; what varies is
-content, but for regions that say by their element or class that they are something else: menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments, and for blocks
-outside the article where a page marks one. Pages with equal skeletons are copies and count as one page, here and among
-the references. A host with fewer than ``MIN_PAGES`` pages has no template.
-
-Only skeletons (labels and text hashes) are joined and counted; the page text is read once more at the
+mapping of equal labels). The alignment gives the host's wrapper:
+
+* A text that stands at a matched node of the reference and of at least ``CONSTANT`` of the host's pages is *template*.
+* What varies at matched nodes is counted by slot, the path of labels. The *content slot* is found from the root down: a
+  step is made to the part that holds at least ``CONTENT`` of the varying text, as long as no heading that varies is left out.
+
+A page's text is what stands below its host's content slot and is not template. Pages with equal skeletons are copies and
+count as one page, here and among the references. Elements that say by their tag, class or role that they are menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments have no text at all. Only where there is
+no wrapper (a host with fewer than ``MIN_PAGES`` different pages, a page without the slot) the page's own article element, or else blocks
+that are not mostly links, stand for the content slot.
+
+Only skeletons (labels, text hashes and lengths) are joined and counted; the page text is read once more at the
 end. Whole pages are parsed, broken ones as browsers would: missing end tags are closed, a tag cut off by
 the end of the page is dropped.
 
-Null and empty pages have an empty text. Null URLs and URLs without a host belong to no host, so only
-the regions count. Rows are judged one by one; repeated rows give repeated rows; an empty table gives an
+Null and empty pages have an empty text. Null URLs and URLs without a host belong to no host, so they have no wrapper.
+Rows are judged one by one; repeated rows give repeated rows; an empty table gives an
 empty result. Only id, URL and html are read.
 """
 
@@ -36,6 +41,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import map_rows, texts, written
 
 REFERENCES, CONSTANT, MIN_PAGES = 3, 0.9, 5
+#: A part with this share of the varying text of the part around it holds the content. Slots of fewer pages than ``SLOT_PAGES`` of a host's don't count.
+CONTENT, SLOT_PAGES = 0.75, 0.5
 #: Deeper elements count as children of the last level, but are opened and closed like all others. More inline elements
 #: than that within one block are only counted. Children lists longer than WIDE lose their order.
 MAX_DEPTH, WIDE = 100, 64
@@ -43,6 +50,9 @@ MAX_DEPTH, WIDE = 100, 64
 ARTICLE_WORDS = 40
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Elements whose own text is a block; the content slot is never one of them.
+TEXTUAL = HEADINGS | set("p pre li dt dd blockquote figcaption caption summary address td th".split())
 RAW = set("script style title textarea noscript iframe template xmp noembed".split())
 BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend "
@@ -63,17 +73,27 @@ _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)\b(?
 _STOP = re.compile(r"""[>"']""")
 
 
+#: The two lowest bits of a label say what kind of element it is: one that holds others, one that holds text alone, a heading.
+PART, TEXT, HEADING = 1, 2, 3
+
+
+def step(label: int, above: int) -> int:
+    """The path of a label below the path ``above``."""
+    return zlib.crc32(label.to_bytes(4, "little"), above)
+
+
 class Element:
-    __slots__ = ("tag", "label", "path", "parent", "region", "article", "depth", "inline", "surplus")
+    __slots__ = ("tag", "name", "number", "path", "parted", "parent", "region", "article", "depth", "inline", "surplus")
 
     def __init__(self, tag: str, label: str, parent: Element | None, region: bool, article: bool, inline: int = 0):
         if parent and parent.depth > MAX_DEPTH:
             parent = parent.parent
-        self.tag, self.label, self.parent, self.region, self.article = tag, label, parent, region, article
+        self.tag, self.name, self.parent, self.region, self.article = tag, label, parent, region, article
+        #: Label and path as numbers, and whether other elements with text stand in this one; known when the page has been read.
+        self.number, self.path, self.parted = 0, 0, False
         self.depth = parent.depth + 1 if parent else 0
         #: Inline elements since the last block, this one included, and those that were too many to open.
         self.inline, self.surplus = inline, None
-        self.path = zlib.crc32(label.encode(), parent.path if parent else 0)
 
 
 class Block:
@@ -243,17 +263,34 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCK:
             block = Block(stack[-1])
     cut()
+    settle(out)
     return out
 
 
-def text_hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text.encode(), 0) >> 1
+def settle(found: list[Block]) -> None:
+    """Labels and paths of the elements above the blocks."""
+    for b in found:
+        e = b.element
+        while e.parent is not None and not e.parent.parted:
+            e = e.parent
+            e.parted = True
+    for b in found:
+        line, e = [], b.element
+        while e.parent is not None and not e.number:
+            line.append(e)
+            e = e.parent
+        for e in reversed(line):
+            kind = HEADING if e.tag in HEADINGS else PART if e.parted and e.tag in BLOCK and e.tag not in TEXTUAL else TEXT
+            e.number = zlib.crc32(e.name.encode()) & ~3 | kind
+            e.path = step(e.number, e.parent.path)
 
 
-# A skeleton is a row for each element that leads to a block: depth, label, text hash (0: none).
-_NODE = struct.Struct("<BIq")
+def text_hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode(), 0) >> 1
 
 
+# A skeleton is a row for each element that leads to a block: depth, label or 0 for a text, hash and length of the text.
+_NODE = struct.Struct("<BIqI")
 def skeleton(found: list[Block]) -> bytes:
     """Elements above the blocks in page order, and hashes of the blocks' texts."""
     out, open_path = [], []
@@ -266,9 +303,9 @@ def skeleton(found: list[Block]) -> bytes:
         same = 0
         while same < min(len(line), len(open_path)) and line[same] is open_path[same]:
             same += 1
-        out += [_NODE.pack(min(x.depth, 255), zlib.crc32(x.label.encode()), 0) for x in line[same:]]
+        out += [_NODE.pack(min(x.depth, 255), x.number, 0, 0) for x in line[same:]]
         open_path = line
-        out.append(_NODE.pack(min(len(line) + 1, 255), 0, text_hash(b.text)))
+        out.append(_NODE.pack(min(len(line) + 1, 255), 0, text_hash(b.text), min(len(b.text), 0xFFFFFFFF)))
     return b"".join(out)
 
 
@@ -278,24 +315,26 @@ class Tree:
     __slots__ = ("label", "path", "children", "texts")
 
     def __init__(self, label: int, path: int):
-        self.label, self.path, self.children, self.texts = label, path, [], set()
+        self.label, self.path, self.children = label, path, []
+        #: Length of each text by its hash.
+        self.texts: dict[int, int] = {}
 
     @classmethod
     def of(cls, packed: bytes) -> Tree:
         root = cls(0, 0)
         stack: list[Tree] = [root]
-        for depth, label, text in _NODE.iter_unpack(packed):
+        for depth, label, text, length in _NODE.iter_unpack(packed):
             del stack[max(depth, 1) :]
             top = stack[-1]
             if not label:
-                top.texts.add(text)
+                top.texts[text] = length
                 continue
             last = top.children[-1] if top.children else None
             if last is None or last.label != label:
                 same = [c for c in top.children if c.label == label] if len(top.children) >= WIDE else []
                 last = same[0] if same else None
                 if last is None:
-                    last = cls(label, zlib.crc32(label.to_bytes(4, "little"), top.path))
+                    last = cls(label, step(label, top.path))
                     top.children.append(last)
             stack.append(last)
         return root
@@ -330,21 +369,73 @@ def constants(page: Tree, reference: Tree) -> set[int]:
     """Texts that both trees have at matched nodes."""
     out: set[int] = set()
     for x, y in match(page, reference)[1]:
-        out |= x.texts & y.texts
+        out |= x.texts.keys() & y.texts.keys()
     return out
 
 
-def main_text(found: list[Block], template: set[int]) -> str:
+def slots(page: Tree, same: set[int]) -> Iterator[tuple[int, int, int, int]]:
+    """Path, parent's path, kind and varying characters of every slot of a page; ``same`` are its texts that don't vary."""
+    found: dict[int, list[int]] = {}
+    todo = [(page, 0)]
+    while todo:
+        node, above = todo.pop()
+        own = found.setdefault(node.path, [above, node.label & 3, 0])
+        own[2] += sum(n for t, n in node.texts.items() if t not in same)
+        todo += [(c, node.path) for c in node.children]
+    for path, (above, kind, n) in found.items():
+        yield path, above, kind, n
+
+
+def content_slot(found: list[tuple[int, int, int, int]]) -> int:
+    """The path of the part that holds a host's content, from its slots; 0, the whole page, if there is no such part."""
+    below: dict[int, list[int]] = defaultdict(list)
+    kind, own = {}, {}
+    for path, above, k, n in found:
+        kind[path], own[path] = k, n
+        if path != above:
+            below[above].append(path)
+    # Slots deeper than others come after them in a walk from the root, so sums go backwards.
+    walk = [0]
+    for path in walk:
+        walk += below[path]
+    mass, heading = {}, {}
+    for path in reversed(walk):
+        mass[path] = own.get(path, 0) + sum(mass[c] for c in below[path])
+        heading[path] = kind.get(path) == HEADING and own[path] > 0 or any(heading[c] for c in below[path])
+    at = 0
+    while below[at]:
+        best = max(below[at], key=lambda c: (mass[c], c))
+        left_out = any(heading[c] for c in below[at] if c != best)
+        if kind[best] != PART or mass[best] < CONTENT * mass[at] or not mass[best] or left_out:
+            break
+        at = best
+    return at
+
+
+def inside(b: Block, slot: int) -> bool:
+    """Whether a block stands below the slot."""
+    e = b.element
+    while e.parent is not None:
+        if e.path == slot:
+            return True
+        e = e.parent
+    return False
+
+
+def main_text(found: list[Block], template: set[int], slot: int = 0) -> str:
     """The blocks that are content, joined by spaces."""
     body = [b for b in found if not b.region]
-    if any(b.article for b in body):
+    own = [b for b in body if inside(b, slot)] if slot else []
+    if own:
+        body = own
+    elif any(b.article for b in body):
         body = [b for b in body if b.article]
     else:
         # Without an article, blocks that are mostly links are menus.
         body = [b for b in body if 2 * b.linked <= sum(map(len, b.parts))]
     kept = []
     for b in body:
-        if not template or text_hash(b.text) not in template or b.article and b.text.count(" ") >= ARTICLE_WORDS:
+        if not template or text_hash(b.text) not in template or (own or b.article) and b.text.count(" ") >= ARTICLE_WORDS:
             kept.append(b.text)
     return " ".join(kept)
 
@@ -356,8 +447,8 @@ def host(url: str):
     return F.lower(F.regexp_extract(after, r"^[^/?#]*", 0))
 
 
-def templates(rows: DataFrame) -> DataFrame:
-    """``host, template``: hashes of the texts that are template on each host of ``id, host, html``."""
+def wrappers(rows: DataFrame) -> DataFrame:
+    """``host, template, slot``: hashes of the texts that are template on each host of ``id, host, html``, and its content slot."""
 
     def bones(b: pa.RecordBatch) -> pa.RecordBatch:
         packed = [skeleton(blocks(h)) for h in texts(b["html"])]
@@ -371,35 +462,56 @@ def templates(rows: DataFrame) -> DataFrame:
     hosts = by_host.groupBy("host").agg(F.sum("n").alias("pages"), F.collect_list("reference").alias("references")).where(F.col("pages") >= MIN_PAGES)
     chosen = written(hosts, "page-references")
 
-    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[Tree]] = {}
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each text that a page shares with a reference (its hash), and for each of its slots."""
+        known: dict[str, list[tuple[bytes, Tree]]] = {}
         for b in batches:
-            hosts_, found = [], []
+            out: list[tuple] = []
             for name, packed, refs in zip(b["host"].to_pylist(), b["bones"].to_pylist(), b["references"], strict=True):
                 if name not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[name] = [Tree.of(r) for r in refs.as_py()]
+                    known[name] = [(r, Tree.of(r)) for r in refs.as_py()]
                 page = Tree.of(packed)
-                texts_ = set().union(*(constants(page, r) for r in known[name]))
-                hosts_ += [name] * len(texts_)
-                found += texts_
-            yield pa.RecordBatch.from_arrays([pa.array(hosts_, pa.string()), pa.array(found, pa.int64())], names=["host", "text"])
-
-    matched = seen.join(chosen.select("host", "references"), "host").select("host", "bones", "references").mapInArrow(common, "host string, text long")
-    counted = matched.groupBy("host", "text").agg(F.count("*").alias("n")).join(chosen.select("host", "pages"), "host")
-    return counted.where(F.col("n") >= CONSTANT * F.col("pages")).groupBy("host").agg(F.collect_list("text").alias("template"))
+                same: set[int] = set()
+                others: set[int] = set()
+                for r, tree in known[name]:
+                    shared = constants(page, tree)
+                    same |= shared
+                    # A reference repeats itself in full, which says nothing about what varies.
+                    others |= shared if r != packed else set()
+                out += [(name, t, None, None, None, None) for t in same]
+                out += [(name, None, *slot) for slot in slots(page, others)]
+            columns = zip(*out, strict=True) if out else [()] * 6
+            kinds = (pa.string(), *[pa.int64()] * 5)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "text", "path", "above", "kind", "chars"])
+
+    columns = "host string, text long, path long, above long, kind long, chars long"
+    matched = seen.join(chosen.select("host", "references"), "host").select("host", "bones", "references").mapInArrow(aligned, columns)
+    counted = written(matched.groupBy("host", "text", "path", "above", "kind").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")), "page-slots")
+    shares = counted.join(chosen.select("host", "pages"), "host")
+    constant = shares.where(F.col("text").isNotNull() & (F.col("n") >= CONSTANT * F.col("pages"))).groupBy("host").agg(F.collect_list("text").alias("template"))
+    # Slots that half of the pages have are at most twice as many as a page has on average.
+    common = shares.where(F.col("path").isNotNull() & (F.col("n") >= SLOT_PAGES * F.col("pages")))
+    listed = common.groupBy("host").agg(F.collect_list(F.struct("path", "above", "kind", "chars")).alias("found"))
+
+    def choose(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = [content_slot([(s["path"], s["above"], s["kind"], s["chars"]) for s in some]) for some in b["found"].to_pylist()]
+        return pa.RecordBatch.from_arrays([b["host"], pa.array(found, pa.int64())], names=["host", "slot"])
+
+    return map_rows(listed, choose, "host string, slot long").join(constant, "host", "left").select("host", "template", "slot")
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id, url, text, n_chars`` for every page."""
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host(url_col).alias("host"), F.col(html_col).cast("string").alias("html"))
-    found = written(templates(rows.select("id", "host", "html")), "page-templates")
-    joined = rows.join(found, "host", "left").select("id", "url", "html", "template")
+    found = written(wrappers(rows.select("id", "host", "html")), "page-wrappers")
+    joined = rows.join(found, "host", "left").select("id", "url", "html", "template", "slot")
     kind = dict(rows.dtypes)["id"]
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        out = [main_text(blocks(h), set(t or ())) for h, t in zip(texts(b["html"]), b["template"].to_pylist(), strict=True)]
+        found = zip(texts(b["html"]), b["template"].to_pylist(), b["slot"].to_pylist(), strict=True)
+        out = [main_text(blocks(h), set(t or ()), s or 0) for h, t, s in found]
         return pa.RecordBatch.from_arrays([b["id"], b["url"], pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["id", "url", "text", "n_chars"])
 
     return map_rows(joined, run, f"id {kind}, url string, text string, n_chars long").withColumnRenamed("id", id_col)
