@@ -13,7 +13,7 @@ only links that join two parts are written, so their number is below that of the
 
 Equal fingerprints are merged before all that. Null and empty texts have the fingerprint zero and link
 like any other. Null ids never name a component unless it has no other id. Repeated rows give repeated
-rows, an empty table an empty result; columns other than id and text are not read.
+rows, an empty table an empty result; columns other than id and text are not read, and may have any name.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from tidemark.llm.common import map_rows, texts, written
 SHINGLE, RADIUS = 3, 3
 #: Fingerprints of one bucket that a task compares; fuller buckets are dealt out again.
 BUCKET = 2048
+#: A fingerprint that at least one in so many rows has is joined by broadcast.
+HOT = 1000
 #: Deals at most. Each fixes about half of the bits left, so the last ones hold a few fingerprints.
 LEVELS = 5
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -190,23 +192,40 @@ def classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     return distinct.join(roots, "fp", "left").select(F.col("fp").alias("_sh_fp"), F.coalesce("root", "fp").alias("_sh_root"))
 
 
+def by_fingerprint(rows: DataFrame, values: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``values`` (one row a fingerprint), joined on ``_sh_fp``.
+
+    Fingerprints of one in ``HOT`` rows or more are at most ``HOT``: they are broadcast, and only the rows of rarer ones are shuffled.
+    """
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    hot = written(counts.where(F.col("rows") * HOT >= total).select("_sh_fp"), "simhash-hot")
+    common = rows.join(F.broadcast(values.join(F.broadcast(hot), "_sh_fp")), "_sh_fp")
+    rare = rows.join(F.broadcast(hot), "_sh_fp", "left_anti").join(values, "_sh_fp")
+    return common.unionByName(rare)
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``id, fingerprint (16 hex digits), component_id`` for every document."""
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     marked = written(fingerprints(narrow, shingle=shingle, keep=["id"]), "simhash")
-    first = marked.groupBy("_sh_fp").agg(F.min("id").alias("first")).join(classes(marked, radius), "_sh_fp")
+    first = marked.groupBy("_sh_fp").agg(F.min("id").alias("first"), F.count("*").alias("rows")).join(classes(marked, radius), "_sh_fp")
     named = written(first, "simhash-groups")
     smallest = named.groupBy("_sh_root").agg(F.min("first").alias("component_id"))
-    by_fp = named.select("_sh_fp", "_sh_root").join(smallest, "_sh_root").select("_sh_fp", "component_id")
-    return marked.join(by_fp, "_sh_fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("_sh_fp")), 16, "0").alias("fingerprint"), "component_id")
+    values = written(named.select("_sh_fp", "_sh_root").join(smallest, "_sh_root").select("_sh_fp", "component_id"), "simhash-components")
+    found = by_fingerprint(marked, values, named)
+    return found.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("_sh_fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that have the smallest id of their group, one a group, nulls last."""
-    numbered = docs.withColumn("_sh_row", F.monotonically_increasing_id())
+    """The rows of ``docs`` that have the smallest id of their group, one a group, nulls last. Columns may have any name."""
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    own, text = names[id_col], names[text_col]
+    numbered = docs.toDF(*names.values()).withColumn("_sh_row", F.monotonically_increasing_id())
     # Written once: the numbers and fingerprints stay with their rows whatever is run again.
-    marked = written(fingerprints(numbered, text_col=text_col, shingle=shingle, keep=numbered.columns), "simhash-rows")
-    narrow = marked.select(F.col(id_col).alias("_sh_id"), "_sh_row", "_sh_fp").join(classes(marked, radius), "_sh_fp")
-    least = F.min(F.struct(F.col("_sh_id").isNull(), F.col("_sh_id"), F.col("_sh_row").alias("row")))
-    kept = narrow.groupBy("_sh_root").agg(least.alias("least")).select(F.col("least.row").alias("_sh_row"))
-    return marked.join(kept, "_sh_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = written(fingerprints(numbered, text_col=text, shingle=shingle, keep=numbered.columns), "simhash-rows")
+    least = F.min(F.struct(F.col(own).isNull().alias("none"), F.col(own).alias("id"), F.col("_sh_row").alias("row")))
+    # The least row of a fingerprint first, which combines before the shuffle: a hot one is a single row from there on.
+    firsts = marked.groupBy("_sh_fp").agg(least.alias("least"))
+    groups = firsts.join(classes(marked, radius), "_sh_fp").groupBy("_sh_root").agg(F.min("least").alias("least"))
+    kept = groups.select(F.col("least.row").alias("_sh_row"))
+    return marked.join(kept, "_sh_row", "left_semi").select(*names.values()).toDF(*names)
