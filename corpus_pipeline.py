@@ -19,8 +19,10 @@ from tidemark.session import scratch
 MIN_QUALITY = 0.7
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns named by number, and the number's name of each column: what a stage adds meets no column of theirs."""
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
     if not model.learnt:
         return docs
-    return quality_fm.score(docs, model).where(F.col("_fm_score") >= MIN_QUALITY).select(*_columns(docs))
+    numbered, names = _apart(docs)
+    scored = quality_fm.score(numbered, model, text_col=names["text"], meta_col=names["n_chars"])
+    return scored.where(F.col("_fm_score") >= MIN_QUALITY).select(*names.values()).toDF(*names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +46,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents without passages of benchmark items."""
     prepare(spark)
     found = written(decontamination.matches(docs, table(spark, sf_dir, "benchmark")).select("id", "key").distinct(), "contaminated")
-    keyed = docs.withColumn("_dc_id", F.col("doc_id")).withColumn("_dc_key", F.xxhash64("text"))
-    bad = found.select(F.col("id").alias("_dc_other"), F.col("key").alias("_dc_key"))
-    return keyed.join(bad, (keyed["_dc_key"] == bad["_dc_key"]) & keyed["_dc_id"].eqNullSafe(bad["_dc_other"]), "left_anti").select(*_columns(docs))
+    numbered, names = _apart(docs)
+    own, key = F.col(names["doc_id"]), F.xxhash64(F.col(names["text"]).cast("string"))
+    left = numbered.join(found, (key == F.col("key")) & own.eqNullSafe(F.col("id")), "left_anti")
+    return left.toDF(*names)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +58,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document that the mix takes in part is whole here if at least half of it is taken, and left out if not.
     """
     prepare(spark)
-    sized = docs.withColumn("_mix_n", mixing.size_of(F.col("text")))
-    copies = mixing.assign(sized, size_col="_mix_n").withColumn("_mix_copy", F.explode("_mix.copies"))
-    whole = copies.where(F.col("_mix_copy.words") * 2 >= F.col("_mix_n")).withColumn("_mix_position", F.col("_mix_copy.position"))
-    return mixing.scheduled(whole, "_mix_position").select(*_columns(docs))
+    numbered, names = _apart(docs)
+    sized = numbered.withColumn("size", mixing.size_of(F.col(names["text"])))
+    copies = mixing.assign(sized, id_col=names["doc_id"], source_col=names["source"]).withColumn("copy", F.explode("_mix.copies"))
+    whole = copies.where(F.col("copy.words") * 2 >= F.col("size")).withColumn("position", F.col("copy.position"))
+    return mixing.scheduled(whole, "position", id_col=names["doc_id"]).select(*names.values()).toDF(*names)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
