@@ -20,7 +20,7 @@ ROWS = [
     (-6, "\x00   \U0001f600 é", "en", "c", 7),
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHES = ["id", "key", "size", "score", "fp", "path", "host", "words", "n", "copies", "target", "taken", "_row", "part", "file", "position", "meta", "held_out", "a.b", "y"]
+CLASHES = ["id", "key", "size", "score", "fp", "path", "host", "words", "n", "copies", "target", "taken", "_row", "part", "file", "position", "meta", "held_out", "a.b", "y", "_sh_row", "_sh_fp", "_mix", "_mix_n", "_mix_copy", "_mix_position", "_dc_id", "_dc_key", "_fm_score", "c0", "copy"]
 
 
 def with_clashes(df):

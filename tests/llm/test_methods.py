@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from test_queries import strict_spans
 from tidemark.llm import decontamination, html_wrapper, lm_scoring, mixing, pii, quality_fm, quality_rules, simhash, tokens, url_filter
@@ -466,3 +467,147 @@ def test_copies_of_a_page_are_no_template(spark):
 def test_hostile_pages_end():
     for page in ("<div>" * 20_000 + "x", '<a title="' * 20_000, "<div>a<p>b" * 5_000, "<" * 50_000, "<b><i>" * 10_000 + "x"):
         html_wrapper.Tree.of(html_wrapper.skeleton(html_wrapper.blocks(page)))
+
+
+def stripped(page):
+    """A page without class names, and with plain divisions for its article."""
+    page = re.sub(r'\s(?:class|id|role)="[^"]*"', "", page)
+    return re.sub(r"<(/?)(?:article|main|section)\b", r"<\1div", page)
+
+
+def test_the_wrapper_needs_no_names(spark):
+    """On hosts with a wrapper, content is found by what varies at aligned nodes: the same texts come out without class names and article tags."""
+    import duckdb
+
+    folder = "/root/testdata/sf0.01"
+    rows = duckdb.execute(f"SELECT page_id, url, html FROM '{folder}/pages.parquet'").fetchall()
+    # One host for every so many pages, so that each has a wrapper.
+    rows = [(i, f"https://host{i % 8}.com/{i}", h) for i, _, h in rows]
+    kinds = "page_id long, url string, html string"
+    named = {r["page_id"]: r["text"] for r in html_wrapper.extract(spark.createDataFrame(rows, kinds)).collect()}
+    bare_rows = [(i, u, stripped(h)) for i, u, h in rows]
+    bare = {r["page_id"]: r["text"] for r in html_wrapper.extract(spark.createDataFrame(bare_rows, kinds)).collect()}
+    assert bare == named
+    # Without a wrapper, the names are missed.
+    alone = {i: html_wrapper.main_text(html_wrapper.blocks(h), set()) for i, _, h in bare_rows}
+    assert sum(alone[i] != named[i] for i in named) > 0.9 * len(named)
+
+
+def test_headlines_beside_the_body_are_content(spark):
+    """The content slot is not narrowed to the part with most text where a varying heading would be lost."""
+    rows = []
+    for k in range(12):
+        body = "".join(f"<p>Sentence {j} of story {k} goes on and on for a while</p>" for j in range(9))
+        page = f"<div><div>Old news {k}</div><div><h2>Title {k}</h2><div><div>{body}</div></div></div><div><span>You may like {k}</span></div></div>"
+        rows.append((k, f"https://x.com/{k}", page))
+    got = {r["page_id"]: r["text"] for r in html_wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(12):
+        assert got[k] == f"Title {k} " + " ".join(f"Sentence {j} of story {k} goes on and on for a while" for j in range(9))
+
+
+def test_content_slot_by_hand():
+    part, text, heading = html_wrapper.PART, html_wrapper.TEXT, html_wrapper.HEADING
+    assert html_wrapper.content_slot([]) == 0
+    # root 0 - 1 (menu), 2 (main) - 3 (body) - 4 (paragraphs)
+    found = [(0, 0, 0, 0), (1, 0, part, 30), (2, 0, part, 0), (3, 2, part, 0), (4, 3, text, 300)]
+    assert html_wrapper.content_slot(found) == 3
+    assert html_wrapper.content_slot([*found, (5, 2, heading, 9)]) == 2
+    assert html_wrapper.content_slot([*found, (5, 2, text, 200)]) == 2
+    assert html_wrapper.content_slot([(0, 0, 0, 0), (1, 0, part, 100), (2, 0, part, 100)]) == 0
+
+
+# --- token ids of words that change their length
+
+
+def special_letters():
+    """Code points whose lower case or normal form is longer than one character, or that join with marks."""
+    import unicodedata
+
+    points = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    return [c for c in points if len(c.lower()) > 1 or any(len(unicodedata.normalize(f, c)) > 1 for f in ("NFC", "NFKC", "NFD"))]
+
+
+def test_words_that_gain_marks_get_the_tokenizers_ids():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = tokens.WordEncoder(path)
+    rng, special = random.Random(8), special_letters()
+    assert "İ" in special
+    batch = ["İ!", "TEKLİFİ, ÖNERİ", "İ", "İİ...", "x İ", "ſt ﬁn!", "e\u0301!", "\u0301", "\u0301!"]
+    for _ in range(4000):
+        word = lambda: "".join(rng.choice(special) if rng.random() < 0.4 else rng.choice("aZé1'.!,-\u0301\u0307ß") for _ in range(rng.randint(1, 5)))
+        batch.append(" ".join(word() for _ in range(rng.randint(1, 4))))
+    got = encoder(batch)
+    wanted = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in batch]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == wanted
+    # Again, when all words are known.
+    assert encoder(batch) == got
+
+
+def test_ids_that_are_no_numbers_are_null(spark, tmp_path):
+    import public_tokenizers
+
+    docs = spark.createDataFrame([("7", "a b"), ("x1", "c"), (None, "d"), ("12", None)], "doc_id string, text string")
+    tokens.write(docs, str(tmp_path / "t"), public_tokenizers.path("word_bpe_49k.json"))
+    rows = tokens.digests(tokens.spans(spark, str(tmp_path / "t"))).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in rows)[0] == ("12", 1) and sum(r["doc_id"] is None for r in rows) == 2
+
+
+# --- personal data in long texts
+
+
+def test_overlaps_equal_the_plain_version():
+    rng = random.Random(4)
+    for _ in range(300):
+        spans = lambda n: [(a, a + rng.randint(1, 9), rng.randrange(4)) for a in (rng.randrange(60) for _ in range(n))]
+        base, loose = sorted(spans(rng.randrange(6)), key=lambda s: (s[0], s[2])), spans(rng.randrange(12))
+        wanted = []
+        for s in sorted(loose, key=lambda s: (s[0], s[2])):
+            if not any(s[0] < b and a < s[1] for a, b, _ in [*base, *wanted]):
+                wanted.append(s)
+        assert pii.apart(loose, base) == wanted
+
+
+def test_two_megabytes_of_addresses_and_numbers():
+    import time
+
+    text = "192.168.10.7 (415) 555-2671 " * (2_000_000 // 28)
+    began = time.time()
+    base = pii.base_spans(text)
+    more = pii.apart(pii.loose_spans(text), base)
+    assert len(base) > 70_000 and len(more) > 70_000 and time.time() - began < 15
+
+
+# --- groups with a hot fingerprint
+
+
+def test_hot_fingerprints_are_joined_like_others(spark, monkeypatch):
+    rows = [(k, "the same words again and again") for k in range(500)] + [(1000 + k, f"words of text {k} alone {k * k}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
+    monkeypatch.setattr(simhash, "HOT", 10)
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()} == want
+    assert len(want) == 560 and {want[k][1] for k in range(500)} == {0}
+
+
+def test_clashing_names_stay(spark):
+    names = ["_sh_fp", "_sh_row", "_sh_text", "_sh_root", "a.b", "fp"]
+    docs = spark.createDataFrame([(2, "one two three four"), (1, "one two three four"), (3, "else")], "doc_id long, text string").select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, "one two three four", *range(6)), (3, "else", *range(6))]
+
+
+def test_numbers_swallowed_by_a_strict_match_are_candidates():
+    text = "call +1 (826) 555-4081 4111 1111 1111 1111 12 now, or +49 30 1234567 and 4111 1111 1111 1112"
+    assert pii.base_spans("call +1 (826) 555-4081 4111 1111 1111 1111 12") == []
+    found = {(text[a:b], k) for a, b, k in pii.apart(pii.loose_spans(text), pii.base_spans(text))}
+    assert ("+1 (826) 555-4081", 3) in found
+    assert ("4111 1111 1111 1111", 2) in {(text[a:b], k) for a, b, k in pii.loose_spans(text)}
+    assert pii.base_spans(text) == [(text.index("+49"), text.index("+49") + 14, 3)]
+
+
+def test_spans_are_counted(spark):
+    found = spark.createDataFrame([(1, "", ""), (2, "email:0:5", "email:0:5,phone:7:20")], "doc_id long, base string, spans string")
+    assert {r["doc_id"]: (r["n_email"], r["n_spans"]) for r in pii.digests(found).collect()} == {1: (0, 0), 2: (1, 2)}

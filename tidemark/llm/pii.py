@@ -3,7 +3,7 @@ far each can be trusted, and a span classifier trained on the result decides.
 
 Strict patterns give the base spans, which always stay. Looser patterns propose more candidates: emails
 written with "at" and "dot", addresses with bracketed dots, card numbers with other separators, phone
-numbers without a plus sign. Five labelers look at every candidate, base ones included: its format, its
+numbers without a plus sign, and cards and phones that a strict pattern swallowed together with a number behind them. Five labelers look at every candidate, base ones included: its format, its
 check digits or ranges, a gazetteer (domain endings, card issuers, first octets, area codes), the words
 before it, and the characters beside it. They vote yes, no or nothing.
 
@@ -48,6 +48,9 @@ _DIGIT = re.compile(r"[0-9]")
 _AT_DOT = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?: at |\s?[\[({]at[\])}]\s?|@)[A-Za-z0-9-]{1,63}(?:(?: dot |\s?[\[({](?:dot|\.)[\])}]\s?|\.)[A-Za-z0-9-]{1,63})+", re.I)
 _IP_BRACKETS = re.compile(r"(?<![0-9])[0-9]{1,3}(?:[\[(]\.[\])][0-9]{1,3}){3}(?![0-9])")
 _CARD_LOOSE = re.compile(r"(?<![0-9])[0-9]{4}(?:[./_ –][0-9]{4}){2}[./_ –][0-9]{1,7}(?![0-9])")
+#: What a strict match may have swallowed together with the number behind it, and failed for.
+_CARD_GROUPS = re.compile(r"(?<![0-9])(?=([0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4})(?![0-9]))")
+_PHONE_PREFIX = re.compile(r"\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])")
 _PHONE_LOOSE = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9+])00[1-9][0-9 ().-]{6,20}[0-9](?![0-9])")
 
 # Gazetteers and cue words.
@@ -120,9 +123,13 @@ def loose_spans(text: str) -> list[Span]:
         out += [(m.start(), m.end(), 0) for m in _AT_DOT.finditer(text)]
         out += [(m.start(), m.end(), 1) for m in _IP_BRACKETS.finditer(text)]
     if _DIGIT.search(text):
+        # Of spans with one start, the first in the list is kept.
+        out += [(m.start(1), m.end(1), 2) for m in _CARD_GROUPS.finditer(text) if luhn(_digits(m.group(1)))]
         out += [(m.start(), m.end(), 2) for m in _CARD_LOOSE.finditer(text)]
         # Numbers of a card's length that fail its check, so that the labelers see both outcomes.
         out += [(m.start(), m.end(), 2) for m in _CARD.finditer(text) if m.end() - m.start() >= 12 and 12 <= len(_digits(m.group())) <= 19]
+        if "+" in text:
+            out += [(m.start(), m.end(), 3) for m in _PHONE_PREFIX.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
         out += [(m.start(), m.end(), 3) for m in _PHONE_LOOSE.finditer(text)]
     return out
 
@@ -160,8 +167,26 @@ def pattern(text: str, span: Span, strict: bool) -> str:
     return f"{kind}{form}{check}{gazetteer}{context}{neighbours}{groups}{int(' ' in inside)}"
 
 
-def _overlaps(span: Span, others: list[Span]) -> bool:
-    return any(span[0] < b and a < span[1] for a, b, _ in others)
+def apart(spans: list[Span], base: list[Span]) -> list[Span]:
+    """``spans`` in order of start, then kind, without those that meet a base span or one taken before; base spans are sorted by start.
+
+    Both lists are gone through once: a place only moves on in the base spans, joined where they meet.
+    """
+    joined_: list[list[int]] = []
+    for a, b, _ in base:
+        if joined_ and a < joined_[-1][1]:
+            joined_[-1][1] = max(joined_[-1][1], b)
+        else:
+            joined_.append([a, b])
+    out: list[Span] = []
+    k = end = 0
+    for s in sorted(spans, key=lambda s: (s[0], s[2])):
+        while k < len(joined_) and joined_[k][1] <= s[0]:
+            k += 1
+        if s[0] >= end and (k == len(joined_) or joined_[k][0] >= s[1]):
+            out.append(s)
+            end = s[1]
+    return out
 
 
 class SpanModel:
@@ -240,11 +265,7 @@ def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         for text in texts(b["text"]):
             base = base_spans(text)
             own = [(s, pattern(text, s, True)) for s in base]
-            more: list[Span] = []
-            for s in sorted(loose_spans(text), key=lambda s: (s[0], s[2])):
-                if not _overlaps(s, base) and not _overlaps(s, more[-1:]):
-                    more.append(s)
-                    own.append((s, pattern(text, s, False)))
+            own += [(s, pattern(text, s, False)) for s in apart(loose_spans(text), base)]
             found.append((joined(base), [p for _, p in own], [f"{a}:{e}:{k}" for (a, e, k), _ in own]))
         base, patterns, spans = zip(*found, strict=True) if found else ((), (), ())
         return pa.RecordBatch.from_arrays([b["id"], pa.array(base, pa.string()), pa.array(patterns, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.string()))], names=["id", "base", "patterns", "spans"])
@@ -272,14 +293,15 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """Counts and the hash of the base spans beside all spans."""
+    """Counts and the hash of the base spans beside all spans and their number."""
     def count(kind: str):
         # The filter's function gets one argument; a second one would be the index.
         return F.size(F.filter(F.split("base", ","), lambda s: s.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")
 
     counts = [count(k) for k in KINDS]
+    number = F.when(F.col("spans") == "", 0).otherwise(F.size(F.split("spans", ","))).cast("long").alias("n_spans")
     ids = [c for c in found.columns if c not in ("base", "spans")]
-    return found.select(*ids, *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+    return found.select(*ids, *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", number)
 
 
 def sha256(text: str) -> str:
