@@ -72,6 +72,15 @@ def test_poisson_recovers_a_log_linear_mean(spark):
     assert models.regression_metrics(rows, "v", "prediction").first().r2 > 0.98
 
 
+def test_search_for_the_number_of_clusters(spark):
+    rows = [(float(10 * (i % 3)) + 0.1 * (i % 7), float(10 * (i % 3)) - 0.1 * (i % 5)) for i in range(90)]
+    vectors = models.as_vectors(spark.createDataFrame(rows, "x double, y double"), ["x", "y"])
+    found = {r.k: r for r in models.k_search(vectors, (2, 3, 4), starts=4).collect()}
+    assert found[2].inertia > found[3].inertia > found[4].inertia
+    assert max(found, key=lambda k: found[k].silhouette) == 3 and found[3].smallest_cluster == 30
+    assert models.assign_clusters(vectors, 3, starts=2).select("raw_cluster").distinct().count() == 3
+
+
 def counts_with_a_bend(spark):
     """Counts whose logarithm is not linear in the features."""
     df = spark.range(3000).select((F.col("id") % 10).cast("double").alias("x"), (F.floor(F.col("id") / 10) % 10).cast("double").alias("z"))

@@ -51,22 +51,24 @@ MINUTE_HORIZON, HOUR_HORIZON, TRIP_HORIZON = "1 day", "2 days", "10 minutes"
 
 
 @contextmanager
-def _state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+def _settings(spark: SparkSession, partitions: int | None) -> Iterator[None]:
     """A query copies the session's settings when it starts, so they need to stand only then."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, STATE_PROVIDER)
+    wanted = {"spark.sql.streaming.stateStore.providerClass": STATE_PROVIDER} | ({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def _start(spark: SparkSession, writer, checkpoint: str, name: str, every: str | None):
-    """``every=None`` processes what is there and stops."""
+def _start(spark: SparkSession, writer, checkpoint: str, name: str, every: str | None, partitions: int | None = None):
+    """``every=None`` processes what is there and stops. ``partitions`` of the state are fixed by the first start."""
     writer = writer.queryName(name).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    with _state_in_rocksdb(spark):
+    with _settings(spark, partitions):
         return writer.start()
 
 
@@ -222,11 +224,11 @@ def arrival_documents(reached: DataFrame, stops: DataFrame) -> DataFrame:
     return last_per_key(documents, ["arrival_id"], ["offset", "pos"]).join(stops.select("stop_id", "stop_name"), "stop_id", "left")
 
 
-def start_arrivals(stream: DataFrame, store: BatchStore, stops: DataFrame, checkpoint: str, every: str | None = "30 seconds", live_seconds: int = records.STATE_SECONDS):
+def start_arrivals(stream: DataFrame, store: BatchStore, stops: DataFrame, checkpoint: str, every: str | None = "30 seconds", live_seconds: int = records.STATE_SECONDS, partitions: int | None = None):
     """``arrivals`` of the store; a batch that runs again writes the same documents to the same folder."""
     reached = reached_stops(stream, live_seconds)
     writer = reached.writeStream.outputMode("append").foreachBatch(lambda df, batch_id: store.write("arrivals", batch_id, arrival_documents(df, _on(df, stops))))
-    return _start(store.spark, writer, checkpoint, "arrivals", every)
+    return _start(store.spark, writer, checkpoint, "arrivals", every, partitions)
 
 
 def _on(batch: DataFrame, static: DataFrame) -> DataFrame:
@@ -266,11 +268,11 @@ def hour_totals(stream: DataFrame, horizon: str = HOUR_HORIZON) -> DataFrame:
 TOTALS = {"minutes": (minute_totals, records.MINUTE_KEYS), "hours": (hour_totals, records.HOUR_KEYS)}
 
 
-def start_totals(name: str, stream: DataFrame, store: BatchStore, checkpoint: str, every: str | None = "30 seconds"):
+def start_totals(name: str, stream: DataFrame, store: BatchStore, checkpoint: str, every: str | None = "30 seconds", partitions: int | None = None):
     """``minutes`` or ``hours`` of the store: the keys a batch touched, each with its whole total so far."""
     totals, _ = TOTALS[name]
     writer = totals(stream).writeStream.outputMode("update").foreachBatch(lambda df, batch_id: store.write(name, batch_id, df))
-    return _start(store.spark, writer, checkpoint, name, every)
+    return _start(store.spark, writer, checkpoint, name, every, partitions)
 
 
 def _rows(store: BatchStore, name: str, upto: int | None = None) -> DataFrame:

@@ -350,6 +350,8 @@ def _(spark, sf):
 
 #: Files the events are landed in, files of one micro-batch, and files that are there before the queries stop and start again.
 FILES, PER_BATCH, BEFORE_RESTART = 20, 5, 10
+#: Partitions of the state; the trips of the events are few.
+STATE_PARTITIONS = 4
 _FILE = f"event_id * {FILES} // ((SELECT max(event_id) FROM events) + 1)"
 
 
@@ -383,9 +385,9 @@ def run_stream(spark, sf, *queries: str) -> microbatch.BatchStore:
             for name in queries:
                 facts = keyed.fact_stream(spark, store.path)
                 if name == "arrivals":
-                    query = keyed.start_arrivals(facts, store, plan.stops, f"{root}/{name}", every=None)
+                    query = keyed.start_arrivals(facts, store, plan.stops, f"{root}/{name}", every=None, partitions=STATE_PARTITIONS)
                 else:
-                    query = keyed.start_totals(name, facts, store, f"{root}/{name}", every=None)
+                    query = keyed.start_totals(name, facts, store, f"{root}/{name}", every=None, partitions=STATE_PARTITIONS)
                 query.awaitTermination()
     return store
 
