@@ -24,7 +24,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress, permutations, repeat
+from itertools import chain, compress, permutations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,12 +35,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import BATCH_ROWS, written
 
 #: Words in the dictionary's head at most, and bytes of each at most.
-HEAD, HEAD_BYTES = 1_000_000, 24
+HEAD, HEAD_BYTES = 2_000_000, 16
 #: Different words that a task counts before it hands them on, documents of a shard of the head at most, entries of a shard of the tail.
 COUNTED, SHARD_ROWS, SHARD_ENTRIES = 500_000, 1 << 16, 1_000_000
 FILTERS = "ABCDE"
 
-_UPPER, _MARKS = bytes(range(0x41, 0x5B)), b"#$%&*|"
+#: Bytes of A to Z, and those that continue a code point.
+_UPPER, _CONTINUED, _MARKS = bytes(range(0x41, 0x5B)), bytes(range(0x80, 0xC0)), b"#$%&*|"
 _SHARD = "shard long, indptr array<int>, indices array<int>, data array<int>"
 _DOCS = "docs array<struct<row long, doc_id {id}, part string, digest binary, c boolean, d boolean>>"
 _REST = "rest array<struct<row long, word binary, n int>>"
@@ -98,6 +99,12 @@ def frequent_words(docs: DataFrame, *, text_col: str = "text", head_words: int =
     return common.orderBy(F.desc("n"), "word").select("word").toArrow()["word"].to_pylist()
 
 
+def _flags(text: bytes) -> tuple[bytes, bool, bool]:
+    """Digest of a text, and whether it fails C and D."""
+    points, upper = len(text.translate(None, _CONTINUED)), len(text) - len(text.translate(None, _UPPER))
+    return hashlib.sha256(text).digest(), 100 * upper > 3 * points, any(m in text for m in _MARKS)
+
+
 def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", head_words: int = HEAD) -> Matrix:
     """The matrix of all documents, written to the shared folder."""
     spark = docs.sparkSession
@@ -115,33 +122,24 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
                 b = whole.slice(at, SHARD_ROWS)
                 shard = partition << 24 | k
                 k += 1
-                indices, data, sizes, rest, others, left, flags = [], [], [0], [], [], [], []
-                for place, text in enumerate(b["text"]):
-                    text = text.as_py()
-                    counts = Counter(text.split())
-                    ids = np.fromiter(map(get, counts, repeat(-1)), np.int64, len(counts))
-                    n = np.fromiter(counts.values(), np.int32, len(counts))
-                    inside = np.flatnonzero(ids >= 0)
-                    inside = inside[np.argsort(ids[inside])]
-                    indices.append(ids[inside])
-                    data.append(n[inside])
-                    sizes.append(len(inside))
-                    if len(inside) < len(ids):
-                        outside = ids < 0
-                        rest += compress(counts, outside)
-                        others.append(n[outside])
-                        left.append((place, len(ids) - len(inside)))
-                    points = int(np.count_nonzero((np.frombuffer(text, np.uint8) & 0xC0) != 0x80))
-                    upper = len(text) - len(text.translate(None, _UPPER))
-                    flags.append((hashlib.sha256(text).digest(), 100 * upper > 3 * points, len(text.translate(None, _MARKS)) < len(text)))
+                raw = [text.as_py() for text in b["text"]]
+                counts = [Counter(text.split()) for text in raw]
+                listed = list(chain.from_iterable(counts))
+                ids = np.fromiter(map(get, listed, repeat(-1)), np.int64, len(listed))
+                n = np.fromiter(chain.from_iterable(c.values() for c in counts), np.int32, len(listed))
+                place = np.repeat(np.arange(b.num_rows), [len(c) for c in counts])
+                inside = ids >= 0
+                # In order of the documents, then of the columns.
+                order = np.argsort(place[inside] << 32 | ids[inside])
+                indptr = np.concatenate([[0], np.cumsum(np.bincount(place[inside], minlength=b.num_rows))])
+                csr = [indptr.astype(np.int32), ids[inside][order].astype(np.int32), n[inside][order]]
+                first, outside = shard * SHARD_ROWS, ~inside
+                flags = [_flags(text) for text in raw]
                 digest, c, d = zip(*flags, strict=True)
-                first = shard * SHARD_ROWS
                 structs = pa.StructArray.from_arrays(
                     [pa.array(first + np.arange(b.num_rows)), b["doc_id"], b["part"], pa.array(digest, pa.binary()), pa.array(c), pa.array(d)], ["row", "doc_id", "part", "digest", "c", "d"]
                 )
-                places = np.repeat(np.array([p for p, _ in left], np.int64), np.array([m for _, m in left], np.int64))
-                tail = pa.StructArray.from_arrays([pa.array(first + places), pa.array(rest, pa.binary()), pa.array(np.concatenate([np.zeros(0, np.int32), *others]))], ["row", "word", "n"])
-                csr = [np.cumsum(sizes).astype(np.int32), np.concatenate(indices).astype(np.int32), np.concatenate(data)]
+                tail = pa.StructArray.from_arrays([pa.array(first + place[outside]), pa.array(list(compress(listed, outside)), pa.binary()), pa.array(n[outside])], ["row", "word", "n"])
                 yield pa.RecordBatch.from_arrays([pa.array([shard]), *map(_one, csr), _one(structs), _one(tail)], names=["shard", "indptr", "indices", "data", "docs", "rest"])
 
     made = written(rows.mapInArrow(shards, f"{_SHARD}, {_DOCS.format(id=kind.simpleString())}, {_REST}"), "audit-shards", "zstd")
