@@ -6,8 +6,8 @@ opens the files: a filter on ``doc_id`` skips stripes and row groups by their in
 and stripes are read in parallel. ``spans`` adds the start of every document in the whole token stream.
 
 Null and empty texts are one end id. Null ids come first; rows with the same id stand beside each other,
-equal texts with equal results; an empty table gives empty files. Only the id and the text are read, so
-other columns may have any name.
+equal texts with equal results; an empty table gives empty files. Ids are whole numbers: what can't be read as one is
+a null id. Only the id and the text are read, so other columns may have any name.
 
 Texts are cut at ASCII white space before encoding. The tokenizer drops white space and never joins
 across it, so the ids are those of the whole text; words met before come from a bounded cache.
@@ -19,6 +19,8 @@ import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
+from operator import add, not_
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from tidemark.llm.common import map_rows, written
 
 END_ID = 1
 #: Words, and pieces of words, that one Python worker remembers; beyond it only short ones stay.
-CACHED_WORDS, CACHED_PIECES = 300_000, 700_000
+CACHED_WORDS, CACHED_PIECES = 1_200_000, 1_200_000
 #: Documents of one row index entry, bytes of one stripe.
 INDEX_STRIDE, STRIPE_BYTES = 1000, 16 << 20
 #: Special token of the vocabulary put between words that are encoded together.
@@ -52,6 +54,8 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        #: Letters that stay letters when they are normalised; as many as the texts have.
+        self.letters: set[str] = set()
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {b"": b""}
 
@@ -80,34 +84,46 @@ class WordEncoder:
         raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
         return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
+    def _letters_only(self, core: str) -> bool:
+        """Whether a word of letters is letters alone once it is normalised; one that gains a mark belongs together with what follows.
+
+        Letters are looked at one by one, as they only join with each other to other letters.
+        """
+        new = set(core).difference(self.letters)
+        if new and core.isalpha():
+            normalizer = self.tokenizer.normalizer
+            self.letters.update(c for c in new if (normalizer.normalize_str(c) if normalizer else c).isalpha())
+            return self.letters.issuperset(new)
+        return not new
+
     def _learn(self, words: list[bytes]) -> None:
         """The tokenizer splits a word between letters and marks, so both are remembered for themselves."""
-        split, odd, cores, tails = [], [], set(), set()
-        for w in words:
-            core = w.rstrip(_MARKS)
-            if core.isalpha():
-                core, tail = core.lower(), w[len(core) :]
-            elif core.decode().isalpha():
-                tail = w[len(core) :]
-            else:
-                odd.append(w)
-                continue
-            split.append((w, core, tail))
-            cores.add(core)
-            tails.add(tail)
+        cores = [w.rstrip(_MARKS) for w in words]
+        plain = [c.isalpha() for c in cores]
+        other = [k for k, p in enumerate(plain) if not p]
+        for k in other:
+            plain[k] = bool(cores[k]) and self._letters_only(cores[k].decode())
+        odd = [words[k] for k in other if not plain[k]]
+        if odd:
+            words, cores = list(compress(words, plain)), list(compress(cores, plain))
+        tails = [w[len(c) :] for w, c in zip(words, cores, strict=True)]
+        # Lower case is for ASCII alone here; other letters keep theirs.
+        cores = [c.lower() if c.isalpha() else c for c in cores]
         for learn, some in ((self._letters, cores), (self._apart, tails)):
-            new = list(some.difference(self.pieces))
+            new = list(set(some).difference(self.pieces))
             for at in range(0, len(new), 2000):
                 self.pieces.update(zip(new[at : at + 2000], learn(new[at : at + 2000]), strict=True))
-        for w, core, tail in split:
-            self.known[w] = self.pieces[core] + self.pieces[tail]
+        get = self.pieces.__getitem__
+        self.known.update(zip(words, map(add, map(get, cores), map(get, tails)), strict=True))
         for at in range(0, len(odd), 2000):
             self.known.update(zip(odd[at : at + 2000], self._apart(odd[at : at + 2000]), strict=True))
 
-    def __call__(self, batch: list[str]) -> list[bytes]:
+    def __call__(self, batch: list[str] | list[bytes]) -> list[bytes]:
+        """Ids of each text, given as such or as UTF-8."""
+        raw = [t.encode() if isinstance(t, str) else t for t in batch]
         if not self.by_word:
-            return [ids.tobytes() for ids in self._encode(batch)]
-        split = [t.encode().split() for t in batch]
+            return [ids.tobytes() for ids in self._encode([t.decode() for t in raw])]
+        split = [t.split() for t in raw]
         # Short words come again most; the others are put together from their pieces.
         if len(self.known) > CACHED_WORDS:
             self.known = {w: ids for w, ids in self.known.items() if len(w) < 8}
@@ -115,11 +131,16 @@ class WordEncoder:
             self.pieces = {w: ids for w, ids in self.pieces.items() if len(w) < 8}
         if len(self.known) > CACHED_WORDS or len(self.pieces) > CACHED_PIECES:
             self.known, self.pieces = {}, {b"": b""}
-        new = set().union(*split).difference(self.known)
+        get = self.known.get
+        found = [list(map(get, words)) for words in split]
+        missed = [k for k, ids in enumerate(found) if None in ids]
+        new = set().union(*(compress(split[k], map(not_, found[k])) for k in missed)).difference(self.known)
         if new:
             self._learn(list(new))
         get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        for k in missed:
+            found[k] = map(get, split[k])
+        return [b"".join(ids) for ids in found]
 
 
 @lru_cache(maxsize=2)
@@ -130,7 +151,7 @@ def encoder(path: str) -> WordEncoder:
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> None:
     """Encode ``docs`` and write the ORC files below ``path`` in ascending order of ids."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").try_cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # Equal ids are ordered by a hash of the text, never by the text itself.
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
@@ -139,7 +160,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = 0
         for b in batches:
-            ids = [x + end for x in encoder(tokenizer_path)([t or "" for t in b["text"].to_pylist()])]
+            ids = [x + end for x in encoder(tokenizer_path)([t or b"" for t in b["text"].cast(pa.binary()).to_pylist()])]
             n = np.array([len(x) // 4 for x in ids], np.int64)
             ends = np.cumsum(n)
             values = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
@@ -153,7 +174,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.row.index.stride", str(INDEX_STRIDE))
         .option("orc.stripe.size", str(STRIPE_BYTES))
-        .option("compression", "zlib")
+        .option("compression", "zstd")
         .orc(path)
     )
 
