@@ -425,6 +425,17 @@ def test_state_lives_for_two_hours_after_the_trip_was_seen(spark, schedule, tmp_
     assert rows[-1].state_rows < max(r.state_rows for r in rows)
 
 
+def test_state_that_stays_loses_no_arrival(spark, schedule, tmp_path):
+    """The same train after six hours and, in a batch of its own, a feed far behind: both arrivals are there."""
+    hour, names = 3600, [c.split()[0] for c in keyed.FACTS.split(", ")]
+    for i, (trip_id, t) in enumerate([("a", 0), ("b", 0), ("a", 6 * hour), ("b", hour)]):
+        row = dict.fromkeys(names) | {"kind": "observation", "feed": trip_id, "feed_time": T0 + t, "offset": i, "pos": 0, "at": dt.datetime.fromtimestamp(T0 + t), "trip_id": trip_id, "stop_id": f"{200 + i}N", "predicted": T0 + t}
+        keyed.publish(spark.createDataFrame([tuple(row.values())], keyed.FACTS).coalesce(1), f"{tmp_path}/facts/batch_id={i:012d}")
+    store = microbatch.BatchStore(spark, str(tmp_path))
+    keyed.start_arrivals(keyed.fact_stream(spark, store.path, 1), store, schedule.stops, str(tmp_path / "cp"), every=None, live_seconds=None).awaitTermination()
+    assert sorted(r.stop_id for r in keyed.newest(store, "arrivals").collect()) == ["200N", "201N"]
+
+
 def test_two_rows_of_a_trip_in_one_batch_are_taken_in_order(spark, schedule, tmp_path):
     rows = [("f", T0 + 30 * i, [update([(f"{300 + i}N", T0 + 30 * i, None)])]) for i in range(6)]
     m = messages(spark, *rows)

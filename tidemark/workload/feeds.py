@@ -385,7 +385,7 @@ def run_stream(spark, sf, *queries: str) -> microbatch.BatchStore:
             for name in queries:
                 facts = keyed.fact_stream(spark, store.path)
                 if name == "arrivals":
-                    query = keyed.start_arrivals(facts, store, plan.stops, f"{root}/{name}", every=None, partitions=STATE_PARTITIONS)
+                    query = keyed.start_arrivals(facts, store, plan.stops, f"{root}/{name}", every=None, live_seconds=None, partitions=STATE_PARTITIONS)
                 else:
                     query = keyed.start_totals(name, facts, store, f"{root}/{name}", every=None, partitions=STATE_PARTITIONS)
                 query.awaitTermination()
@@ -402,11 +402,7 @@ def _(spark, sf):
     return local(keyed.newest(run_stream(spark, sf, "hours"), "hours"))
 
 
-# A trip's state lives for two hours after it was last seen.
-_LIVE = _ARRIVALS.replace("AS prev_delay FROM", "AS prev_delay, lag(feed_time) OVER w AS prev_seen FROM").replace("<= feed_time + 60)", "<= feed_time + 60 AND feed_time - prev_seen <= 7200)")
-
-
-@query("stream_arrivals", "T08 T14 S17", f"{DELAYED}, {_LIVE} SELECT * FROM arrivals")
+@query("stream_arrivals", "T08 T14 S17", f"{DELAYED}, {_ARRIVALS} SELECT * FROM arrivals")
 def _(spark, sf):
     return local(keyed.newest(run_stream(spark, sf, "arrivals"), "arrivals").drop("start_date"))
 
