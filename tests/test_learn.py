@@ -140,3 +140,14 @@ def test_registry_keeps_five_and_one_current(spark, tmp_path):
     assert r.models().where("name = 'other' AND is_current").count() == 1
     assert len(list((tmp_path / "models").iterdir())) == KEPT + 1
     assert r.current("m").transform is not None and r.current("none") is None
+
+
+def test_the_grid_is_not_moved_after_it_is_opened(spark, hourly):
+    rows = features.feature_table(hourly, "e", "ts", "v", "2025-03-20")
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("Generate inline")[0]
+    assert "Window" in plan and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    at = {(r.e, r.ts): r for r in rows.collect()}
+    assert len(at) == 2 * 719
+    want = features.weekday_lookup(rows.where("ts < '2025-03-20'").drop("profile_mean", "profile_log"), "e", "v").collect()
+    got = {(r.e, r.dow, r.hour): (r.profile_mean, r.profile_log) for r in at.values()}
+    assert got == {(r.e, r.dow, r.hour): (pytest.approx(r.profile_mean), pytest.approx(r.profile_log)) for r in want}
