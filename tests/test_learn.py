@@ -3,6 +3,10 @@ import math
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from tidemark.learn import features, models
@@ -142,6 +146,36 @@ def test_registry_keeps_five_and_one_current(spark, tmp_path):
     assert r.current("m").transform is not None and r.current("none") is None
 
 
+def test_trees_over_cells_are_those_over_rows(spark):
+    """Rows of equal bins are one weighted row; Spark's own trees over the rows predict the same."""
+    made = spark.range(3000).withColumns({"x": (F.col("id") % 10).cast("double"), "z": (F.floor(F.col("id") / 10) % 10).cast("double"), "w": F.rand(5)})
+    df = made.withColumn("v", F.when(F.col("x") < 3, 2.0).when(F.col("z") > 4, 3 * F.col("x")).otherwise(8.0) + F.col("id") % 3).persist()
+    names = ["x", "z", "w"]
+    assert df.count() <= models.SPLIT_ROWS
+    ours = models.predict(models.fit_log_trees(df, names, "v", maxIter=4, maxDepth=3), df, names, True).select("id", "prediction")
+    data = VectorAssembler(inputCols=names, outputCol="f").transform(df.withColumn("l", F.log1p("v")))
+    trees = GBTRegressor(featuresCol="f", labelCol="l", predictionCol="p", maxIter=4, maxDepth=3, stepSize=0.1, seed=models.SEED).fit(data)
+    both = ours.join(trees.transform(data).select("id", F.expm1("p").alias("p")), "id")
+    assert both.agg(F.max(F.abs(F.col("prediction") - F.col("p")))).first()[0] < 1e-6
+    peak = df.withColumn("is_peak", (F.col("v") > 9).cast("int"))
+    ours = models.predict_peak(models.fit_peak_classifier(peak, names, maxIter=4, maxDepth=3), peak, names).select("id", "probability")
+    data = VectorAssembler(inputCols=names, outputCol="f").transform(peak)
+    trees = GBTClassifier(featuresCol="f", labelCol="is_peak", maxIter=4, maxDepth=3, stepSize=0.1, seed=models.SEED).fit(data)
+    both = ours.join(trees.transform(data).select("id", vector_to_array("probability")[1].alias("p")), "id", "inner").select(ours["probability"], "p")
+    assert both.agg(F.max(F.abs(F.col("probability") - F.col("p")))).first()[0] < 1e-6
+
+
+def test_cells_grow_with_vectors_and_not_with_rows(spark):
+    data = spark.range(40_000).select((F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 4).cast("double").alias("z"), (F.col("id") % 7).cast("double").alias("y"))
+    with models._cells(data, ["x", "z"], models.BINS, "y") as (stages, cells):
+        assert cells.count() == 20 and len(stages) == 2
+        total = cells.agg(F.sum("_n").alias("n"), F.sum(F.col("_n") * F.col("y")).alias("y")).first()
+    assert (total.n, total.y) == (40_000, pytest.approx(sum(i % 7 for i in range(40_000))))
+    assert models.thresholds([1.0, 1.0, 3.0, 4.0]) == [2.0, 3.5] and models.thresholds([5.0]) == []
+    many = models.thresholds([float(i) for i in range(100)], 4)
+    assert many == [24.5, 49.5, 74.5]
+
+
 def test_the_grid_is_not_moved_after_it_is_opened(spark, hourly):
     rows = features.feature_table(hourly, "e", "ts", "v", "2025-03-20")
     plan = rows._jdf.queryExecution().executedPlan().toString().split("Generate inline")[0]
@@ -151,3 +185,11 @@ def test_the_grid_is_not_moved_after_it_is_opened(spark, hourly):
     want = features.weekday_lookup(rows.where("ts < '2025-03-20'").drop("profile_mean", "profile_log"), "e", "v").collect()
     got = {(r.e, r.dow, r.hour): (r.profile_mean, r.profile_log) for r in at.values()}
     assert got == {(r.e, r.dow, r.hour): (pytest.approx(r.profile_mean), pytest.approx(r.profile_log)) for r in want}
+
+
+def test_profiles_by_entity_leave_unknown_ones_null(spark):
+    columns = "e string, day_type string, hour int, v double"
+    train = spark.createDataFrame([("a", "weekday", 3, 2.0), ("a", "weekday", 3, 4.0), ("a", "weekend", 3, 9.0), (None, "weekday", 3, 1.0)], columns)
+    rows = spark.createDataFrame([("a", "weekday", 3, 0.0), ("a", "weekend", 3, 0.0), ("a", "weekend", 4, 0.0), ("b", "weekday", 3, 0.0), (None, "weekday", 3, 0.0)], columns)
+    got = {(r.e, r.day_type, r.hour): (r.station_mean, r.profile_mean) for r in features.serving_features(rows, train, "e", "v").collect()}
+    assert got == {("a", "weekday", 3): (5.0, 3.0), ("a", "weekend", 3): (5.0, 9.0), ("a", "weekend", 4): (5.0, None), ("b", "weekday", 3): (None, None), (None, "weekday", 3): (None, None)}
