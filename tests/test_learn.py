@@ -193,3 +193,10 @@ def test_profiles_by_entity_leave_unknown_ones_null(spark):
     rows = spark.createDataFrame([("a", "weekday", 3, 0.0), ("a", "weekend", 3, 0.0), ("a", "weekend", 4, 0.0), ("b", "weekday", 3, 0.0), (None, "weekday", 3, 0.0)], columns)
     got = {(r.e, r.day_type, r.hour): (r.station_mean, r.profile_mean) for r in features.serving_features(rows, train, "e", "v").collect()}
     assert got == {("a", "weekday", 3): (5.0, 3.0), ("a", "weekend", 3): (5.0, 9.0), ("a", "weekend", 4): (5.0, None), ("b", "weekday", 3): (None, None), (None, "weekday", 3): (None, None)}
+
+
+def test_a_clustering_reads_few_partitions(spark):
+    vectors = models.as_vectors(spark.range(0, 90, 1, 9).select((F.col("id") % 3).cast("double").alias("x")), ["x"])
+    with models._few(vectors) as few:
+        assert few.rdd.getNumPartitions() == 1 and few.count() == 90
+    assert [m.getK() for m in models._best_of_each(vectors, (2, 3), 2)] == [2, 3]
