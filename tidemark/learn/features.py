@@ -82,7 +82,8 @@ def serving_features(rows: DataFrame, train: DataFrame, entity: str, value: str)
     """
     slot = F.col("hour") + F.when(F.col("day_type") == "weekend", 24).otherwise(0)
     profiles = day_type_lookup(train, entity, value).groupBy(entity).agg(F.map_from_entries(F.collect_list(F.struct(slot, "profile_mean"))).alias("_profile"))
-    joined = rows.join(entity_lookup(train, entity, value), entity, "left").join(profiles, entity, "left")
+    # Both hold one row for each entity of ``train``, so the rows are joined once.
+    joined = rows.join(entity_lookup(train, entity, value).join(profiles, entity), entity, "left")
     return joined.withColumn("profile_mean", F.try_element_at("_profile", slot)).drop("_profile")
 
 

@@ -25,25 +25,23 @@ def dense_grid(
     else:
         first = last - F.expr(f"INTERVAL {int(last_days)} DAY") + F.expr("INTERVAL 1 HOUR")
     days = hourly.select(entity).distinct().withColumn("_day", F.explode(F.sequence(F.to_date(first), F.to_date(last))))
-    if drop_dst:
-        # Hours nobody recorded are not part of this form of the grid. They meet the days as one list of at most 24,
-        # before the hours are opened, so the grid itself isn't moved for them.
-        recorded = hourly.where((F.col(ts) >= first) & (F.col(ts) <= last) & ~timefns.is_dst_hour(ts))
-        lists = recorded.groupBy(F.to_date(ts).alias("_day")).agg(F.collect_set(ts).alias("_hours"))
-        days = days.join(lists, "_day")
-        opened = F.col("_hours")
-    else:
-        opened = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.col("_day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), h))
-    # Recorded values meet the grid by day, as lists of at most 24, and an entity's days go to one task before they are opened: the
+    # Recorded values meet the grid by day, as lists of at most 24, and an entity's days go to one task before they get their hours: the
     # hours, the bulk of the grid, are never moved, and a window per entity finds them where they are.
     found = hourly.select(entity, F.to_date(ts).alias("_day"), F.struct(F.col(ts).alias("at"), F.coalesce(value, F.lit(0)).cast("double").alias("v")).alias("_row"))
     found = found.groupBy(entity, "_day").agg(F.collect_list("_row").alias("_found"))
-    days = days.withColumn("_opened", opened)
     kept = F.coalesce(F.filter("_found", lambda r: F.array_contains("_opened", r["at"])), F.array().cast("array<struct<at:timestamp_ntz,v:double>>"))
     absent = F.transform(F.array_except("_opened", kept["at"]), lambda h: F.struct(h.alias("at"), F.lit(0.0).alias("v")))
     # The days are small and the hours are not, so the tasks have their own number and aren't merged by the size of the days.
     tasks = 2 * int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hours = days.join(found, [entity, "_day"], "left").repartition(tasks, entity).select(entity, F.inline(F.concat(kept, absent)).alias(ts, value))
+    dealt = days.join(found, [entity, "_day"], "left").repartition(tasks, entity)
+    if drop_dst:
+        # Hours nobody recorded are not part of this form of the grid. The others are one list of at most 24 for each day of the calendar.
+        recorded = hourly.where((F.col(ts) >= first) & (F.col(ts) <= last) & ~timefns.is_dst_hour(ts))
+        lists = recorded.groupBy(F.to_date(ts).alias("_day")).agg(F.collect_set(ts).alias("_opened"))
+        dealt = dealt.join(F.broadcast(lists), "_day")
+    else:
+        dealt = dealt.withColumn("_opened", F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.col("_day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), h)))
+    hours = dealt.select(entity, F.inline(F.concat(kept, absent)).alias(ts, value))
     return hours.where((F.col(ts) >= first) & (F.col(ts) <= last))
 
 

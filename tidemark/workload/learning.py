@@ -278,7 +278,8 @@ def _(spark, sf):
 @query("next_day_forecast", "M18 M01 V08")
 def _(spark, sf):
     """All stations, 24 hours of the day after the data."""
-    frame = train.station_hours(clean_fact(spark, sf), 365)
+    # The fit, the lookups and the forecast read the grid, so it is made once.
+    frame = written_once(train.station_hours(clean_fact(spark, sf), 365), "grid")
     model = models.fit_log_trees(features.serving_features(frame, frame, E, V), features.SERVING, V)
     return train.forecast(model, frame, dt.date(2024, 3, 31))
 
