@@ -46,6 +46,11 @@ def split(spark, sf):
     return features.split_at(table_of_features(spark, sf), TS, FIRST_TEST)
 
 
+def written_split(spark, sf):
+    """``split`` of a table that is made once: a fit and its metrics read it several times."""
+    return features.split_at(written_once(table_of_features(spark, sf), "features"), TS, FIRST_TEST)
+
+
 @query("calendar_features", "M02 M03 J15 D11", f"{BASE} SELECT {E}, {TS}, riders, hour, dow, is_weekend, month, is_holiday, day_type FROM c")
 def _(spark, sf):
     return calendar_grid(spark, sf).select(E, TS, V, "hour", "dow", "is_weekend", "month", "is_holiday", "day_type")
@@ -216,7 +221,7 @@ def _(spark, sf):
 
 @query("trees_log_metrics", "M07 M08")
 def _(spark, sf):
-    t, test = split(spark, sf)
+    t, test = written_split(spark, sf)
     model = models.fit_log_trees(t, features.SCENARIO_A, V)
     return models.regression_metrics(models.predict(model, test, features.SCENARIO_A, True), V, "prediction")
 
@@ -251,10 +256,12 @@ def _(spark, sf):
 
 @query("peak_classifier", "M12 M14")
 def _(spark, sf):
-    rows = features.with_peak(table_of_features(spark, sf), features.peak_threshold(split(spark, sf)[0], E, V), E, V)
-    t, test = features.split_at(rows, TS, FIRST_TEST)
-    model = models.fit_peak_classifier(t, features.SCENARIO_B)
-    scored = models.predict_peak(model, test, features.SCENARIO_B)
+    t, test = written_split(spark, sf)
+    # Thresholds, labels and scores are read more than once, too.
+    threshold = written_once(features.peak_threshold(t, E, V), "thresholds")
+    model = models.fit_peak_classifier(features.with_peak(t, threshold, E, V), features.SCENARIO_B)
+    scored = models.predict_peak(model, features.with_peak(test, threshold, E, V), features.SCENARIO_B)
+    scored = written_once(scored.select(E, TS, "is_peak", "probability", "predicted"), "scores")
     metrics = models.classification_metrics(models.confusion(scored, "is_peak", "predicted"))
     return metrics.withColumn("roc_auc", F.lit(models.roc_auc(scored)))
 
