@@ -33,7 +33,9 @@ class Schedule:
 
 
 def prepare(schedule: Schedule) -> Schedule:
-    """Work out the lookups once and keep them in the shared folder, for use by many batches."""
+    """Work out the lookups once and keep them in the shared folder, for use by many batches. A schedule that has them stays as it is."""
+    if schedule.first and schedule.services:
+        return schedule
     return replace(
         schedule,
         first=written_once(first_arrivals(schedule), "first_arrivals"),

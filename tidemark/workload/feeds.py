@@ -17,7 +17,7 @@ from tidemark.plans import dashboard
 from tidemark.session import scratch
 from tidemark.sources import feeds
 from tidemark.sources.schedule import DailySchedule, Schedule, first_arrivals, services_by_day
-from tidemark.sources.tables import exists, rename, set_age
+from tidemark.sources.tables import exists, rename, set_age, written_once
 from tidemark.streaming import keyed, microbatch, records, replay
 from tidemark.workload.fixtures import table
 from tidemark.workload.registry import query
@@ -350,8 +350,8 @@ def _(spark, sf):
 
 #: Files the events are landed in, files of one micro-batch, and files that are there before the queries stop and start again.
 FILES, PER_BATCH, BEFORE_RESTART = 20, 5, 10
-#: Partitions of the state; the trips of the events are few.
-STATE_PARTITIONS = 4
+#: Least partitions of the state, and events for each further one.
+STATE_PARTITIONS, STATE_EVENTS = 4, 500_000
 _FILE = f"event_id * {FILES} // ((SELECT max(event_id) FROM events) + 1)"
 
 
@@ -371,12 +371,23 @@ def land_files(spark, path: str, names: list[str]) -> None:
         set_age(spark, f"{path}/in/{name}", int(name.partition("=")[2]))
 
 
-def run_stream(spark, sf, *queries: str) -> microbatch.BatchStore:
+def state_partitions(events: int) -> int:
+    """Trips grow with the events, and all facts pass the tasks that hold the state."""
+    return max(STATE_PARTITIONS, -(-events // STATE_EVENTS))
+
+
+def prepared(spark, sf) -> Schedule:
+    """The schedule with its lookups made, for all starts of the landing query."""
+    return DailySchedule(lambda: schedule(spark, sf)).current()
+
+
+def run_stream(spark, sf, *queries: str, plan: Schedule | None = None) -> microbatch.BatchStore:
     """The whole events table through the landing query and the named others, with a restart of all of them in between."""
     root = scratch(spark, "delays")
+    partitions = state_partitions(table(spark, sf, "events").count())
     names = landed_files(spark, sf, root)
     store = microbatch.BatchStore(spark, f"{root}/store")
-    plan = DailySchedule(lambda: schedule(spark, sf)).current()
+    plan = plan or prepared(spark, sf)
     messages = messages_of(feeds.file_stream(spark, f"{root}/in/part=*", table(spark, sf, "events").schema, PER_BATCH))
     with keyed.logged(spark, f"{root}/progress"):
         for step in (names[:BEFORE_RESTART], names[BEFORE_RESTART:]):
@@ -385,9 +396,9 @@ def run_stream(spark, sf, *queries: str) -> microbatch.BatchStore:
             for name in queries:
                 facts = keyed.fact_stream(spark, store.path)
                 if name == "arrivals":
-                    query = keyed.start_arrivals(facts, store, plan.stops, f"{root}/{name}", every=None, live_seconds=None, partitions=STATE_PARTITIONS)
+                    query = keyed.start_arrivals(facts, store, plan.stops, f"{root}/{name}", every=None, live_seconds=None, partitions=partitions)
                 else:
-                    query = keyed.start_totals(name, facts, store, f"{root}/{name}", every=None, partitions=STATE_PARTITIONS)
+                    query = keyed.start_totals(name, facts, store, f"{root}/{name}", every=None, partitions=partitions)
                 query.awaitTermination()
     return store
 
@@ -431,5 +442,8 @@ def _(spark, sf):
 @query("replay_parity", "T15 T16 J05", f"{DELAYED}, {_MINUTE}, f AS (SELECT DISTINCT minute FROM minutes), e AS (SELECT * FROM minutes WHERE minute > (SELECT max(minute) FROM (SELECT minute FROM f ORDER BY minute LIMIT 2)) AND minute < (SELECT min(minute) FROM (SELECT minute FROM f ORDER BY minute DESC LIMIT 2))) SELECT minute, count(*) AS keys, CAST(0 AS BIGINT) AS different, true AS \"equal\" FROM e GROUP BY 1")
 def _(spark, sf):
     """Batch replay against the stored stream on complete minutes."""
-    compared = replay.compare_minutes(results(spark, sf)["minute"], keyed.newest(run_stream(spark, sf, "minutes"), "minutes"))
+    plan = prepared(spark, sf)
+    # The edges of the window and both sides of the comparison read the replayed totals.
+    replayed = written_once(replay.run(messages(spark, sf), plan)["minute"], "minutes")
+    compared = replay.compare_minutes(replayed, keyed.newest(run_stream(spark, sf, "minutes", plan=plan), "minutes"))
     return local(replay.minute_summary(compared))
