@@ -5,10 +5,12 @@ import re
 from collections import Counter, defaultdict
 from itertools import permutations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import filter_audit
+from tidemark.llm.common import split_words
 
 SCHEMA = "doc_id long, text string, lang string"
 LABELS = "doc_id long, quality int, toxic int"
@@ -100,6 +102,21 @@ def test_shards_are_csr(spark):
             assert list(r["indices"][a:b]) == sorted(set(r["indices"][a:b]))
 
 
+def test_a_document_is_in_one_shard_of_the_tail(spark):
+    rows = [(k, " ".join(f"rare{k * j}" for j in range(1, 60)), "en") for k in range(200)]
+    for partitions in (2, 9):
+        matrix = filter_audit.encode(spark.createDataFrame(rows, SCHEMA).repartition(partitions), head_words=1)
+        assert sum(len(r["rows"]) for r in matrix.tail.collect()) == len(rows)
+
+
+def test_words_are_cut_at_ascii_white_space_and_between_texts():
+    texts = [b"a b", b"", b" \t", b"c", b"c\x0bd\x0c\r\ne\x1cf ", "é\u00a0x".encode(), b""]
+    for column in (pa.array(texts), pa.array([b"zz", *texts]).slice(1), pa.array(texts, pa.binary()).slice(2)):
+        words, sizes = split_words(column)
+        assert words.to_pylist() == [w for t in column.to_pylist() for w in t.split()] and sizes.tolist() == [len(t.split()) for t in column.to_pylist()]
+    assert [len(x) for x in split_words(pa.array([], pa.binary()))] == [0, 0]
+
+
 @pytest.mark.parametrize("head_words", [20, 1_000_000])
 def test_equals_the_plain_version(spark, head_words):
     rows = made_rows()

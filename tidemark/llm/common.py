@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,28 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
+
+
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts of a binary column without nulls, end to end, and how many each text has."""
+    offsets = np.frombuffer(column.buffers()[1] or bytes(4), np.int32)[column.offset : column.offset + len(column) + 1]
+    begin, end = (int(offsets[0]), int(offsets[-1])) if len(column) else (0, 0)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[begin:end]
+    inside = _IN_WORD[data]
+    # A word begins behind white space and at the start of a text.
+    goes_on = np.zeros(len(data), bool)
+    goes_on[1:] = inside[:-1]
+    cuts = offsets - begin
+    goes_on[cuts[cuts < len(data)]] = False
+    begins = inside & ~goes_on
+    packed = data[inside]
+    at = np.append(np.flatnonzero(begins[inside]), len(packed)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(packed)])
+    return words, np.diff(np.searchsorted(np.flatnonzero(begins), cuts)) if len(column) else np.zeros(0, np.int64)
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z in lower case and every other character as it is; null becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

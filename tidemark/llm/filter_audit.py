@@ -3,10 +3,10 @@
 ``encode`` makes the matrix in two column blocks. A first pass finds the frequent words: every task hands on words that make up one in
 ``HEAD`` or more of its own words, and those with that share of all words form the head of the dictionary, at most ``HEAD`` of at most
 ``HEAD_BYTES`` bytes each, so its size is bounded and it goes to all tasks. A word that is twice as frequent is never
-missed. A second pass encodes the texts into CSR shards over the head's columns (``indptr, indices, data``, one
-shard a batch of documents) and writes them beside the remaining words, none of which is frequent: these are gathered by word, get
-their global ids there and become CSR shards over the tail's columns, each with its slice of the dictionary. ``row_stats`` adds up row
-sums (words) and nonzero counts (distinct words) of both blocks.
+missed. A second pass encodes the texts into CSR shards (``indptr, indices, data``, one shard a batch of documents) over the head's columns
+and beside them over the tail's. The remaining words, none of which is frequent, have a 62-bit hash for their global id, the same in
+every shard, so no word has to travel; each shard holds the slice of the dictionary that it uses. Should two words of a document share an id, they stay
+two entries, so sums and counts are exact. ``row_stats`` adds up row sums (words) and nonzero counts (distinct words) of both blocks.
 
 ``audit`` decides the five filters of a document (A and B by the matrix, C, D and E by flags that the second pass wrote), reduces the
 documents to counts by part and combination of failures and only then opens the 120 orders. Copies of a text are first
@@ -21,45 +21,51 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, compress, permutations, repeat
+from itertools import permutations, repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BATCH_ROWS, written
+from tidemark.llm.common import split_words, written
 
 #: Words in the dictionary's head at most, and bytes of each at most.
 HEAD, HEAD_BYTES = 2_000_000, 16
-#: Different words that a task counts before it hands them on, documents of a shard of the head at most, entries of a shard of the tail.
-COUNTED, SHARD_ROWS, SHARD_ENTRIES = 500_000, 1 << 16, 1_000_000
+#: Different words that a task counts before it hands them on, words counted at once, documents of a shard at most.
+COUNTED, AT_ONCE, SHARD_ROWS = 500_000, 1_000_000, 1 << 16
 FILTERS = "ABCDE"
 
 #: Bytes of A to Z, and those that continue a code point.
 _UPPER, _CONTINUED, _MARKS = bytes(range(0x41, 0x5B)), bytes(range(0x80, 0xC0)), b"#$%&*|"
 _SHARD = "shard long, indptr array<int>, indices array<int>, data array<int>"
 _DOCS = "docs array<struct<row long, doc_id {id}, part string, digest binary, c boolean, d boolean>>"
-_REST = "rest array<struct<row long, word binary, n int>>"
-_TAIL = "shard long, words array<binary>, ids array<long>, rows array<long>, indptr array<int>, indices array<long>, data array<int>"
+_TAIL = "words array<binary>, ids array<long>, tail_indptr array<int>, tail_indices array<long>, tail_data array<int>"
 
 
 @dataclass(frozen=True)
 class Matrix:
-    """Shards over the head's columns with the documents' flags, shards over the tail's, and the head's words in order of their ids."""
+    """Shards of both column blocks with the documents' flags, and the head's words in order of their ids."""
 
-    head: DataFrame
-    tail: DataFrame
+    shards: DataFrame
     words: list[bytes]
 
+    @property
+    def head(self) -> DataFrame:
+        return self.shards.select("shard", "indptr", "indices", "data", "docs")
+
+    @property
+    def tail(self) -> DataFrame:
+        return self.shards.select("shard", F.col("docs.row").alias("rows"), *[F.col(f"tail_{c}").alias(c) for c in ("indptr", "indices", "data")])
+
     @property
     def tail_dictionary(self) -> DataFrame:
         """``word, id`` of the words outside the head."""
-        return self.tail.select(F.explode(F.arrays_zip("words", "ids")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.ids").alias("id"))
+        return self.shards.select(F.explode(F.arrays_zip("words", "ids")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.ids").alias("id")).distinct()
 
 
 def _texts(docs: DataFrame, text_col: str) -> Column:
@@ -75,7 +81,7 @@ def frequent_words(docs: DataFrame, *, text_col: str = "text", head_words: int =
     """The head of the dictionary, most frequent words first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(seen: Counter) -> pa.RecordBatch:
+        def flush(seen: dict[bytes, int]) -> pa.RecordBatch:
             total = sum(seen.values())
             least = math.ceil(total / head_words)
             some = [(w, n) for w, n in seen.items() if n >= least and len(w) <= HEAD_BYTES]
@@ -83,13 +89,25 @@ def frequent_words(docs: DataFrame, *, text_col: str = "text", head_words: int =
             some.append((None, total))
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], names=["word", "n"])
 
-        seen: Counter = Counter()
+        seen: dict[bytes, int] = {}
+        held: list[pa.Array] = []
+
+        def take() -> None:
+            some = pa.concat_arrays(held).value_counts()
+            held.clear()
+            words, n = some.field(0).to_pylist(), some.field(1).to_numpy()
+            before = np.fromiter(map(seen.get, words, repeat(0)), np.int64, len(words))
+            seen.update(zip(words, (before + n).tolist(), strict=True))
+
         for b in batches:
-            for text in b["text"]:
-                seen.update(text.as_py().split())
+            held.append(split_words(b["text"])[0])
+            if sum(map(len, held)) >= AT_ONCE:
+                take()
                 if len(seen) >= COUNTED:
                     yield flush(seen)
-                    seen = Counter()
+                    seen.clear()
+        if held:
+            take()
         yield flush(seen)
 
     counts = docs.select(_texts(docs, text_col)).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -105,6 +123,11 @@ def _flags(text: bytes) -> tuple[bytes, bool, bool]:
     return hashlib.sha256(text).digest(), 100 * upper > 3 * points, any(m in text for m in _MARKS)
 
 
+def _csr(place: np.ndarray, column: np.ndarray, n: np.ndarray, rows: int) -> list[np.ndarray]:
+    """``indptr, indices, data`` of entries that are in order of their rows and columns."""
+    return [np.searchsorted(place, np.arange(rows + 1)).astype(np.int32), column, n]
+
+
 def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", head_words: int = HEAD) -> Matrix:
     """The matrix of all documents, written to the shared folder."""
     spark = docs.sparkSession
@@ -122,71 +145,42 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
                 b = whole.slice(at, SHARD_ROWS)
                 shard = partition << 24 | k
                 k += 1
-                raw = [text.as_py() for text in b["text"]]
-                counts = [Counter(text.split()) for text in raw]
-                listed = list(chain.from_iterable(counts))
-                ids = np.fromiter(map(get, listed, repeat(-1)), np.int64, len(listed))
-                n = np.fromiter(chain.from_iterable(c.values() for c in counts), np.int32, len(listed))
-                place = np.repeat(np.arange(b.num_rows), [len(c) for c in counts])
-                inside = ids >= 0
-                # In order of the documents, then of the columns.
-                order = np.argsort(place[inside] << 32 | ids[inside])
-                indptr = np.concatenate([[0], np.cumsum(np.bincount(place[inside], minlength=b.num_rows))])
-                csr = [indptr.astype(np.int32), ids[inside][order].astype(np.int32), n[inside][order]]
-                first, outside = shard * SHARD_ROWS, ~inside
-                flags = [_flags(text) for text in raw]
-                digest, c, d = zip(*flags, strict=True)
+                found, sizes = split_words(b["text"])
+                codes = found.dictionary_encode()
+                own = codes.dictionary.to_pylist()
+                ids = np.fromiter(map(get, own, repeat(-1)), np.int64, len(own))
+                rare = np.flatnonzero(ids < 0)
+                rare_ids = tail_ids([own[w] for w in rare], len(words))
+                ids[rare] = rare_ids
+                # Local numbers in the order of the ids, so entries come in order of the documents, then of the columns.
+                by_id = np.argsort(ids, kind="stable")
+                rank = np.empty(len(own), np.int64)
+                rank[by_id] = np.arange(len(own))
+                ids = ids[by_id]
+                entries, n = np.unique(np.repeat(np.arange(b.num_rows), sizes) * max(1, len(own)) + rank[codes.indices.to_numpy()], return_counts=True)
+                place, column = np.divmod(entries, max(1, len(own)))
+                column, n = ids[column], n.astype(np.int32)
+                inside = column < len(words)
+                outside = ~inside
+                head = _csr(place[inside], column[inside].astype(np.int32), n[inside], b.num_rows)
+                tail = _csr(place[outside], column[outside], n[outside], b.num_rows)
+                digest, c, d = zip(*[_flags(text.as_py()) for text in b["text"]], strict=True)
                 structs = pa.StructArray.from_arrays(
-                    [pa.array(first + np.arange(b.num_rows)), b["doc_id"], b["part"], pa.array(digest, pa.binary()), pa.array(c), pa.array(d)], ["row", "doc_id", "part", "digest", "c", "d"]
+                    [pa.array(shard * SHARD_ROWS + np.arange(b.num_rows)), b["doc_id"], b["part"], pa.array(digest, pa.binary()), pa.array(c), pa.array(d)], ["row", "doc_id", "part", "digest", "c", "d"]
                 )
-                tail = pa.StructArray.from_arrays([pa.array(first + place[outside]), pa.array(list(compress(listed, outside)), pa.binary()), pa.array(n[outside])], ["row", "word", "n"])
-                yield pa.RecordBatch.from_arrays([pa.array([shard]), *map(_one, csr), _one(structs), _one(tail)], names=["shard", "indptr", "indices", "data", "docs", "rest"])
-
-    made = written(rows.mapInArrow(shards, f"{_SHARD}, {_DOCS.format(id=kind.simpleString())}, {_REST}"), "audit-shards", "zstd")
-    triples = made.select(F.explode("rest").alias("t")).select("t.*")
-    # Entries are three short fields, so many of them make a batch; documents need short batches.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(100 * BATCH_ROWS))
-    try:
-        tail = written(tail_shards(triples, len(words)), "audit-tail", "zstd")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return Matrix(made.drop("rest"), tail, words)
-
-
-def tail_shards(triples: DataFrame, first_id: int) -> DataFrame:
-    """CSR shards of ``row, word, n``: the rows that have entries, and the words that got their id (``first_id`` or more) in the shard.
-
-    All entries of a word are in one task; its words are as many as a shuffled partition holds. Ids depend on the order in which
-    entries arrive, so the shards are written before they are read.
-    """
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition, k = TaskContext.get().partitionId(), 0
-        known: dict[bytes, int] = {}
-
-        def shard(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks()
-            codes = t["word"].combine_chunks().dictionary_encode()
-            before, base = len(known), first_id + (partition << 40)
-            own = np.array([known.setdefault(w, len(known)) for w in codes.dictionary.to_pylist()], np.int64) + base
-            row, indices, data = t["row"].to_numpy(), own[codes.indices.to_numpy()], t["n"].to_numpy()
-            order = np.lexsort((indices, row))
-            rows, starts = np.unique(row[order], return_index=True)
-            fresh = list(known)[before:]
-            lists = [pa.array(fresh, pa.binary()), base + np.arange(before, len(known)), rows, np.append(starts, len(row)).astype(np.int32), indices[order], data[order]]
-            return pa.RecordBatch.from_arrays([pa.array([partition << 24 | k]), *map(_one, lists)], names=["shard", "words", "ids", "rows", "indptr", "indices", "data"])
-
-        held, n = [], 0
-        for b in batches:
-            held.append(b)
-            n += b.num_rows
-            if n >= SHARD_ENTRIES:
-                yield shard(held)
-                held, n, k = [], 0, k + 1
-        if n:
-            yield shard(held)
+                parts = [*head, structs, codes.dictionary.take(pa.array(rare)), rare_ids, *tail]
+                names = ["shard", "indptr", "indices", "data", "docs", "words", "ids", "tail_indptr", "tail_indices", "tail_data"]
+                yield pa.RecordBatch.from_arrays([pa.array([shard]), *map(_one, parts)], names=names)
+
+    made = written(rows.mapInArrow(shards, f"{_SHARD}, {_DOCS.format(id=kind.simpleString())}, {_TAIL}"), "audit-shards", "zstd")
+    return Matrix(made, words)
+
 
-    return triples.repartition("word").mapInArrow(build, _TAIL)
+def tail_ids(words: list[bytes], first_id: int) -> np.ndarray:
+    """Ids of words outside the head, ``first_id`` or more; the same in every task."""
+    some = np.empty(len(words), object)
+    some[:] = words
+    return (pd.util.hash_array(some, categorize=False) >> np.uint64(2)).astype(np.int64) + first_id
 
 
 def _sums(indptr: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,30 +191,17 @@ def _sums(indptr: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def row_stats(matrix: Matrix) -> DataFrame:
     """Each document's flags with ``words`` (row sum) and ``distinct`` (nonzero count)."""
-    docs_type = matrix.head.schema["docs"].dataType.simpleString()
+    docs_type = matrix.shards.schema["docs"].dataType.simpleString()
 
-    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                words, distinct = _sums(b["indptr"][k].values.to_numpy(), b["data"][k].values.to_numpy())
+                blocks = [_sums(b[f"{c}indptr"][k].values.to_numpy(), b[f"{c}data"][k].values.to_numpy()) for c in ("", "tail_")]
+                words, distinct = (sum(x) for x in zip(*blocks, strict=True))
                 yield pa.RecordBatch.from_arrays([b["docs"].slice(k, 1), _one(words), _one(distinct)], names=["docs", "words", "distinct"])
 
-    def tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                words, distinct = _sums(b["indptr"][k].values.to_numpy(), b["data"][k].values.to_numpy())
-                yield pa.RecordBatch.from_arrays([b["rows"][k].values, pa.array(words), pa.array(distinct)], names=["row", "words", "distinct"])
-
-    inside = matrix.head.select("docs", "indptr", "data").mapInArrow(head, f"docs {docs_type}, words array<long>, distinct array<long>")
-    opened = inside.select(F.explode(F.arrays_zip("docs", "words", "distinct")).alias("x")).select("x.docs.*", F.col("x.words").alias("words_in"), F.col("x.distinct").alias("distinct_in"))
-    # A row has entries in many column shards.
-    outside = matrix.tail.select("rows", "indptr", "data").mapInArrow(tail, "row long, words long, distinct long").groupBy("row").agg(F.sum("words").alias("words"), F.sum("distinct").alias("distinct"))
-    both = opened.join(outside, "row", "left")
-    return both.select(
-        "row", "doc_id", "part", "digest", "c", "d",
-        (F.col("words_in") + F.coalesce("words", F.lit(0))).alias("words"),
-        (F.col("distinct_in") + F.coalesce("distinct", F.lit(0))).alias("distinct"),
-    )
+    added = matrix.shards.select("docs", "indptr", "data", "tail_indptr", "tail_data").mapInArrow(stats, f"docs {docs_type}, words array<long>, distinct array<long>")
+    return added.select(F.explode(F.arrays_zip("docs", "words", "distinct")).alias("x")).select("x.docs.*", "x.words", "x.distinct")
 
 
 def failures(stats: DataFrame, labels: DataFrame) -> DataFrame:
