@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -545,6 +546,18 @@ def test_words_that_gain_marks_get_the_tokenizers_ids():
     assert encoder(batch) == got
 
 
+def test_letters_and_marks_are_learnt_once_for_all_words_made_of_them():
+    import public_tokenizers
+
+    encoder = tokens.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [b"Word, word! WORD", b"", b"caf\xc3\xa9, caf\xc3\xa9! ?! it's 4th", b" "]
+    values, n = encoder.column(pa.array([b"left out", *texts]).slice(1))
+    wanted = [encoder.tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts]
+    assert values.tolist() == sum(wanted, []) and n.tolist() == [len(ids) for ids in wanted]
+    assert set(encoder.pieces) == {b"", b"word", "café".encode(), b",", b"!"} and set(encoder.known) == {b"?!", b"it's", b"4th"}
+    assert [x.tolist() for x in encoder.column(pa.array([], pa.binary()))] == [[], []]
+
+
 def test_ids_that_are_no_numbers_are_null(spark, tmp_path):
     import public_tokenizers
 

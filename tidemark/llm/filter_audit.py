@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import split_words, written
+from tidemark.llm.common import byte_strings, split_words, written
 
 #: Words in the dictionary's head at most, and bytes of each at most.
 HEAD, HEAD_BYTES = 2_000_000, 16
@@ -95,7 +95,7 @@ def frequent_words(docs: DataFrame, *, text_col: str = "text", head_words: int =
         def take() -> None:
             some = pa.concat_arrays(held).value_counts()
             held.clear()
-            words, n = some.field(0).to_pylist(), some.field(1).to_numpy()
+            words, n = byte_strings(some.field(0)), some.field(1).to_numpy()
             before = np.fromiter(map(seen.get, words, repeat(0)), np.int64, len(words))
             seen.update(zip(words, (before + n).tolist(), strict=True))
 
@@ -147,7 +147,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
                 k += 1
                 found, sizes = split_words(b["text"])
                 codes = found.dictionary_encode()
-                own = codes.dictionary.to_pylist()
+                own = byte_strings(codes.dictionary)
                 ids = np.fromiter(map(get, own, repeat(-1)), np.int64, len(own))
                 rare = np.flatnonzero(ids < 0)
                 rare_ids = tail_ids([own[w] for w in rare], len(words))
@@ -164,7 +164,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
                 outside = ~inside
                 head = _csr(place[inside], column[inside].astype(np.int32), n[inside], b.num_rows)
                 tail = _csr(place[outside], column[outside], n[outside], b.num_rows)
-                digest, c, d = zip(*[_flags(text.as_py()) for text in b["text"]], strict=True)
+                digest, c, d = zip(*map(_flags, byte_strings(b["text"])), strict=True)
                 structs = pa.StructArray.from_arrays(
                     [pa.array(shard * SHARD_ROWS + np.arange(b.num_rows)), b["doc_id"], b["part"], pa.array(digest, pa.binary()), pa.array(c), pa.array(d)], ["row", "doc_id", "part", "digest", "c", "d"]
                 )

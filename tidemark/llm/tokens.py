@@ -17,10 +17,9 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import compress
-from operator import add, not_
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +27,31 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import map_rows, written
+from tidemark.llm.common import byte_strings, gathered, map_rows, split_words, written
 
 END_ID = 1
-#: Words, and pieces of words, that one Python worker remembers; beyond it only short ones stay.
+#: Words that are no letters with marks behind, and pieces of the others, that one Python worker remembers; beyond it only short ones stay.
 CACHED_WORDS, CACHED_PIECES = 1_200_000, 1_200_000
+#: Bytes of the batches that are encoded at once, at least.
+BATCH_BYTES = 6 << 20
 #: Documents of one row index entry, bytes of one stripe.
 INDEX_STRIDE, STRIPE_BYTES = 1000, 16 << 20
 #: Special token of the vocabulary put between words that are encoded together.
 SEPARATOR = "<|startoftext|>"
 #: ASCII marks but the apostrophe, which the tokenizer joins with letters.
 _MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
+#: Kinds of bytes: ASCII letters, parts of other characters, those marks, all others.
+_HIGH, _MARK, _OTHER = 1, 2, 3
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[c for c in range(0x80) if chr(c).isalpha()]] = 0
+_KIND[0x80:] = _HIGH
+_KIND[list(_MARKS)] = _MARK
+
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Binary values that lie end to end."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 class WordEncoder:
@@ -54,8 +67,9 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
-        #: Letters that stay letters when they are normalised; as many as the texts have.
+        #: Characters that stay letters when they are normalised, and all others; as many as the texts have.
         self.letters: set[str] = set()
+        self.others: set[str] = set()
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {b"": b""}
 
@@ -77,70 +91,105 @@ class WordEncoder:
 
     def _letters(self, words: list[bytes]) -> list[bytes]:
         """Ids of words of letters; each should be one run up to a token with the word end."""
-        ids = self._encode([" ".join(w.decode() for w in words)])[0]
+        ids = self._encode([b" ".join(words).decode()])[0]
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(words):
             return self._apart(words)
         raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
         return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
-    def _letters_only(self, core: str) -> bool:
-        """Whether a word of letters is letters alone once it is normalised; one that gains a mark belongs together with what follows.
+    def _letters_only(self, cores: list[bytes]) -> list[bool]:
+        """Which words are letters alone once they are normalised; one that gains a mark belongs together with what follows.
 
         Letters are looked at one by one, as they only join with each other to other letters.
         """
-        new = set(core).difference(self.letters)
-        if new and core.isalpha():
-            normalizer = self.tokenizer.normalizer
-            self.letters.update(c for c in new if (normalizer.normalize_str(c) if normalizer else c).isalpha())
-            return self.letters.issuperset(new)
-        return not new
-
-    def _learn(self, words: list[bytes]) -> None:
-        """The tokenizer splits a word between letters and marks, so both are remembered for themselves."""
-        cores = [w.rstrip(_MARKS) for w in words]
-        plain = [c.isalpha() for c in cores]
-        other = [k for k, p in enumerate(plain) if not p]
-        for k in other:
-            plain[k] = bool(cores[k]) and self._letters_only(cores[k].decode())
-        odd = [words[k] for k in other if not plain[k]]
-        if odd:
-            words, cores = list(compress(words, plain)), list(compress(cores, plain))
-        tails = [w[len(c) :] for w, c in zip(words, cores, strict=True)]
-        # Lower case is for ASCII alone here; other letters keep theirs.
-        cores = [c.lower() if c.isalpha() else c for c in cores]
-        for learn, some in ((self._letters, cores), (self._apart, tails)):
-            new = list(set(some).difference(self.pieces))
+        texts = b" ".join(cores).decode().split(" ")
+        normalizer = self.tokenizer.normalizer
+        for c in set().union(*texts) - self.letters - self.others:
+            plain = c.isalpha() and (normalizer.normalize_str(c) if normalizer else c).isalpha()
+            (self.letters if plain else self.others).add(c)
+        return [bool(t) and plain for t, plain in zip(texts, map(self.others.isdisjoint, texts), strict=True)]
+
+    @staticmethod
+    def _from(pool: dict[bytes, bytes], words: list[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
+        """Ids of different words; what the pool doesn't know is learnt."""
+        found = list(map(pool.get, words))
+        if None in found:
+            new = [w for w, ids in zip(words, found, strict=True) if ids is None]
             for at in range(0, len(new), 2000):
-                self.pieces.update(zip(new[at : at + 2000], learn(new[at : at + 2000]), strict=True))
-        get = self.pieces.__getitem__
-        self.known.update(zip(words, map(add, map(get, cores), map(get, tails)), strict=True))
-        for at in range(0, len(odd), 2000):
-            self.known.update(zip(odd[at : at + 2000], self._apart(odd[at : at + 2000]), strict=True))
+                pool.update(zip(new[at : at + 2000], learn(new[at : at + 2000]), strict=True))
+            found = list(map(pool.__getitem__, words))
+        return found
 
-    def __call__(self, batch: list[str] | list[bytes]) -> list[bytes]:
-        """Ids of each text, given as such or as UTF-8."""
-        raw = [t.encode() if isinstance(t, str) else t for t in batch]
+    def _parts(self, words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids of the parts of different words, and the places of each word's two parts among them; the first is empty.
+
+        The tokenizer splits a word between letters and marks, so both are looked up for themselves. Other words are one part.
+        """
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1].astype(np.int64)
+        starts, sizes = offsets[:-1], np.diff(offsets)
+        data = np.frombuffer(words.buffers()[2], np.uint8)[: offsets[-1]]
+        kind = _KIND[data]
+        ends = np.maximum(np.maximum.reduceat(np.where(kind == _MARK, 0, np.arange(1, len(data) + 1)), starts), starts)
+
+        def in_core(wanted: np.ndarray) -> np.ndarray:
+            before = np.concatenate([[0], np.cumsum(wanted)])
+            return before[ends] - before[starts]
+
+        plain = (ends > starts) & (in_core(kind >= _MARK) == 0)
+        # Lower case is for ASCII alone here; other letters keep theirs.
+        lower = data + ((data >= 0x41) & (data <= 0x5A) & np.repeat(plain & (in_core(kind == _HIGH) == 0), sizes)) * np.uint8(32)
+        inside = np.arange(len(data)) < np.repeat(np.where(plain, ends, starts), sizes)
+        cores = _binary(lower[inside], (ends - starts)[plain]).dictionary_encode()
+        tails = _binary(data[~inside & np.repeat(plain, sizes)], (offsets[1:] - ends)[plain]).dictionary_encode()
+        some = byte_strings(cores.dictionary)
+        letters = np.fromiter(map(bytes.isalpha, some), bool, len(some))
+        other = np.flatnonzero(~letters)
+        letters[other] = self._letters_only([some[k] for k in other])
+        parts = [b"", *self._from(self.pieces, list(compress(some, letters)), self._letters)]
+        # The places of the cores that are letters, then of the marks behind them, then of all other words.
+        at = np.cumsum(letters)[cores.indices.to_numpy()]
+        is_plain, places = letters[cores.indices.to_numpy()], np.zeros((len(words), 2), np.int64)
+        where = np.flatnonzero(plain)
+        plain[where[~is_plain]] = False
+        places[where[is_plain], 0] = at[is_plain]
+        places[where[is_plain], 1] = len(parts) + tails.indices.to_numpy()[is_plain]
+        parts += self._from(self.pieces, byte_strings(tails.dictionary), self._apart)
+        odd = np.flatnonzero(~plain)
+        places[odd, 0] = len(parts) + np.arange(len(odd))
+        parts += self._from(self.known, byte_strings(words.take(pa.array(odd))), self._apart)
+        return parts, places
+
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a binary column without nulls, end to end, and how many each text has."""
         if not self.by_word:
-            return [ids.tobytes() for ids in self._encode([t.decode() for t in raw])]
-        split = [t.split() for t in raw]
-        # Short words come again most; the others are put together from their pieces.
+            ids = self._encode([t.decode() for t in texts.to_pylist()])
+            return np.concatenate([np.zeros(0, "<u4"), *ids]), np.array([len(x) for x in ids], np.int64)
+        # Short words come again most.
         if len(self.known) > CACHED_WORDS:
             self.known = {w: ids for w, ids in self.known.items() if len(w) < 8}
         if len(self.pieces) > CACHED_PIECES:
             self.pieces = {w: ids for w, ids in self.pieces.items() if len(w) < 8}
         if len(self.known) > CACHED_WORDS or len(self.pieces) > CACHED_PIECES:
             self.known, self.pieces = {}, {b"": b""}
-        get = self.known.get
-        found = [list(map(get, words)) for words in split]
-        missed = [k for k, ids in enumerate(found) if None in ids]
-        new = set().union(*(compress(split[k], map(not_, found[k])) for k in missed)).difference(self.known)
-        if new:
-            self._learn(list(new))
-        get = self.known.__getitem__
-        for k in missed:
-            found[k] = map(get, split[k])
-        return [b"".join(ids) for ids in found]
+        words, sizes = split_words(texts)
+        if not len(words):
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        codes = words.dictionary_encode()
+        parts, places = self._parts(codes.dictionary)
+        # Each part's ids stand once in ``flat``; the texts take them from there.
+        flat, n = np.frombuffer(b"".join(parts), "<u4"), np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        at = places[codes.indices.to_numpy()].reshape(-1)
+        lengths = n[at]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        values = flat[np.repeat((np.cumsum(n) - n)[at] - ends[:-1], lengths) + np.arange(ends[-1])]
+        return values, np.diff(ends[2 * np.concatenate([[0], np.cumsum(sizes)])])
+
+    def __call__(self, batch: list[str] | list[bytes]) -> list[bytes]:
+        """Ids of each text, given as such or as UTF-8."""
+        values, n = self.column(pa.array([t.encode() if isinstance(t, str) else t for t in batch], pa.binary()))
+        raw, ends = values.tobytes(), 4 * np.cumsum(n)
+        return [raw[a:b] for a, b in zip((ends - 4 * n).tolist(), ends.tolist(), strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -155,15 +204,15 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, id_col: str = "doc
     # Equal ids are ordered by a hash of the text, never by the text itself.
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = 0
-        for b in batches:
-            ids = [x + end for x in encoder(tokenizer_path)([t or b"" for t in b["text"].cast(pa.binary()).to_pylist()])]
-            n = np.array([len(x) // 4 for x in ids], np.int64)
+        for b in gathered(batches, BATCH_BYTES):
+            values, n = encoder(tokenizer_path).column(b["text"].cast(pa.binary()).fill_null(b""))
+            # Each text's end id goes behind its own.
+            values = np.insert(values, np.cumsum(n), end_id).astype(np.int32)
+            n = n + 1
             ends = np.cumsum(n)
-            values = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values))
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(start + ends - n), pa.array(n), lists], names=["doc_id", "file_start", "n_tokens", "ids"])
             start += int(n.sum())
