@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -320,6 +321,49 @@ def test_slopes_equal_differences():
             assert slopes[key].reshape(-1)[i] == pytest.approx((up - down) / 2e-5, abs=1e-6)
 
 
+def test_loss_comes_from_the_pass_that_makes_the_slopes(monkeypatch):
+    net, rng = small_gru(), np.random.default_rng(4)
+    x, y, h = rng.integers(0, 8, (3, 4)), rng.integers(0, 8, (3, 4)), rng.normal(size=(3, 5)).astype(np.float32)
+    states, last = [], h
+    for t in range(4):
+        last, _ = net.step(x[:, t], last)
+        states.append(last)
+    wanted = -net.log_probabilities(np.concatenate(states), y.T.reshape(-1)).mean()
+    monkeypatch.setattr(Gru, "log_probabilities", None)
+    _, end, loss = net.slopes(x, y, h)
+    assert loss == pytest.approx(wanted, abs=1e-6) and end == pytest.approx(last, abs=1e-6)
+
+
+@pytest.mark.parametrize("size", [1, 7, 10**6])
+def test_blocks_hold_the_tokens_of_all_texts(monkeypatch, size):
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", size)
+    rows = [(k, t, k % 3 == 0) for k, t in enumerate(["A b\u00c9 a", None, "", " x\x0b\tY  y ", "b", "Ab ab\u00a0AB"] * 4)]
+    source = pa.RecordBatch.from_pylist([{"id": i, "held_out": out, "text": t} for i, t, out in rows])
+
+    class Docs:
+        dtypes = [("id", "bigint")]
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            monkeypatch.setattr(lm_scoring.TaskContext, "get", lambda: lm_scoring.TaskContext())
+            monkeypatch.setattr(lm_scoring.TaskContext, "partitionId", lambda self: 1)
+            return list(run(iter([source.slice(0, 5), source.slice(5, 0), source.slice(5)])))
+
+    got, learnt = [], Counter()
+    for b in lm_scoring.blocks(Docs()):
+        r, at = b.to_pylist()[0], 0
+        places, sizes = np.frombuffer(r["places"], "<i4"), np.frombuffer(r["sizes"], "<i8")
+        for i, out, n in zip(r["ids"], r["held"], sizes, strict=True):
+            got.append((i, out, [r["words"][k].encode() for k in places[at : at + n]]))
+            at += n
+        assert at == len(places) and (size == 10**6 or at - sizes[-1] < size <= at or got[-1][0] == len(rows) - 1)
+        learnt.update(dict(zip(r["words"], r["counts"], strict=True)))
+    assert got == [(i, out, lm_scoring.tokens(t or "")) for i, t, out in rows]
+    assert +learnt == Counter(w.decode() for _, t, out in rows if not out for w in lm_scoring.tokens(t or ""))
+
+
 def test_state_is_carried_through_whole_sequences():
     net = small_gru()
     rng = np.random.default_rng(2)

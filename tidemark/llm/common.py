@@ -67,7 +67,7 @@ def texts(column: pa.Array) -> list[str]:
 
 
 def byte_strings(column: pa.Array) -> list[bytes]:
-    """The values of a binary column, several times faster than by ``to_pylist``."""
+    """The values of a binary or string column, several times faster than by ``to_pylist``."""
     return column.to_numpy(zero_copy_only=False).tolist()
 
 

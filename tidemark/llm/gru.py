@@ -5,13 +5,20 @@ from __future__ import annotations
 import numpy as np
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def _sigmoid(x: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    x = np.maximum(x, -30, out=out)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _normalised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """In place, column by column: exponentials that are not yet divided by their sums; the greatest values and the sums."""
+    most = x.max(axis=0)
+    x -= most
+    np.exp(x, out=x)
+    return x, most, x.sum(axis=0)
 
 
 class Gru:
@@ -56,62 +63,104 @@ class Gru:
         new = np.tanh(gates[:, 2 * n :] + r * rec[:, 2 * n :])
         return new + z * (h - new), (tokens, h, z, r, new, rec[:, 2 * n :])
 
+    def _by_class(self, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """The order of places by class, and ``class, begin, end`` of each that occurs."""
+        order = np.argsort(cls.astype(np.int16), kind="stable")
+        cuts = np.searchsorted(cls[order], np.arange(self.classes + 1)).tolist()
+        return order, [(k, a, b) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each target after its state."""
         cls, word = targets // self.width, targets % self.width
-        out = _log_softmax(states @ self.p["c"] + self.p["cb"])[np.arange(len(targets)), cls].astype(np.float64)
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
-        for k in range(self.classes):
-            at = order[cuts[k] : cuts[k + 1]]
-            if len(at):
-                inside = _log_softmax(states[at] @ self.p["w"][k] + self.p["wb"][k])
-                out[at] += inside[np.arange(len(at)), word[at]]
+        # Places lie side by side, so that sums over a class run along them.
+        x = self.p["c"].T @ states.T + self.p["cb"][:, None]
+        out = x[cls, np.arange(len(targets))].astype(np.float64)
+        _, most, total = _normalised(x)
+        out -= most + np.log(total)
+        order, parts = self._by_class(cls)
+        sorted_states, sorted_word, inside = states[order], word[order], np.empty(len(targets))
+        for k, a, b in parts:
+            x = self.p["w"][k].T @ sorted_states[a:b].T + self.p["wb"][k][:, None]
+            picked = x[sorted_word[a:b], np.arange(b - a)]
+            _, most, total = _normalised(x)
+            inside[a:b] = picked - most - np.log(total)
+        out[order] += inside
         return out
 
-    def _output_slopes(self, states: np.ndarray, targets: np.ndarray, g: dict[str, np.ndarray]) -> np.ndarray:
-        """Adds the slopes of the mean loss by the output weights; returns those by the states."""
-        total, cls, word = len(targets), targets // self.width, targets % self.width
-        rows = np.arange(total)
-        d = np.exp(_log_softmax(states @ self.p["c"] + self.p["cb"]))
-        d[rows, cls] -= 1
+    def _output_slopes(self, states: np.ndarray, targets: np.ndarray, g: dict[str, np.ndarray]) -> tuple[np.ndarray, float]:
+        """Adds the slopes of the mean loss by the output weights; returns those by the states, and the mean loss."""
+        n, cls, word = len(targets), targets // self.width, targets % self.width
+        places = np.arange(n)
+        d, _, total = _normalised(self.p["c"].T @ states.T + self.p["cb"][:, None])
         d /= total
-        g["c"] += states.T @ d
-        g["cb"] += d.sum(axis=0)
-        back = d @ self.p["c"].T
-        for k in np.unique(cls):
-            at = np.flatnonzero(cls == k)
-            e = np.exp(_log_softmax(states[at] @ self.p["w"][k] + self.p["wb"][k]))
-            e[np.arange(len(at)), word[at]] -= 1
+        loss = np.log(d[cls, places]).sum(dtype=float)
+        d[cls, places] -= 1
+        d /= n
+        g["c"] += (d @ states).T
+        g["cb"] += d.sum(axis=1)
+        back = d.T @ self.p["c"].T
+        order, parts = self._by_class(cls)
+        sorted_states, sorted_word, more = states[order], word[order], np.empty_like(back)
+        for k, a, b in parts:
+            own = sorted_states[a:b]
+            e, _, total = _normalised(self.p["w"][k].T @ own.T + self.p["wb"][k][:, None])
             e /= total
-            g["w"][k] += states[at].T @ e
-            g["wb"][k] += e.sum(axis=0)
-            back[at] += e @ self.p["w"][k].T
-        return back
+            loss += np.log(e[sorted_word[a:b], places[: b - a]]).sum(dtype=float)
+            e[sorted_word[a:b], places[: b - a]] -= 1
+            e /= n
+            g["w"][k] += (e @ own).T
+            g["wb"][k] += e.sum(axis=1)
+            np.matmul(e.T, self.p["w"][k].T, out=more[a:b])
+        back[order] += more
+        return back, -loss / n
 
     def slopes(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
         """Backpropagation through one window of ``streams x steps``; the state that goes on, the mean loss."""
-        g, n = {k: np.zeros_like(v) for k, v in self.p.items()}, self.hidden
-        kept, states = [], []
-        for t in range(inputs.shape[1]):
-            h, seen = self.step(inputs[:, t], h)
-            kept.append(seen)
-            states.append(h)
-        flat, wanted = np.concatenate(states), targets.T.reshape(-1)
-        loss = -float(self.log_probabilities(flat, wanted).mean())
-        outer = self._output_slopes(flat, wanted, g).reshape(inputs.shape[1], len(h), n)
-        dh = np.zeros_like(h)
-        for t in reversed(range(inputs.shape[1])):
-            tokens, before, z, r, new, rec = kept[t]
-            dh = dh + outer[t]
-            dnew = dh * (1 - z) * (1 - new * new)
-            dgates = np.concatenate([dh * (before - new) * z * (1 - z), dnew * rec * r * (1 - r), dnew], axis=1)
-            drec = np.concatenate([dgates[:, : 2 * n], dnew * r], axis=1)
-            np.add.at(g["x"], tokens, dgates)
-            g["b"] += dgates.sum(axis=0)
-            g["u"] += before.T @ drec
-            dh = dh * z + drec @ self.p["u"].T
-        return g, h, loss
+        g, n, p = {k: np.zeros_like(v) for k, v in self.p.items()}, self.hidden, self.p
+        steps, streams = inputs.shape[1], len(h)
+        seen, wanted = inputs.T.reshape(-1), targets.T.reshape(-1)
+        # The three gates lie apart, each in one piece; they turn into ``z, r, new`` in place.
+        u = np.ascontiguousarray(p["u"].reshape(n, 3, n).transpose(1, 0, 2))
+        gates = np.ascontiguousarray((p["x"] + p["b"])[seen].reshape(steps, streams, 3, n).transpose(0, 2, 1, 3))
+        states, rec = np.empty((steps + 1, streams, n), gates.dtype), np.empty((steps, streams, n), gates.dtype)
+        states[0] = h
+        for t in range(steps):
+            h, zr, new = states[t], gates[t, :2], gates[t, 2]
+            zr += h @ u[:2]
+            _sigmoid(zr, out=zr)
+            np.matmul(h, u[2], out=rec[t])
+            new += zr[1] * rec[t]
+            np.tanh(new, out=new)
+            np.subtract(h, new, out=states[t + 1])
+            states[t + 1] *= zr[0]
+            states[t + 1] += new
+        outer, loss = self._output_slopes(states[1:].reshape(-1, n), wanted, g)
+        outer = outer.reshape(steps, streams, n)
+        z, r, new = gates[:, 0], gates[:, 1], gates[:, 2]
+        by_new, by_z, by_r = (1 - z) * (1 - new * new), (states[:-1] - new) * z * (1 - z), rec * r * (1 - r)
+        d, drec = np.empty_like(gates), rec
+        back = np.ascontiguousarray(u.transpose(0, 2, 1))
+        dh = np.zeros_like(states[0])
+        for t in reversed(range(steps)):
+            dh += outer[t]
+            np.multiply(dh, by_z[t], out=d[t, 0])
+            np.multiply(dh, by_new[t], out=d[t, 2])
+            np.multiply(d[t, 2], by_r[t], out=d[t, 1])
+            np.multiply(d[t, 2], r[t], out=drec[t])
+            dh *= z[t]
+            dh += d[t, 0] @ back[0]
+            dh += d[t, 1] @ back[1]
+            dh += drec[t] @ back[2]
+        # The weights' slopes of the whole window at once; those of a token are added up where it lies together.
+        rows = d.transpose(0, 2, 1, 3).reshape(-1, 3 * n)
+        order = np.argsort(seen.astype(np.int16) if self.size <= 1 << 15 else seen, kind="stable")
+        ids, begins = np.unique(seen[order], return_index=True)
+        by_id = np.add.reduceat(rows[order], begins, axis=0)
+        g["x"][ids] += by_id
+        g["b"] += by_id.sum(axis=0)
+        before = states[:-1].reshape(-1, n).T
+        g["u"] += np.concatenate([before @ rows[:, : 2 * n], before @ drec.reshape(-1, n)], axis=1)
+        return g, states[-1], loss
 
     def fit(self, stream: np.ndarray, *, streams: int = 64, window: int = 32, epochs: int = 3, rate: float = 0.004) -> Gru:
         """Truncated backpropagation: windows follow each other, and the state goes on from one to the next."""
@@ -133,7 +182,7 @@ class Gru:
                     self.p[k] -= (rate * (m[k] / (1 - 0.9**n)) / (np.sqrt(s[k] / (1 - 0.999**n)) + 1e-8)).astype(np.float32)
         return self
 
-    def sequences(self, tokens: np.ndarray, lengths: np.ndarray, start: int, chunk: int = 32_768) -> np.ndarray:
+    def sequences(self, tokens: np.ndarray, lengths: np.ndarray, start: int, chunk: int = 8_192) -> np.ndarray:
         """Natural logarithms of the probabilities of all tokens of whole sequences that lie end to end.
 
         All sequences go on in step; each one's state is carried from its first token to its last.

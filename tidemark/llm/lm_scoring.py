@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts, written
+from tidemark.llm.common import byte_strings, split_words, written
 from tidemark.llm.gru import Gru
 
 BLOCK_TOKENS, WORDS, FIT_TOKENS = 800_000, 1023, 500_000
@@ -75,21 +76,28 @@ def blocks(docs: DataFrame) -> DataFrame:
             }
             return pa.RecordBatch.from_arrays(list(row.values()), names=list(row))
 
+        def take(found: pa.Array, counts: np.ndarray) -> None:
+            codes = found.dictionary_encode()
+            numbers = np.fromiter((words.setdefault(w, len(words)) for w in byte_strings(codes.dictionary)), np.int32, len(codes.dictionary))
+            # Each text's end goes behind its words.
+            places.append(np.insert(numbers[codes.indices.to_numpy()], np.cumsum(counts), words.setdefault(END.encode(), len(words))).astype(np.int32))
+            sizes.extend((counts + 1).tolist())
+
         for b in batches:
-            begun = 0
-            for k, (text, out) in enumerate(zip(texts(b["text"]), b["held_out"].to_pylist(), strict=True)):
-                own = tokens(text)
-                places.append(np.fromiter((words.setdefault(w, len(words)) for w in own), np.int32, len(own)))
-                sizes.append(len(own))
-                held.append(out)
-                total += len(own)
+            found, counts = split_words(pc.ascii_lower(b["text"].fill_null("")))
+            at, outs, begun = np.concatenate([[0], np.cumsum(counts)]), b["held_out"].to_pylist(), 0
+            while begun < len(b):
+                # A block ends with the document that fills it.
+                ends = total + np.cumsum(counts[begun:] + 1)
+                upto = min(begun + int(np.searchsorted(ends, BLOCK_TOKENS)) + 1, len(b))
+                take(found.slice(at[begun], at[upto] - at[begun]), counts[begun:upto])
+                ids.append(b["id"].slice(begun, upto - begun))
+                held.extend(outs[begun:upto])
+                total, begun = int(ends[upto - begun - 1]), upto
                 if total >= BLOCK_TOKENS:
-                    ids.append(b["id"].slice(begun, k + 1 - begun))
                     yield close()
-                    begun, n, total = k + 1, n + 1, 0
+                    n, total = n + 1, 0
                     ids, held, sizes, places, words = [], [], [], [], {}
-            if begun < len(b):
-                ids.append(b["id"].slice(begun))
         if held:
             yield close()
 
@@ -123,7 +131,7 @@ def learnt(made: DataFrame, model: Gru, vocabulary: dict[str, int], rounds: int
             rest, n = np.array([end], np.int64), 0
             for b in batches:
                 for k in range(len(b)):
-                    ranks = np.array([ids_of.get(w, rare) for w in b["words"][k].as_py()], np.int64)
+                    ranks = np.array([ids_of.get(w, rare) for w in byte_strings(b["words"][k].values)], np.int64)
                     places, sizes = np.frombuffer(b["places"][k].as_py(), "<i4"), np.frombuffer(b["sizes"][k].as_py(), "<i8")
                     own = ranks[places[np.repeat(~np.array(b["held"][k].as_py(), bool), sizes)]]
                     flow = np.concatenate([rest, own])
@@ -189,13 +197,11 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         net, ids_of, n, v, rare_n, rare_v = sent.value
         out = []
-        c_of = {}
-        if len(right):
-            c_of = dict(zip(right["place"].to_pylist(), right["c"].to_pylist(), strict=True))
-        for row in left.to_pylist():
-            c = np.zeros(len(row["words"]))
-            c[list(c_of)] = list(c_of.values())
-            ranks_ = np.array([ids_of.get(w, net.size - 1) for w in row["words"]], np.int64)
+        for k, row in enumerate(left.drop_columns(["words"]).to_pylist()):
+            words = byte_strings(left["words"][k].values)
+            c = np.zeros(len(words))
+            c[right["place"].to_numpy()] = right["c"].to_numpy()
+            ranks_ = np.array([ids_of.get(w, net.size - 1) for w in words], np.int64)
             places, sizes = np.frombuffer(row["places"], "<i4"), np.frombuffer(row["sizes"], "<i8")
             base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             rare = np.where(ranks_ == net.size - 1, np.log10((c + 0.5) / (rare_n + 0.5 * (rare_v + 1))), 0.0)
