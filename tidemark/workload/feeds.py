@@ -120,6 +120,8 @@ def schedule(spark, sf) -> Schedule:
     weekday = F.weekday("service_day")
     service = F.when(weekday < 5, "WKD").when(weekday == 5, "SAT").otherwise("SUN")
     b = _base(table(spark, sf, "events")).withColumn("service_id", service).withColumn("trip_id", F.concat_ws("_", "service_id", "trip_id"))
+    # Every relation below reads these columns; making them takes most of a pass over the events.
+    b = written_once(b.select("event_id", "k", "second_of_day", "service_day", "service_id", "trip_id"), "planned")
     trips = b.select("trip_id", "service_id").distinct()
     planned = b.select(
         "event_id",
@@ -127,8 +129,11 @@ def schedule(spark, sf) -> Schedule:
         F.posexplode(F.array(*[F.struct(F.expr(_s(_stop(i))).alias("stop_id"), F.expr(_planned(i)).cast("int").alias("t")) for i in range(3)])).alias("i", "p"),
     )
     t = F.greatest(F.col("p.t"), F.lit(0))
-    clock = F.format_string("%02d:%02d:%02d", F.floor(t / 3600).cast("int"), F.floor(F.pmod(t, F.lit(3600)) / 60).cast("int"), F.pmod(t, F.lit(60)))
-    stop_times = planned.select("trip_id", F.col("p.stop_id").alias("stop_id"), clock.alias("arrival_time"), F.struct("event_id", "i").alias("_order"))
+    two = lambda c: F.concat(F.when(c < 10, "0").otherwise(""), c.cast("string"))
+    clock = F.concat_ws(":", two(F.floor(t / 3600).cast("int")), two(F.floor(F.pmod(t, F.lit(3600)) / 60).cast("int")), two(F.pmod(t, F.lit(60))))
+    # One number, events in order and a missing id first: the least one of a group is kept in place, that of a struct only by sorting all rows.
+    order = F.coalesce(F.col("event_id").cast("decimal(20,0)"), F.expr("-10000000000000000000")) * 3 + F.col("i")
+    stop_times = planned.select("trip_id", F.col("p.stop_id").alias("stop_id"), clock.alias("arrival_time"), order.alias("_order"))
     days = b.groupBy("service_id", "service_day").agg(F.count("*").alias("n"))
     text = lambda c: F.date_format(c, "yyyyMMdd")
     calendar = days.groupBy("service_id").agg(F.min("service_day").alias("a"), F.max("service_day").alias("b")).select(
@@ -350,6 +355,8 @@ def _(spark, sf):
 
 #: Files the events are landed in, files of one micro-batch, and files that are there before the queries stop and start again.
 FILES, PER_BATCH, BEFORE_RESTART = 20, 5, 10
+#: Bytes of a row group of a landed file.
+ROW_GROUP = 4 << 20
 #: Least partitions of the state, and events for each further one.
 STATE_PARTITIONS, STATE_EVENTS = 4, 500_000
 _FILE = f"event_id * {FILES} // ((SELECT max(event_id) FROM events) + 1)"
@@ -360,7 +367,8 @@ def landed_files(spark, sf, path: str) -> list[str]:
     events = table(spark, sf, "events")
     end = events.agg(F.max("event_id") + 1).scalar()
     parts = events.withColumn("part", F.floor(F.col("event_id") * FILES / end).cast("int"))
-    parts.repartition("part").write.partitionBy("part").parquet(f"{path}/aside")
+    # Small row groups, so that a batch's few files are read by more tasks than there are files.
+    parts.repartition("part").write.option("parquet.block.size", ROW_GROUP).partitionBy("part").parquet(f"{path}/aside")
     return [f"part={k}" for k in range(FILES) if exists(spark, f"{path}/aside/part={k}")]
 
 
@@ -388,11 +396,11 @@ def run_stream(spark, sf, *queries: str, plan: Schedule | None = None) -> microb
     names = landed_files(spark, sf, root)
     store = microbatch.BatchStore(spark, f"{root}/store")
     plan = plan or prepared(spark, sf)
-    messages = messages_of(feeds.file_stream(spark, f"{root}/in/part=*", table(spark, sf, "events").schema, PER_BATCH))
+    events = feeds.file_stream(spark, f"{root}/in/part=*", table(spark, sf, "events").schema, PER_BATCH)
     with keyed.logged(spark, f"{root}/progress"):
         for step in (names[:BEFORE_RESTART], names[BEFORE_RESTART:]):
             land_files(spark, root, step)
-            keyed.start_landing(messages, store, lambda: plan, f"{root}/landing", every=None).awaitTermination()
+            keyed.start_landing(events, store, lambda: plan, f"{root}/landing", every=None, read=messages_of).awaitTermination()
             for name in queries:
                 facts = keyed.fact_stream(spark, store.path)
                 if name == "arrivals":
