@@ -668,3 +668,22 @@ def test_numbers_swallowed_by_a_strict_match_are_candidates():
 def test_spans_are_counted(spark):
     found = spark.createDataFrame([(1, "", ""), (2, "email:0:5", "email:0:5,phone:7:20")], "doc_id long, base string, spans string")
     assert {r["doc_id"]: (r["n_email"], r["n_spans"]) for r in pii.digests(found).collect()} == {1: (0, 0), 2: (1, 2)}
+
+
+def test_scoring_keeps_nothing_for_a_way_back(monkeypatch):
+    """op9_lm_scoring: each step of scoring made what only learning needs; the sums are those of the single steps."""
+    from tidemark.llm.gru import Gru
+
+    net, rng = Gru(np.arange(40, 0, -1.0)), np.random.default_rng(3)
+    lengths = np.array([3, 0, 7, 1, 7])
+    tokens, want = rng.integers(0, 40, lengths.sum()), []
+    for a, b in zip(np.cumsum(lengths) - lengths, np.cumsum(lengths), strict=True):
+        h, before = np.zeros((1, net.hidden), np.float32), np.array([5])
+        for t in tokens[a:b]:
+            h, _ = net.step(before, h)
+            before = np.array([t])
+            want.append(net.log_probabilities(h, before)[0])
+    monkeypatch.setattr(Gru, "step", None)
+    for chunk in (1, 4, 8_192):
+        np.testing.assert_allclose(net.sequences(tokens, lengths, 5, chunk), want, rtol=1e-5)
+    assert len(net.sequences(np.zeros(0, int), np.zeros(2, int), 5)) == 0

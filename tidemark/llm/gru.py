@@ -121,7 +121,10 @@ class Gru:
         seen, wanted = inputs.T.reshape(-1), targets.T.reshape(-1)
         # The three gates lie apart, each in one piece; they turn into ``z, r, new`` in place.
         u = np.ascontiguousarray(p["u"].reshape(n, 3, n).transpose(1, 0, 2))
-        gates = np.ascontiguousarray((p["x"] + p["b"])[seen].reshape(steps, streams, 3, n).transpose(0, 2, 1, 3))
+        table = (p["x"] + p["b"]).reshape(-1, 3, n).transpose(1, 0, 2)
+        gates = np.empty((steps, 3, streams, n), table.dtype)
+        for k in range(3):
+            gates[:, k] = table[k].take(seen, axis=0).reshape(steps, streams, n)
         states, rec = np.empty((steps + 1, streams, n), gates.dtype), np.empty((steps, streams, n), gates.dtype)
         states[0] = h
         for t in range(steps):
@@ -187,26 +190,39 @@ class Gru:
 
         All sequences go on in step; each one's state is carried from its first token to its last.
         """
-        out = np.zeros(len(tokens))
+        out, n = np.zeros(len(tokens)), self.hidden
         begins = np.cumsum(lengths) - lengths
         order = np.argsort(-lengths, kind="stable")
         begins, left = begins[order], lengths[order]
         alive = int((left > 0).sum())
-        h = np.zeros((alive, self.hidden), np.float32)
+        # How many sequences are left after each step; most steps have few, so a step is as few calls as there can be.
+        ends = np.bincount(left[:alive], minlength=1)
+        after = (alive - np.cumsum(ends))[1:].tolist()
+        gates_of, u = self.p["x"] + self.p["b"], self.p["u"]
+        # The gates lie apart, each in one piece.
+        zr_of, new_of, zr_u, new_u = (np.ascontiguousarray(v) for v in (gates_of[:, : 2 * n], gates_of[:, 2 * n :], u[:, : 2 * n], u[:, 2 * n :]))
+        h = np.zeros((alive, n), np.float32)
         before = np.full(alive, start, np.int64)
-        states, places, held, t = [], [], 0, 0
-        while alive:
-            h, _ = self.step(before, h)
-            at = begins[:alive] + t
-            before = tokens[at]
+        states, places, held = [], [], 0
+        at = begins[:alive].copy()
+        for now in after:
+            zr, more = h @ zr_u, h @ new_u
+            zr += zr_of.take(before, axis=0)
+            _sigmoid(zr, out=zr)
+            more *= zr[:, n:]
+            new = new_of.take(before, axis=0)
+            new += more
+            np.tanh(new, out=new)
+            h = h - new
+            h *= zr[:, :n]
+            h += new
             states.append(h)
             places.append(at)
-            held += alive
-            t += 1
-            now = int(np.searchsorted(-left[:alive], -t, side="left"))
+            held += len(at)
             if held >= chunk or not now:
                 flat = np.concatenate(places)
                 out[flat] = self.log_probabilities(np.concatenate(states), tokens[flat])
                 states, places, held = [], [], 0
-            h, before, alive = h[:now], before[:now], now
+            before = tokens.take(at[:now])
+            h, at = h[:now], at[:now] + 1
         return out
